@@ -54,8 +54,15 @@ def flat_events(t: Inputs) -> DataFrame:
     return events.flatten_envelope(encoded(t).select("value"))
 
 
+def ingested(t: Inputs) -> DataFrame:
+    """The event table as ingest leaves it: laid out by tenant, domain and day."""
+    path = scratch_path(t.spark, "event-table")
+    tables.write_partitioned(flat_events(t), path, events.EVENT_PARTITIONS)
+    return events.read_events(t.spark, path, tenant="42")
+
+
 def decoded(t: Inputs) -> DataFrame:
-    return events.decode_payload(flat_events(t))
+    return events.decode_payload(ingested(t))
 
 
 def base_snapshot(t: Inputs) -> DataFrame:
@@ -106,7 +113,7 @@ _ITEMS = (
     UNION ALL SELECT customer_id, 'ADDRESS', 'HOME', -1, -1, concat_ws('/', 'HOME', street, city, postal_code, country) FROM party_rows WHERE street IS NOT NULL
     UNION ALL SELECT customer_id, 'IDENTIFICATION', 'passport', -1, -1, concat_ws('/', 'passport', id_number, 'base') FROM party_rows),
   all_items AS (SELECT * FROM event_items UNION ALL SELECT * FROM base_items),
-  newest AS (SELECT customer_id, kind, item_type, max_by(item, event_timestamp * 100000000 + event_id) AS item, max(event_id) >= 0 AS hit FROM all_items GROUP BY ALL),
+  newest AS (SELECT customer_id, kind, item_type, max_by(item, CAST(event_timestamp AS HUGEINT) * 100000000 + event_id) AS item, max(event_id) >= 0 AS hit FROM all_items GROUP BY ALL),
   merged AS (SELECT customer_id, max(item) FILTER (WHERE kind = 'NAME') AS name_text,
     coalesce(string_agg(item, ';' ORDER BY item_type) FILTER (WHERE kind = 'ADDRESS'), '') AS address_text,
     coalesce(string_agg(item, ';' ORDER BY item_type) FILTER (WHERE kind = 'IDENTIFICATION'), '') AS id_text, bool_or(hit) AS was_modified
@@ -190,7 +197,7 @@ def _dated_deltas(t: Inputs) -> DataFrame:
     "snapshot_asof",
     with_roles("event_rows", "party_rows")
     + """, d AS (SELECT customer_id, logical_date, max_by(concat_ws('/', 'F' || id_text, CASE WHEN event_timestamp > 1705000000000 THEN 'M' ELSE '' END, 'L' || id_text),
-       event_timestamp * 100000000 + event_id) AS name_text FROM event_rows WHERE event_type = 'NAME' AND logical_date < DATE '2024-01-20' GROUP BY ALL),
+       CAST(event_timestamp AS HUGEINT) * 100000000 + event_id) AS name_text FROM event_rows WHERE event_type = 'NAME' AND logical_date < DATE '2024-01-20' GROUP BY ALL),
     u AS (SELECT customer_id, DATE '2024-01-01' AS logical_date, concat_ws('/', first_name, '', last_name) AS name_text, 0 AS k FROM party_rows
       UNION ALL SELECT customer_id, logical_date, name_text, 1 FROM d)
     SELECT customer_id, logical_date, name_text FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY logical_date DESC, k DESC) AS rn FROM u) WHERE rn = 1""",
@@ -300,7 +307,7 @@ def _(t):
     "extract_delta",
     _ITEMS
     + """, d AS (SELECT customer_id, logical_date, max_by('F' || id_text || '|' || CASE WHEN event_timestamp > 1705000000000 THEN 'M' ELSE '' END || '|L' || id_text,
-      event_timestamp * 100000000 + event_id) AS n FROM event_rows WHERE event_type = 'NAME' AND logical_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY ALL)
+      CAST(event_timestamp AS HUGEINT) * 100000000 + event_id) AS n FROM event_rows WHERE event_type = 'NAME' AND logical_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY ALL)
     SELECT '42' AS tenant_id, '1|' || customer_id || '|' || n AS line FROM d""",
 )
 def _(t):

@@ -25,7 +25,7 @@ def spark_dialect(text: str) -> str:
 def duck_dialect(text: str) -> str:
     for table in TABLES:
         text = text.replace("{" + table + "}", table)
-    return text.replace("EPOCH_MS_TS", "epoch_ms(ts)").replace("<<", "{").replace(">>", "}")
+    return text.replace("EPOCH_MS_TS", "(epoch_us(ts) // 1000)").replace("<<", "{").replace(">>", "}")
 
 
 def case(col: str, mapping: dict[str, str | None], other: str = "NULL") -> str:
@@ -227,6 +227,77 @@ SELECT CAST(c_custkey AS STRING) AS customer_id, CAST(n_regionkey AS STRING) AS
        CASE WHEN n_regionkey < 2 THEN 'Driver''s License' ELSE 'Passport' END AS id_type, 'ID' || CAST(c_custkey AS STRING) AS id_number,
        r_name AS id_issuer, n_name AS email_domain
 FROM {PARTIES}""",
+    # --- statement records: a customer is an account, each of its orders a statement --------
+    "account_statement": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, CAST(o_custkey AS STRING) AS customer_id,
+       CAST(n_regionkey AS STRING) AS ledger_id, 'U' || CAST(o_orderkey AS STRING) AS message_id,
+       {case('o_orderstatus', {'P': 'SummaryStatement'}, "'DetailedStatement'")} AS statement_type,
+       {case('o_orderpriority', {P1: 'HomeLineOfCredit', P2: 'LineOfCredit', P3: 'LineOfCreditPlus'}, "'TermLoan'")} AS product,
+       {ORDER_DAY} AS starts_on, {ORDER_DAY} + 60 AS ends_on,
+       {money('o_totalprice')} AS closing_balance, {money('o_totalprice * 2')} AS principal_balance,
+       CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice / 4')} END AS past_due,
+       {money('o_totalprice / 8')} AS current_due, {case('o_orderstatus', {'O': 'Yes'}, "'No'")} AS post_maturity,
+       {case('o_orderpriority', {P1: 'SecureEMessage', P2: 'Mail'}, "'Email'")} AS comm_mode,
+       {case('o_orderpriority', {P1: 'Email, SMS', P2: 'SMS', P3: 'Email'}, "''")} AS notify_mode
+FROM {ORDERS}""",
+    "account_day": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day, {money('o_totalprice - 50000')} AS ledger_balance,
+       {money('o_totalprice * 0.01')} AS accrued_interest, {money('o_totalprice * 0.5')} AS interest_paid,
+       {money('o_totalprice / 4')} AS past_due, CASE WHEN o_orderstatus = 'F' THEN {money('o_totalprice')} ELSE {money('0')} END AS adjustment,
+       o_orderkey AS row_id
+FROM {{orders}}""",
+    "account_txn": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id,
+       CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS txn_id,
+       CASE l_linenumber WHEN 1 THEN 'ACHPrincipalPayment' WHEN 2 THEN 'InterestPayment'
+            WHEN 3 THEN 'LateChargeFeePayment' WHEN 4 THEN 'MiscellaneousFeePayment' WHEN 5 THEN 'ChargeOff'
+            WHEN 6 THEN 'PrincipalPayment' ELSE 'Transfer' END AS posting_code,
+       CASE l_returnflag WHEN 'R' THEN 'Debit' ELSE 'Credit' END AS direction,
+       {money('l_extendedprice')} AS amount, {SHIP_DAY} AS posted_on
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+    "relation": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, CASE o_orderstatus WHEN 'P' THEN 'Delete' ELSE 'Keep' END AS action,
+       {case('o_orderpriority', {P1: 'Primary', P2: 'Primary'}, "'Secondary'")} AS relation_type,
+       {case('o_orderpriority', {P3: 'Borrower', P4: 'Guarantor'}, "'Owner'")} AS relation_code,
+       CAST(c_nationkey AS STRING) AS related_id, {ORDER_DAY} AS day
+FROM {ORDERS}""",
+    "preference": f"""
+SELECT CAST(o_custkey AS STRING) AS customer_id, CASE o_orderstatus WHEN 'P' THEN 'Delete' ELSE 'Keep' END AS action,
+       {case('o_orderpriority', {P1: 'Privacy Notice', P2: 'ADA Large Print'}, "'Other'")} AS pref_type,
+       CASE WHEN o_totalprice > 100000 THEN 'Opt In' ELSE 'Opt Out' END AS pref_status, {ORDER_DAY} AS day, o_orderkey AS row_id
+FROM {{orders}}""",
+    "address_pref": f"""
+SELECT CAST(o_custkey AS STRING) AS customer_id, CAST(o_custkey AS STRING) AS account_id,
+       {case('o_orderstatus', {'F': 'statement', 'O': 'account'}, "'customer'")} AS level,
+       {case('o_orderpriority', {P1: 'HOME', P2: 'work'}, "'Other'")} AS addr_type, CAST(1 AS INT) AS seq,
+       CASE WHEN o_totalprice > 200000 THEN 'Direct Mail' ELSE 'Secure E-Message' END AS method,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'Delete' ELSE 'Keep' END AS action, {ORDER_DAY} AS day, o_orderkey AS row_id
+FROM {{orders}}""",
+    "postal_address": f"""
+SELECT CAST(o_custkey AS STRING) AS customer_id, {case('o_orderpriority', {P1: 'Home', P2: 'Work'}, "'Vacation'")} AS addr_type,
+       CAST(1 AS INT) AS seq, {case('o_orderstatus', {'F': 'Temporary', 'O': 'Seasonal'})} AS category,
+       'Line ' || CAST(o_orderkey AS STRING) AS line1, n_name AS city, c_mktsegment AS state,
+       {ORDER_DAY} AS start_on, CASE WHEN o_totalprice > 250000 THEN {ORDER_DAY} + 500 END AS end_on,
+       '0501' AS season_start, '0930' AS season_end,
+       CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'Delete' ELSE 'Keep' END AS action, {ORDER_DAY} AS day, o_orderkey AS row_id
+FROM {ORDERS}""",
+    "email_address": f"""
+SELECT CAST(o_custkey AS STRING) AS customer_id, {case('o_orderstatus', {'F': 'Primary'}, "'Other'")} AS email_type,
+       CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 1 ELSE 2 END AS INT) AS seq, 'm' || CAST(o_orderkey AS STRING) || '@x.org' AS email,
+       {ORDER_DAY} AS start_on, CASE WHEN o_totalprice > 250000 THEN {ORDER_DAY} + 300 END AS end_on,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'Delete' ELSE 'Keep' END AS action, {ORDER_DAY} AS day, o_orderkey AS row_id
+FROM {{orders}}""",
+    "credit_summary": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day,
+       '<<"arStmtCrLineSumm":[<<"apr":"' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE CAST(o_orderkey AS STRING) || '.25' END
+         || '","fnceChrg":"1.5","frmDte":"a","toDte":"b","perdcRte":"0.01","prinOutstdBal":"' || CAST(o_custkey AS STRING)
+         || '">>,<<"apr":"7","fnceChrg":"2","frmDte":"c","toDte":"d","perdcRte":"0.02","prinOutstdBal":"10">>]>>' AS summary
+FROM {{orders}}""",
+    "account_bill": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, {money('o_totalprice / 10')} AS bill_amount, {ORDER_DAY} + 30 AS next_bill_on
+FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
+    "account_schedule": f"""
+SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day, o_orderpriority AS term, o_orderkey AS row_id FROM {{orders}}""",
     "org_unit": """
 SELECT CAST(n_regionkey AS STRING) AS ledger_id, CAST(n_nationkey AS STRING) AS unit_id, n_name AS unit_name,
        CASE WHEN n_nationkey < 20 THEN 'Financial Entity' ELSE 'Branch' END AS unit_type,

@@ -102,22 +102,22 @@ def lag_in_buckets(
     """Previous ``value`` of the key in the order given, safe for very large keys.
 
     ``bucket`` must not decrease with the order (a day or an hour of the ordering time, say).
-    Inside a bucket an ordinary lag window works on (key, bucket). Across buckets only the last
-    value of each (key, bucket) matters; those are found by partial aggregation, and the lag
-    over them runs on one row per bucket. No task sees more than one bucket of a key.
+    The last value of each (key, bucket) is found by partial aggregation and handed on to the
+    key's next bucket as one extra row that stands before all others there. An ordinary lag
+    window on (key, bucket) then sees the right predecessor everywhere, so no task has to hold
+    more than one bucket of a key, and the data itself is shuffled once.
     """
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     # The value is wrapped so that a NULL value can be told from "no previous row".
     rows = df.withColumns({"_bucket": bucket, "_val": F.struct(F.col(value).alias("v"))})
-    tails = rows.groupBy(*keys, "_bucket").agg(F.max_by("_val", F.struct(*order)).alias("_last"))
     across = Window.partitionBy(*keys).orderBy("_bucket")
-    tails = tails.withColumn("_before", F.lag("_last").over(across)).drop("_last")
-    on = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
-    tails = tails.select(
-        *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_tb"), "_before"
+    carried = (
+        rows.groupBy(*keys, "_bucket")
+        .agg(F.max_by("_val", F.struct(*order)).alias("_val"))
+        .withColumn("_bucket", F.lead("_bucket").over(across))
+        .where(F.col("_bucket").isNotNull())
+        .withColumn("_real", F.lit(0))
     )
-    joined = rows.withColumn("_prev", F.lag("_val").over(within)).join(
-        tails, [*on, F.col("_bucket").eqNullSafe(F.col("_tb"))], "inner"
-    )
-    picked = F.when(F.col("_prev").isNotNull(), F.col("_prev")).otherwise(F.col("_before"))["v"]
-    return joined.select(*df.columns, picked.alias(name))
+    both = rows.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    within = Window.partitionBy(*keys, "_bucket").orderBy("_real", *order)
+    chained = both.withColumn("_prev", F.lag("_val").over(within)).where(F.col("_real") == 1)
+    return chained.select(*df.columns, F.col("_prev.v").alias(name))

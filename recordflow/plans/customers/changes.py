@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow.operators.latest import lag_in_buckets
-from recordflow.plans.customers.merge import Handler, event_items
+from recordflow.plans.customers.merge import Handler, default_handlers, event_items
 from recordflow.sources.events import domain_partition
 
 # Sorts before every event: the snapshot's items stand first in their history.
@@ -57,7 +57,10 @@ def change_records(
     customer with a large share of all events is worked on by many tasks.
     """
     items = event_items(events, handlers)
-    touched = snapshot.join(items.select("customer_id").distinct(), "customer_id", "left_semi")
+    # Only the ids and types are needed to see which customers take part; no payload is decoded.
+    registry = default_handlers() if handlers is None else handlers
+    ids = events.where(F.col("event_type").isin(list(registry))).select("customer_id").distinct()
+    touched = snapshot.join(ids, "customer_id", "left_semi")
     history = _snapshot_items(touched, items).unionByName(items)
     bucket = F.floor(F.col("event_timestamp") / bucket_millis).cast("bigint")
     chained = lag_in_buckets(

@@ -40,24 +40,26 @@ ITEM_COLS = ("name", "address", "identification")
 
 
 def event_items(events: DataFrame, handlers: Mapping[str, Handler] | None = None) -> DataFrame:
-    """Recognised events as (customer, kind, item_type, order columns, item)."""
+    """Recognised events as (customer, kind, item_type, order columns, item).
+
+    The type list is a plain predicate that reaches the scan. Rows whose payload could not be
+    read are dropped by a generator instead of a filter: the planner would push a filter below
+    the decoding and so decode every payload twice.
+    """
     registry = default_handlers() if handlers is None else handlers
-    kind, key = F.lit(None).cast("string"), F.lit(None).cast("string")
-    has_item = F.lit(False)
+    found = F.lit(None)
     for event_type, handler in registry.items():
-        hit = F.col("event_type") == event_type
-        kind = F.when(hit, F.lit(handler.kind)).otherwise(kind)
-        key = F.when(hit, handler.key).otherwise(key)
-        has_item = has_item | (hit & F.col(handler.item).isNotNull())
-    return events.where(has_item).select(
-        "tenant_id",
-        "customer_id",
-        kind.alias("kind"),
-        F.coalesce(key, F.lit("")).alias("item_type"),
-        "event_timestamp",
-        "event_key",
-        "event_type",
-        F.struct(*ITEM_COLS).alias("item"),
+        row = F.array(
+            F.struct(
+                F.lit(handler.kind).alias("kind"),
+                F.coalesce(handler.key, F.lit("")).alias("item_type"),
+                F.struct(*ITEM_COLS).alias("item"),
+            )
+        )
+        hit = (F.col("event_type") == event_type) & F.col(handler.item).isNotNull()
+        found = F.when(hit, row).otherwise(found)
+    return events.where(F.col("event_type").isin(list(registry))).select(
+        "tenant_id", "customer_id", "event_timestamp", "event_key", "event_type", F.inline(found)
     )
 
 
