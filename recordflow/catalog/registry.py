@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordflow.catalog.roles import ROLES, TABLES, spark_dialect
 
-MODULES = ("basics", "relational", "values", "storage", "customers", "loans", "statements", "deposits")
+MODULES = ("basics", "relational", "values", "storage", "customers", "loans", "statements", "deposits", "masters")
 
 
 @dataclass(frozen=True)

@@ -161,7 +161,7 @@ SELECT CAST(o_orderkey AS STRING) AS account_id, CAST(o_custkey AS STRING) AS cu
        {ORDER_DAY} AS starts_on, {ORDER_DAY} + 60 AS ends_on, {date8(ORDER_DAY)} AS full_date,
        {money('o_totalprice')} AS closing_balance, {money('o_totalprice * 2')} AS principal_balance,
        CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice / 4')} END AS past_due,
-       {money('o_totalprice / 8')} AS current_due,
+       {money('o_totalprice / 5')} AS current_due,
        {case('o_orderstatus', {'O': 'Yes'}, "'No'")} AS post_maturity,
        {case('o_orderpriority', {P1: 'SecureEMessage', P2: 'Mail'}, "'Email'")} AS comm_mode,
        {case('o_orderpriority', {P1: 'Email, SMS', P2: 'SMS', P3: 'Email'}, "''")} AS notify_mode
@@ -236,7 +236,7 @@ SELECT CAST(o_custkey AS STRING) AS account_id, CAST(o_custkey AS STRING) AS cus
        {ORDER_DAY} AS starts_on, {ORDER_DAY} + 60 AS ends_on,
        {money('o_totalprice')} AS closing_balance, {money('o_totalprice * 2')} AS principal_balance,
        CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice / 4')} END AS past_due,
-       {money('o_totalprice / 8')} AS current_due, {case('o_orderstatus', {'O': 'Yes'}, "'No'")} AS post_maturity,
+       {money('o_totalprice / 5')} AS current_due, {case('o_orderstatus', {'O': 'Yes'}, "'No'")} AS post_maturity,
        {case('o_orderpriority', {P1: 'SecureEMessage', P2: 'Mail'}, "'Email'")} AS comm_mode,
        {case('o_orderpriority', {P1: 'Email, SMS', P2: 'SMS', P3: 'Email'}, "''")} AS notify_mode
 FROM {ORDERS}""",
@@ -289,15 +289,22 @@ SELECT CAST(o_custkey AS STRING) AS customer_id, {case('o_orderstatus', {'F': 'P
 FROM {{orders}}""",
     "credit_summary": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day,
-       '<<"arStmtCrLineSumm":[<<"apr":"' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE CAST(o_orderkey AS STRING) || '.25' END
-         || '","fnceChrg":"1.5","frmDte":"a","toDte":"b","perdcRte":"0.01","prinOutstdBal":"' || CAST(o_custkey AS STRING)
+       '<<"arStmtCrLineSumm":[<<"apr":"' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE CAST(n_nationkey AS STRING) || '.25' END
+         || '","fnceChrg":"1.5","frmDte":"' || CAST(o_orderkey AS STRING) || '","toDte":"b","perdcRte":"0.01","prinOutstdBal":"' || CAST(o_custkey AS STRING)
          || '">>,<<"apr":"7","fnceChrg":"2","frmDte":"c","toDte":"d","perdcRte":"0.02","prinOutstdBal":"10">>]>>' AS summary
-FROM {{orders}}""",
+FROM {ORDERS}""",
     "account_bill": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {money('o_totalprice / 10')} AS bill_amount, {ORDER_DAY} + 30 AS next_bill_on
 FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
     "account_schedule": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day, o_orderpriority AS term, o_orderkey AS row_id FROM {{orders}}""",
+    "statement_detail": f"""
+SELECT CAST(c_custkey AS STRING) AS account_id, CAST(c_nationkey AS STRING) AS receiver_id, CAST(n_regionkey AS STRING) AS ledger_id,
+       CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '' WHEN 'FURNITURE' THEN NULL ELSE 'G' || CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING) END AS group_id,
+       CASE WHEN c_acctbal > 8000 THEN 'Primary' ELSE 'member' END AS group_role, DATE '1998-12-31' AS day,
+       DATE '1998-01-01' AS period_start, DATE '1998-12-31' AS period_end, {money('c_acctbal')} AS opening_balance,
+       CASE WHEN c_acctbal > 0 THEN {money('c_acctbal * 2')} END AS closing_balance, {money('c_acctbal * 0.01')} AS interest_earned
+FROM {PARTIES}""",
     "org_unit": """
 SELECT CAST(n_regionkey AS STRING) AS ledger_id, CAST(n_nationkey AS STRING) AS unit_id, n_name AS unit_name,
        CASE WHEN n_nationkey < 20 THEN 'Financial Entity' ELSE 'Branch' END AS unit_type,

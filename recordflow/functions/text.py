@@ -40,10 +40,13 @@ def mask_if(flag: Column, col: Column | str, mask: str = "XXXXXXXX") -> Column:
 
 
 def implied_decimal(col: Column | str, precision: int = 26, scale: int = 4) -> Column:
-    """Amount without its decimal point; NULL becomes zero (``00000`` at scale 4)."""
+    """Amount without its decimal point.
+
+    NULL becomes zero (``00000`` at scale 4); a number too large for the type becomes NULL.
+    """
     kind = f"decimal({precision},{scale})"
-    text = F.coalesce(_c(col).cast(kind), F.lit(0).cast(kind)).cast("string")
-    return F.replace(text, F.lit("."), F.lit(""))
+    value = F.when(_c(col).isNull(), F.lit(0).cast(kind)).otherwise(_c(col).try_cast(kind))
+    return F.replace(value.cast("string"), F.lit("."), F.lit(""))
 
 
 def format_amount(col: Column | str, scale: int = 2, precision: int = 17, default: str = "0.00") -> Column:
