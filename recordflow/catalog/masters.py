@@ -167,7 +167,7 @@ def _(t):
 )
 def _(t):
     """Built, then written by class and read back, as the insert by partition does."""
-    driver = _driver(t)
+    driver = tables.stage(_driver(t), "driver")  # read by four branches
     people = masters.related_customers(driver, t.relation, t.preference, t.customer_master, RUN_DATE)
     attrs = masters.attributes(driver, _attributes(t))
     rows = masters.statement_master(driver, people, attrs, t.deposit_daily, _balances(t), CELLS, AVERAGES)

@@ -114,14 +114,14 @@ def anti(
     if len(names) != 1:
         raise ValueError("NOT IN takes one key column")
     (left, right), = names.items()
-    # One row of facts about the list: a plain hash anti join can then be used, while the
-    # built-in null-aware anti join needs the whole list broadcast.
+    # Facts about the list are one scalar subquery, and the rest is a plain hash anti join;
+    # the built-in null-aware anti join would need the whole list broadcast.
     facts = keys_df.agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(F.col(right)).alias("_known")
-    )
-    kept = _existence(df, keys_df, on, "left_anti").crossJoin(F.broadcast(facts))
-    rule = (F.col("_rows") == 0) | ((F.col("_rows") == F.col("_known")) & F.col(left).isNotNull())
-    return kept.where(rule).drop("_rows", "_known")
+        F.struct(F.count(F.lit(1)).alias("rows"), F.count(F.col(right)).alias("known")).alias("f")
+    ).scalar()
+    kept = _existence(df, keys_df, on, "left_anti").withColumn("_list", facts)
+    rows, known = F.col("_list.rows"), F.col("_list.known")
+    return kept.where((rows == 0) | ((rows == known) & F.col(left).isNotNull())).drop("_list")
 
 
 def _existence(df: DataFrame, keys_df: DataFrame, on, how: str) -> DataFrame:
@@ -131,17 +131,21 @@ def _existence(df: DataFrame, keys_df: DataFrame, on, how: str) -> DataFrame:
 
 
 def with_totals(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
-    """Attach one row of totals to every row; the broadcast side is a single row by construction."""
-    return df.crossJoin(F.broadcast(df.agg(*[e.alias(n) for n, e in aggs.items()])))
+    """Attach the totals of the whole frame to every row, as one scalar subquery."""
+    totals = df.agg(F.struct(*[e.alias(n) for n, e in aggs.items()]).alias("t")).scalar()
+    return df.withColumn("_totals", totals).withColumns({n: F.col("_totals")[n] for n in aggs}).drop("_totals")
 
 
-def attach_all(left: DataFrame, totals: DataFrame) -> DataFrame:
+def attach_all(left: DataFrame, summary: DataFrame, slots: int = 32) -> DataFrame:
     """Every row of ``left`` with every row of a per-group summary.
 
-    This is the join without ON of the control record: the result is the product by meaning,
-    so it suits summaries only. The planner chooses by its own size estimate.
+    The result is a product by meaning (one control line per unit and group). It is made by an
+    equi join: left rows are spread over slots by hash and the short summary is listed once per
+    slot, so neither side has to be broadcast and no task sees more than one slot.
     """
-    return left.join(totals)
+    spread = left.withColumn("_slot", F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("int"))
+    listed = summary.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return spread.join(listed, "_slot").drop("_slot")
 
 
 @dataclass(frozen=True)

@@ -61,9 +61,12 @@ def latest_days(df: DataFrame, keys: Sequence[str], order: str, n: int = 1) -> D
 
 
 def latest_day(df: DataFrame, day_col: str) -> DataFrame:
-    """Rows of the newest day of the whole table; the maximum is one row."""
-    newest = df.agg(F.max(day_col).alias("_day"))
-    return df.join(F.broadcast(newest), F.col(day_col) == F.col("_day"), "left_semi")
+    """Rows of the newest day of the whole table.
+
+    The maximum is a scalar subquery: it is found first (from the column alone) and then
+    filters the scan like a literal, which skips partitions and row groups of other days.
+    """
+    return df.where(F.col(day_col) == df.agg(F.max(day_col)).scalar())
 
 
 def with_partition_max(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:

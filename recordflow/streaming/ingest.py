@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from recordflow.plans.customers.merge import merge_customers
 from recordflow.plans.customers.snapshot import current_snapshot
 from recordflow.sources.events import EVENT_PARTITIONS, decode_payload, flatten_envelope
-from recordflow.sources.tables import write_dated
 
 RAW = T.StructType([T.StructField("value", T.BinaryType())])
 
@@ -53,21 +52,25 @@ def drain(query: StreamingQuery, timeout: int = 600) -> None:
 
 
 def merge_stream(
-    events: DataFrame, base: Callable[[], DataFrame], deltas: Callable[[], DataFrame], delta_root: str, checkpoint: str
+    events: DataFrame,
+    base: Callable[[], DataFrame],
+    deltas: Callable[[int], DataFrame],
+    delta_root: str,
+    checkpoint: str,
 ) -> StreamingQuery:
     """Fold each micro-batch onto the snapshot and write the modified customers as a delta.
 
-    ``base`` and ``deltas`` are read anew for every batch. Deltas are dated by the newest event
-    of the batch and written by overwrite of a slice named after the batch, so a batch that is
-    replayed after a failure replaces its own output.
+    ``base()`` and ``deltas(batch_id)`` are read anew for every batch; the latter gives the
+    deltas of earlier batches. Deltas are dated by the newest event of the batch and written by
+    overwrite of the batch's own folder, so a batch that is replayed after a failure replaces
+    its output.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
         day = batch.agg(F.max("logical_date").alias("d")).first()["d"]
-        snapshot = current_snapshot(base(), deltas())
+        snapshot = current_snapshot(base(), deltas(batch_id), tie=("batch",))
         merged = merge_customers(snapshot, decode_payload(batch), str(day))
         changed = merged.where("was_modified").drop("was_modified")
         (
@@ -77,7 +80,6 @@ def merge_stream(
             .mode("overwrite")
             .parquet(delta_root)
         )
-        del spark
 
     return (
         events.writeStream.foreachBatch(fold)
