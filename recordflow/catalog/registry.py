@@ -26,15 +26,21 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # Reading a file's schema and resolving a role are done once per query.
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def role(self, name: str) -> DataFrame:
         """A role is a plain SELECT over whole driver tables."""
-        text = spark_dialect(ROLES[name])
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
-        return self.spark.sql(text, **used)
+        if name not in self._frames:
+            text = spark_dialect(ROLES[name])
+            used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+            self._frames[name] = self.spark.sql(text, **used)
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -12,12 +12,15 @@ from recordflow.session import scratch_path
 from recordflow.sources import events, tables
 
 DEC = "decimal(38,4)"
-AMOUNT = F.col("o_totalprice").cast("decimal(26,4)")
+
+
+def _amount():
+    return F.col("o_totalprice").cast("decimal(26,4)")
 
 
 def _orders(t):
     return t.orders.select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority", AMOUNT.alias("amount"), F.col("o_orderdate").cast("date").alias("day")
+        "o_orderkey", "o_orderstatus", "o_orderpriority", _amount().alias("amount"), F.col("o_orderdate").cast("date").alias("day")
     )
 
 
@@ -62,7 +65,7 @@ def _(t):
     (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(26,4))) AS total FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
 )
 def _(t):
-    tables.ctas(t.orders.groupBy("o_custkey").agg(F.sum(AMOUNT).alias("total")), "staged_totals")
+    tables.ctas(t.orders.groupBy("o_custkey").agg(F.sum(_amount()).alias("total")), "staged_totals")
     staged = t.spark.table("staged_totals")
     joined = tables.ctas(staged.join(t.customer, F.col("o_custkey") == F.col("c_custkey")), "staged_joined")
     return joined.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.sum("total").cast(DEC).alias("total"))
@@ -113,7 +116,7 @@ def _(t):
     """SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(26,4))) AS DECIMAL(38,4)) AS total FROM orders GROUP BY 1""",
 )
 def _(t):
-    aggs = {"n": F.count("*"), "total": F.sum(AMOUNT).cast(DEC)}
+    aggs = {"n": F.count("*"), "total": F.sum(_amount()).cast(DEC)}
     return tables.refresh_aggregate(t.orders, scratch_path(t.spark, "summary"), ["o_orderstatus"], aggs)
 
 

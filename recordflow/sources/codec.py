@@ -84,7 +84,7 @@ def _avro(call: str, *args) -> Column:
 
 
 def decode(col: Column, kind: str, struct: T.StructType, codec: str) -> Column:
-    """Bytes to struct; unreadable JSON becomes NULL."""
+    """Bytes to struct; fields that cannot be read become NULL."""
     if codec == "json":
         return F.from_json(col.cast("string"), struct)
     if codec == "avro":

@@ -62,6 +62,9 @@ def encode_event(
 def decode_payload(df: DataFrame, codec: str = "json", payload: str = "payload") -> DataFrame:
     """Add one typed struct per event type; rows of unknown type keep three NULLs.
 
+    Every payload names its customer. One that does not was not readable (a text that is not
+    JSON parses to NULL fields) and gives NULL, so that it cannot overwrite anything.
+
     ``known`` tells recognised types apart, ``event_key`` closes the order of events that share
     a timestamp.
     """
@@ -81,16 +84,16 @@ def decode_payload(df: DataFrame, codec: str = "json", payload: str = "payload")
     out = out.withColumns(
         {
             "name": F.when(
-                name.isNotNull(),
+                name["customer_id"].isNotNull(),
                 F.struct(
                     name["first"].alias("firstName"), name["middle"].alias("middleName"), name["last"].alias("lastName")
                 ),
             ),
             "address": F.when(
-                address.isNotNull(), F.struct(*[address[f].alias(f) for f in schemas.ADDRESS.fieldNames()])
+                address["customer_id"].isNotNull(), F.struct(*[address[f].alias(f) for f in schemas.ADDRESS.fieldNames()])
             ),
             "identification": F.when(
-                ident.isNotNull(), F.struct(*[ident[f].alias(f) for f in schemas.IDENTIFICATION.fieldNames()])
+                ident["customer_id"].isNotNull(), F.struct(*[ident[f].alias(f) for f in schemas.IDENTIFICATION.fieldNames()])
             ),
             "known": kind.isin(list(schemas.EVENT_TYPES)),
         }
