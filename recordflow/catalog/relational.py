@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recordflow.catalog.registry import query
 from recordflow.catalog.roles import with_roles
 from recordflow.functions import text
-from recordflow.operators import joins, latest, paging, pivot, totals
+from recordflow.operators import joins, latest, paging, pivot, sets, totals
 
 DEC = "decimal(38,4)"
 
@@ -221,7 +221,7 @@ def _(t):
     LEFT JOIN (SELECT o_orderpriority AS p, count(*) AS n FROM orders GROUP BY 1) ON code = p""",
 )
 def _(t):
-    codes = t.spark.createDataFrame([("1-URGENT",), ("5-LOW",), ("9-NONE",)], "code string")
+    codes = sets.values_frame(t.spark, ["1-URGENT", "5-LOW", "9-NONE"], "code")
     facts = t.orders.groupBy(F.col("o_orderpriority").alias("code")).agg(F.count("*").alias("n"))
     return joins.scaffold(codes, facts, "code", {"n": F.lit(0).cast("bigint")})
 

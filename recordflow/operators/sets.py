@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def values_frame(spark: SparkSession, values: Sequence[str], name: str) -> DataFrame:
+    """A short fixed list of texts as rows; folded into the plan, no job is needed to make it."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:

@@ -14,9 +14,10 @@ from recordflow.operators.joins import lookup, scaffold, with_totals
 from recordflow.operators.latest import latest_by_max, latest_day, latest_per_key
 from recordflow.operators.paging import paginate
 from recordflow.operators.pivot import pivot_codes
-from recordflow.operators.sets import active_plus_closed
+from recordflow.operators.sets import active_plus_closed, values_frame
 from recordflow.operators.totals import metric_rows, share_of, with_totals_rows
 from recordflow.plans.reports.run import Run
+from recordflow.sources.tables import stage
 
 # Balance codes, families, tax patterns, transaction codes and report labels.
 SAVINGS_FAMILIES = ["Savings", "MMDA"]
@@ -218,6 +219,7 @@ def incentive_rows(
 
 def incentive_report(rows: DataFrame, size: int = 10) -> DataFrame:
     """Details, then totals of all, of non-residents and of the others; numbered by page."""
+    rows = stage(rows, "incentives")  # read for the details and for the totals
     foreign = F.col("nra") == "Yes"
     labels = {"Totals": None, "NRA Totals": foreign, "All Others": ~foreign}
     full = with_totals_rows(rows, ["incentives", "federal_tax", "fatca_tax"], "financial_entity", labels)
@@ -311,8 +313,7 @@ def control_totals(
     by_code = per_txn.groupBy("code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(17,2)").alias("value")
     )
-    spark = accounts.sparkSession
-    codes = spark.createDataFrame([(c,) for c in sorted(TRANSACTION_CODES.values())], "code string")
+    codes = values_frame(accounts.sparkSession, sorted(TRANSACTION_CODES.values()), "code")
     money0 = F.lit(0).cast("decimal(17,2)")
     lines = scaffold(codes, by_code, "code", {"n": F.lit(0).cast("bigint"), "value": money0})
 

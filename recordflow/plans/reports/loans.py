@@ -18,6 +18,7 @@ from recordflow.operators.paging import paginate
 from recordflow.operators.pivot import pivot_codes
 from recordflow.operators.totals import with_totals_rows
 from recordflow.plans.reports.run import Run
+from recordflow.sources.tables import stage
 
 # Counter and balance codes, states and marker texts of the loan reports.
 EXTENSION_CODES = [
@@ -302,6 +303,7 @@ def forgiven_debt(accounts: DataFrame, balances: DataFrame, customers: DataFrame
 
 def forgiven_debt_pages(rows: DataFrame, ledgers: str = ALL, branches: str = ALL, size: int = 10) -> DataFrame:
     """Details and a total per ledger, then the parameters, then pages in presentation order."""
+    rows = stage(rows, "forgiven")  # read for the details and for the totals
     full = with_totals_rows(
         rows, ["forgiven_debt", "forgiven_interest"], "financial_entity", {"Total": None}, keys=["ledger_id"]
     )

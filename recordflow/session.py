@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster a machine-local
     folder would lose the data together with the executor that wrote it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if not is_local(spark):
