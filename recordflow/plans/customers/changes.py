@@ -48,12 +48,12 @@ def change_records(
     snapshot: DataFrame,
     events: DataFrame,
     handlers: Mapping[str, Handler] | None = None,
-    bucket_millis: int = 3_600_000,
+    bucket_millis: int = 60_000,
 ) -> DataFrame:
     """One row per recognised event with the item before and after it.
 
     The old value is the previous item of the same (customer, kind, type), found over snapshot
-    and events together. Histories are cut in time buckets (an hour by default), so one
+    and events together. Histories are cut in time buckets (a minute by default), so one
     customer with a large share of all events is worked on by many tasks.
     """
     items = event_items(events, handlers)
