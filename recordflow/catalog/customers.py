@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow import schemas
 from recordflow.catalog.registry import Inputs, query
@@ -232,6 +233,22 @@ def _(t):
     return item_text(merge.split_outputs(merged, "modified")["modified"])
 
 
+@query("stream_merge", _ITEMS + " SELECT customer_id, name_text, address_text, id_text FROM merged")
+def _(t):
+    """The event table as a stream, folded onto the base batch by batch into deltas."""
+    table, deltas, checkpoint = (scratch_path(t.spark, n) for n in ("event-table", "deltas", "checkpoint"))
+    tables.write_partitioned(flat_events(t), table, events.EVENT_PARTITIONS)
+    schema = T.StructType([*schemas.SNAPSHOT.fields, T.StructField("batch", T.LongType())])
+    base = base_snapshot(t)
+
+    def earlier(batch: int) -> DataFrame:
+        return tables.read_if_exists(t.spark, deltas, schema).where(F.col("batch") < batch)
+
+    stream = t.spark.readStream.schema(schemas.EVENT).parquet(table)
+    ingest.drain(ingest.merge_stream(stream, lambda: base, earlier, deltas, checkpoint))
+    return item_text(snapshot.current_snapshot(base, earlier(1 << 40), tie=("batch",)))
+
+
 _CHAIN = """, chain AS (SELECT *, lag(item) OVER (PARTITION BY customer_id, kind, item_type ORDER BY event_timestamp, event_id) AS old FROM all_items)"""
 
 

@@ -73,22 +73,28 @@ def join_between(
     Every period is listed under each calendar bucket it touches and every fact under its own,
     so the hash key is (key, bucket). That keeps the comparison count near the result size and
     spreads one very large key over many tasks. A fact has one bucket, so no pair repeats.
+    Periods are listed only within the days the facts cover (a scalar subquery), so an open end
+    such as 9999-12-31 does not multiply rows.
     """
     names = _pairs(keys)
     step = F.expr(f"interval 1 {bucket}")
 
-    def floor(col: str) -> Column:
-        return F.date_trunc(bucket, F.col(col)).cast("date")
+    def floor(col: Column) -> Column:
+        return F.date_trunc(bucket, col).cast("date")
 
+    span = facts.agg(F.struct(F.min(date).cast("date").alias("lo"), F.max(date).cast("date").alias("hi")).alias("s"))
+    first = F.greatest(F.col(low).cast("date"), F.col("_span.lo"))
+    last = F.least(F.col(high).cast("date"), F.col("_span.hi"))
     right = (
-        periods.where(F.col(low) <= F.col(high))
+        periods.withColumn("_span", span.scalar())
+        .where((F.col(low) <= F.col(high)) & (first <= last))
         .select(
             *[F.col(r).alias(f"_k{i}") for i, r in enumerate(names.values())],
             *[c for c in periods.columns if c not in names.values()],
-            F.explode(F.sequence(floor(low), floor(high), step)).alias("_bucket_r"),
+            F.explode(F.sequence(floor(first), floor(last), step)).alias("_bucket_r"),
         )
     )
-    left = facts.withColumn("_bucket_l", floor(date))
+    left = facts.withColumn("_bucket_l", floor(F.col(date)))
     on = [F.col(a) == F.col(f"_k{i}") for i, a in enumerate(names)]
     on += [F.col("_bucket_l") == F.col("_bucket_r"), F.col(date).between(F.col(low), F.col(high))]
     dropped = [f"_k{i}" for i in range(len(names))]

@@ -87,7 +87,7 @@ def _shown(item: Column, fields: list[str]) -> Column:
     return F.when(item.isNull(), F.lit("<none>")).otherwise(text)
 
 
-def change_report(updates: DataFrame) -> DataFrame:
+def change_report(updates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Readable change text, one row per line: (customer_id, event_timestamp, line_nbr, line).
 
     Lines are made per change record, so the report is written by all tasks; order by the key
@@ -110,7 +110,7 @@ def change_report(updates: DataFrame) -> DataFrame:
         lines = F.concat(lines, F.when(changed, block).otherwise(F.slice(block, 1, 0)))
     lines = F.concat(lines, F.array(F.lit("-" * 50)))
     return updates.select(
-        "customer_id", "event_timestamp", F.posexplode(lines).alias("line_nbr", "line")
+        "customer_id", "event_timestamp", *keep, F.posexplode(lines).alias("line_nbr", "line")
     ).withColumn("line_nbr", F.col("line_nbr").cast("bigint"))
 
 
@@ -118,3 +118,14 @@ def change_total(updates: DataFrame) -> DataFrame:
     """The header of the report: how many changes it lists."""
     count = F.count(F.lit(1)).cast("string")
     return updates.agg(F.concat(F.lit("Total Updates: "), count).alias("line"))
+
+
+def write_change_report(updates: DataFrame, path: str) -> None:
+    """Write the report as text files that follow each other in customer order.
+
+    The files are made by a range sort, one task each; the total goes to ``<path>-total``.
+    """
+    order = ["customer_id", "event_timestamp", "event_key", "line_nbr"]
+    lines = change_report(updates, keep=("event_key",))
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
+    change_total(updates).write.mode("overwrite").text(f"{path}-total")

@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordflow import schemas
 from recordflow.sources.events import domain_partition
+from recordflow.sources.tables import stage, write_dated
 
 
 @dataclass(frozen=True)
@@ -133,4 +133,14 @@ def split_outputs(merged: DataFrame, mode: str = "modified") -> dict[str, DataFr
     return out
 
 
-__all__ = ["Handler", "default_handlers", "event_items", "merge_customers", "split_outputs", "schemas"]
+def write_outputs(merged: DataFrame, mode: str, date: str, full_root: str | None = None, delta_root: str | None = None) -> None:
+    """Write the outputs of a merge as the slice of one day below separate roots.
+
+    With ``both`` the merge is staged once and read twice instead of being computed twice.
+    """
+    roots = {"full": full_root, "modified": delta_root}
+    source = stage(merged, "merged") if mode == "both" else merged
+    for name, frame in split_outputs(source, mode).items():
+        if roots[name] is None:
+            raise ValueError(f"no folder given for the {name} output")
+        write_dated(frame, roots[name], date)

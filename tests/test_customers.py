@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from recordflow import schemas
 from recordflow.plans.customers import changes, extract, merge, reconcile, snapshot
+from recordflow.session import scratch_path
 from recordflow.sources import codec, events
 
 DAY = datetime.date(2025, 4, 3)
@@ -148,6 +149,27 @@ def test_split_outputs(base, raw):
         merge.split_outputs(merged, "other")
 
 
+def test_outputs_are_written_by_day(spark, base, raw):
+    full, delta = scratch_path(spark, "full"), scratch_path(spark, "delta")
+    merged = merge.merge_customers(base, events.decode_payload(raw), str(DAY))
+    merge.write_outputs(merged, "both", str(DAY), full, delta)
+    merge.write_outputs(merged, "modified", str(DAY), delta_root=delta)  # a repeated run replaces the day
+    assert spark.read.parquet(full).count() == 5 and spark.read.parquet(delta).count() == 4
+    again = snapshot.current_snapshot(base, spark.read.schema(schemas.SNAPSHOT).parquet(delta))
+    assert again.count() == 5
+    with pytest.raises(ValueError):
+        merge.write_outputs(merged, "full", str(DAY))
+
+
+def test_change_report_files(spark, base, raw):
+    path = scratch_path(spark, "report")
+    records = changes.change_records(base, events.decode_payload(raw))
+    changes.write_change_report(records, path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert len(lines) == 5 * records.count() and lines.count("-" * 50) == records.count()
+    assert spark.read.text(path + "-total").first().value == f"Total Updates: {records.count()}"
+
+
 def test_custom_handler(base, raw):
     """A registry with one type only: the others are ignored."""
     names = {"NAME": merge.default_handlers()["NAME"]}

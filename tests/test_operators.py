@@ -70,6 +70,17 @@ def test_join_between_equals_plain_condition(spark, rows):
         assert rows(got) == rows(want)
 
 
+def test_join_between_open_ends(spark, rows):
+    """An end in the far future and one in the far past list no more buckets than the facts have."""
+    facts = spark.createDataFrame([(1, "2024-01-31"), (1, "2024-03-01"), (2, "2024-02-01")], "k int, d string").withColumn("d", F.col("d").cast("date"))
+    periods = spark.createDataFrame(
+        [(1, "p", "0001-01-01", "9999-12-31"), (1, "q", "2024-02-01", None), (2, "r", "2025-01-01", "9999-12-31")], "k int, n string, lo string, hi string"
+    ).withColumns({c: F.col(c).cast("date") for c in ("lo", "hi")})
+    out = joins.join_between(facts, periods, ["k"], "d", "lo", "hi")
+    assert rows(out.select("k", F.col("d").cast("string"), "n")) == [(1, "2024-01-31", "p"), (1, "2024-03-01", "p")]
+    assert joins.join_between(facts.limit(0), periods, ["k"], "d", "lo", "hi").count() == 0
+
+
 def test_attach_all_is_the_product(spark, rows):
     left = spark.range(50).toDF("a")
     right = spark.range(7).toDF("b")
