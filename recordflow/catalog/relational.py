@@ -307,6 +307,18 @@ def _(t):
     )
 
 
+@query(
+    "pivot_latest",
+    with_roles("period_balance")
+    + """, one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id, code ORDER BY batch_date DESC, row_id DESC) AS rn FROM period_balance) WHERE rn = 1)
+    SELECT account_id, max(amount) FILTER (WHERE code = 'TotalFeeCollected') AS fee, max(amount) FILTER (WHERE code = 'TotalInterestCollected') AS interest
+    FROM one WHERE code IN ('TotalFeeCollected', 'TotalInterestCollected') GROUP BY account_id""",
+)
+def _(t):
+    codes = {"TotalFeeCollected": "fee", "TotalInterestCollected": "interest"}
+    return pivot.pivot_latest(t.period_balance, ["account_id"], "code", "amount", codes, ["batch_date", "row_id"])
+
+
 @query(
     "pivot_map",
     with_roles("period_balance")

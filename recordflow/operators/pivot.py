@@ -54,6 +54,29 @@ def pivot_codes(
     )
 
 
+def pivot_latest(
+    df: DataFrame,
+    keys: Sequence[str],
+    code: Column | str,
+    value: str,
+    codes: Mapping[str, str],
+    order: Sequence[str],
+) -> DataFrame:
+    """One column per code with the value of its newest row, by ``order`` ascending.
+
+    The same as taking the newest row per (key, code) and pivoting it, but in one aggregation
+    and so with one shuffle: every cell keeps the value of its largest order seen so far. Meant
+    for a handful of codes; each row is tested against all of them.
+    """
+    which = F.col(code) if isinstance(code, str) else code
+
+    def cell(wanted: str) -> Column:
+        hit = which == wanted
+        return F.max_by(F.when(hit, F.col(value)), F.when(hit, F.struct(*order)))
+
+    return df.where(which.isin(list(codes))).groupBy(*keys).agg(*[cell(c).alias(n) for c, n in codes.items()])
+
+
 def map_codes_to_columns(
     df: DataFrame, keys: Sequence[str], code: str, value: str, codes: Mapping[str, str]
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from recordflow.operators.filters import ALL, keep_any_positive, param_filter
 from recordflow.operators.joins import lookup, scaffold, with_totals
 from recordflow.operators.latest import latest_by_max, latest_day, latest_per_key
 from recordflow.operators.paging import paginate
-from recordflow.operators.pivot import pivot_codes
+from recordflow.operators.pivot import pivot_codes, pivot_latest
 from recordflow.operators.sets import active_plus_closed, values_frame
 from recordflow.operators.totals import metric_rows, share_of, with_totals_rows
 from recordflow.plans.reports.run import Run
@@ -69,8 +69,7 @@ def newest_yearly(balances: DataFrame, run: Run, codes: Mapping[str, str], loose
         listed = of_year.where((F.col("period") == "Yearly") & F.col("code").isin(list(codes))).join(
             days, ["account_id", "batch_date"], "left_semi"
         )
-    one = latest_per_key(listed, ["account_id", "code"], [F.col("batch_date").desc(), F.col("row_id").desc()])
-    return pivot_codes(one, ["account_id"], "code", "amount", codes)
+    return pivot_latest(listed, ["account_id"], "code", "amount", codes, ["batch_date", "row_id"])
 
 
 def savings_interest(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordflow.functions.text import is_blank, strip_chars, title_lines, token
 from recordflow.operators.joins import Lookup, anti, fallback_lookup, lookup, self_related
 from recordflow.operators.latest import latest_per_key
-from recordflow.operators.pivot import explode_list, pivot_codes, pivot_tags
+from recordflow.operators.pivot import explode_list, pivot_codes, pivot_latest, pivot_tags
 
 # Balance codes per window and the columns they fill, attribute types.
 STATEMENT_CELLS: dict[tuple[str, str], str] = {
@@ -173,8 +173,7 @@ def attributes(driver: DataFrame, extra: DataFrame) -> DataFrame:
     )
     keys = driver.select(F.col("related_id").alias("account_id")).distinct()
     known = extra.where(valid).join(keys, "account_id", "left_semi")
-    newest = latest_per_key(known, ["account_id", "attr_type"], [F.col("day").desc(), F.col("row_id").desc()])
-    return pivot_codes(newest, ["account_id"], "attr_type", "attr_value", ATTRIBUTES)
+    return pivot_latest(known, ["account_id"], "attr_type", "attr_value", ATTRIBUTES, ["day", "row_id"])
 
 
 def statement_driver(details: DataFrame, orphans: DataFrame, accounts: DataFrame, run_date: str) -> DataFrame:

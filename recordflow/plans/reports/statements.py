@@ -17,7 +17,7 @@ from recordflow.functions.jsons import json_rows
 from recordflow.functions.text import day_span, implied_decimal, map_codes, title_lines
 from recordflow.operators.joins import Lookup, attach_all, fallback_lookup, join_between, lookup
 from recordflow.operators.latest import latest_by_max, latest_per_key, only_sole
-from recordflow.operators.pivot import join_strings, pivot_codes, pivot_tags
+from recordflow.operators.pivot import join_strings, pivot_latest, pivot_tags
 from recordflow.operators.sets import with_sentinel_row
 from recordflow.operators.totals import count_distinct_rows
 from recordflow.plans.reports.run import Run
@@ -94,25 +94,20 @@ def filter_list(driver: DataFrame) -> DataFrame:
 def yearly_totals(balances: DataFrame, year: int) -> DataFrame:
     """Fees and interest of the year and the year before, one row per account.
 
-    One scan: the newest yearly row per (account, code, year) first, then one conditional
-    aggregation over code and year.
+    The newest yearly row per (account, code, year) counts. One scan and one aggregation fill
+    the four cells of code and year.
     """
     wanted = F.col("code").isin(FEES, INTEREST) & (F.col("period") == "Yearly")
     yearly = balances.where(wanted & F.year("valid_to").isin(year, year - 1))
-    one = latest_per_key(
-        yearly.withColumn("_y", F.year("valid_to")),
-        ["account_id", "code", "_y"],
-        [F.col("batch_date").desc(), F.col("row_id").desc()],
-    )
-    which = F.when(F.col("_y") == year, F.lit("")).otherwise(F.lit("_prev"))
-    cells = one.select("account_id", F.concat("code", which).alias("cell"), "amount")
+    which = F.when(F.year("valid_to") == year, F.lit("")).otherwise(F.lit("_prev"))
     names = {
         FEES: "fees_ytd",
         INTEREST: "interest_ytd",
         FEES + "_prev": "fees_prev_ytd",
         INTEREST + "_prev": "interest_prev_ytd",
     }
-    return pivot_codes(cells, ["account_id"], "cell", "amount", names)
+    cells = yearly.withColumn("cell", F.concat("code", which))
+    return pivot_latest(cells, ["account_id"], "cell", "amount", names, ["batch_date", "row_id"])
 
 
 def ytd_record(driver: DataFrame, balances: DataFrame, year: int) -> DataFrame:
@@ -193,8 +188,8 @@ def balance_record(
     codes: dict[str, str],
 ) -> DataFrame:
     """402: single-code balances, delinquency and limits. ``codes`` maps code to column."""
-    newest = run.newest(balances, "batch_date", ["account_id", "code"], [F.col("row_id").desc()])
-    cells = pivot_codes(newest, ["account_id"], "code", "amount", codes)
+    of_run = balances.where(run.holds("batch_date"))
+    cells = pivot_latest(of_run, ["account_id"], "code", "amount", codes, ["batch_date", "row_id"])
     today = run.newest(daily, "day", ["account_id"], [F.col("row_id").desc()])
     out = lookup(driver, today, ["account_id"], {"ledger_balance": "principal", "accrued_interest": "accrued", "adjustment": "adjustment"})
     out = lookup(out, accounts, ["account_id"], {"rate": "rate", "first_deposit": "credit_limit"})

@@ -170,6 +170,21 @@ def test_three_pivot_forms_agree(spark, rows):
     assert rows(case) == rows(by_map) == rows(joined)
 
 
+def test_pivot_latest_equals_latest_then_pivot(spark, rows):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97).alias("k"),
+        (F.col("id") % 7).cast("string").alias("c"),
+        (F.col("id") * 31 % 101).alias("d"),
+        F.col("id").alias("i"),
+        F.when(F.col("id") % 13 == 0, None).otherwise(F.col("id")).alias("v"),
+    )
+    codes = {"1": "one", "4": "four"}
+    newest = latest.latest_per_key(df, ["k", "c"], [F.col("d").desc(), F.col("i").desc()])
+    out = pivot.pivot_latest(df, ["k"], "c", "v", codes, ["d", "i"])
+    assert rows(out) == rows(pivot.pivot_codes(newest, ["k"], "c", "v", codes))
+    assert plan(out).count("Exchange hash") == 1
+
+
 def test_pick_first_skips_nulls(spark, rows):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, "w"), ("b", 1, None)], "k string, o int, v string")
     assert rows(pivot.pick_first(df, ["k"], ["v"], order=F.col("o"))) == [("a", "x"), ("b", None)]
