@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from recordflow.catalog.registry import query
 from recordflow.catalog.roles import with_roles
