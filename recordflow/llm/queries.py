@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm import jaccard, langid, packing, quality, token_files, url_filter
+from recordflow.llm import jaccard, langid, line_dedup, packing, quality, token_files, url_filter
 from recordflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
+@register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", F.col("kept_text").alias("text"), "n_lines", "n_removed")
+
+
 #: Rules of the URL query, as (host, path).
 URL_RULES = (
     url_filter.Rule("net", "/", "block"),
