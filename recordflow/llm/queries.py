@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm import jaccard, langid, line_dedup, packing, quality, token_files, url_filter
+from recordflow.llm import jaccard, langid, line_dedup, mixing, packing, quality, token_files, url_filter
 from recordflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    taken = (F.col("size") * F.size("uses")).alias("taken")
+    return mixed.select("row.doc_id", "size", "source_size", "target", taken)
+
+
 @register
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
