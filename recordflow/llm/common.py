@@ -75,7 +75,7 @@ def write_file(uri: str, parts) -> None:
     system, path = filesystem(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
     own = f"{path}.{os.urandom(6).hex()}"
-    with system.open_output_stream(own) as out:
+    with system.open_output_stream(own, compression=None) as out:
         for part in parts:
             out.write(part)
     system.move(own, path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm import imatch, jaccard, langid, line_dedup, mixing, packing, quality, token_files, url_filter
+from recordflow.llm import imatch, jaccard, langid, line_dedup, mixing, packing, quality, token_files, url_filter, warc
 from recordflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(warc.normalise(warc.write_monolithic(table(spark, sf_dir, "pages"))))
+
+
 @register
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
