@@ -1,8 +1,72 @@
-"""A corpus from raw documents to packed sequences; see ``STAGES``."""
+"""A corpus from raw documents to packed sequences.
+
+Each stage works on everything that the one before kept, and its decisions take effect: a stage's result
+is written as Parquet and read as the next one's ``docs``. All stages but the last return the columns of
+``documents``. ``run`` applies them in order.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recordflow.llm import jaccard, langid, line_dedup, mixing, packing
+from recordflow.llm.common import staged, table
+from recordflow.llm.queries import tokenizer_path
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The tokenizer's end of a document in the packed sequences.
+END_ID = 0
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that belong to no language of the corpus; ``lang`` is what the text says it is."""
+    found = langid.identify(docs, langid.fit(docs)).where(F.col("lang_pred") != langid.REJECTED)
+    return found.select("row.*", "lang_pred").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove repeated passages; documents of which nothing is left go."""
+    out = line_dedup.dedup_lines(docs)
+    left = (F.col("n_removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
+    out = out.where(left).select("row.*", "kept_text")
+    return out.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near duplicates; one without an id stays."""
+    groups = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("first"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
 
-STAGES: list = []
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draw documents so that the sources' words come to their target shares, in the order of the shards."""
+    rows = mixing.mixed_rows(mixing.mix(docs, keep=list(COLUMNS)))
+    ordered = rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return ordered.select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of all documents in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, tokenizer_path(), END_ID)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: Language models, hashed draws and a tokenizer are not SQL; tests/llm holds the stages against plain code.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
