@@ -93,6 +93,16 @@ def _(t):
     return filters.param_filter(rows, "collateral_code", ",Vehicle").select("account_id", "branch_id", "collateral_code")
 
 
+@query(
+    "param_filter_wide",
+    """SELECT o_orderkey, k FROM (SELECT o_orderkey, nullif(o_custkey, 8) AS k FROM orders)
+    WHERE k IS NULL OR (k % 2 = 1 AND k BETWEEN 1 AND 2999)""",
+)
+def _(t):
+    rows = t.orders.select("o_orderkey", F.nullif(F.col("o_custkey"), F.lit(8)).alias("k"))
+    return filters.param_filter(rows, "k", ",".join(["", *map(str, range(1, 3000, 2))]))
+
+
 @query(
     "case_map",
     """SELECT c_custkey, CASE c_mktsegment WHEN 'MACHINERY' THEN '00' WHEN 'FURNITURE' THEN '01' ELSE '' END AS code,

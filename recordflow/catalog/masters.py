@@ -180,7 +180,7 @@ def _(t):
 
 _MASTER_ROWS = """m AS (SELECT DISTINCT account_id, customer_id AS receiver_id, notify_mode, CAST(CASE comm_mode WHEN 'Mail' THEN 1 ELSE 0 END AS INTEGER) AS paper_count,
     CAST(CASE comm_mode WHEN 'SecureEMessage' THEN 2 ELSE 0 END AS INTEGER) AS secure_count, product AS title FROM account_statement)"""
-_CONTACT_ROWS = """k AS (SELECT DISTINCT customer_id AS account_id, customer_id AS receiver_id, line1, city, state, addr_type, CAST(row_id AS INTEGER) AS seq FROM postal_address
+_CONTACT_ROWS = """k AS (SELECT DISTINCT customer_id AS account_id, customer_id AS receiver_id, line1, city, state, addr_type, CAST(row_id AS BIGINT) AS seq FROM postal_address
     WHERE action <> 'Delete')"""
 
 
@@ -215,7 +215,7 @@ def _(t):
             "city",
             "state",
             "addr_type",
-            F.col("row_id").cast("int").alias("seq"),
+            F.col("row_id").cast("long").alias("seq"),
         )
         .distinct()
     )

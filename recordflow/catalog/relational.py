@@ -163,12 +163,13 @@ def _(t):
 
 @query(
     "control_count",
-    """WITH rec AS (SELECT o_orderstatus AS form, count(*) AS cnt FROM orders GROUP BY 1)
-    SELECT n_nationkey, form, cnt FROM nation CROSS JOIN rec WHERE form IS NOT NULL""",
+    """WITH rec AS (SELECT c_nationkey, o_orderstatus AS form, count(*) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+    SELECT n_nationkey, form, cnt FROM nation JOIN rec ON n_nationkey = c_nationkey WHERE form IS NOT NULL""",
 )
 def _(t):
-    counts = t.orders.groupBy(F.col("o_orderstatus").alias("form")).agg(F.count("*").alias("cnt"))
-    return joins.attach_all(t.nation.select("n_nationkey"), counts).where(F.col("form").isNotNull())
+    placed = joins.lookup(t.orders, t.customer, {"o_custkey": "c_custkey"}, {"c_nationkey": "n_nationkey"}, how="inner")
+    counts = placed.groupBy("n_nationkey", F.col("o_orderstatus").alias("form")).agg(F.count("*").alias("cnt"))
+    return t.nation.select("n_nationkey").join(counts.where(F.col("form").isNotNull()), "n_nationkey")
 
 
 @query(

@@ -295,7 +295,8 @@ SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day,
 FROM {ORDERS}""",
     "account_bill": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {money('o_totalprice / 10')} AS bill_amount, {ORDER_DAY} + 30 AS next_bill_on
-FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest FROM {{orders}}) b
+WHERE newest = 1""",
     "account_schedule": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day, o_orderpriority AS term, o_orderkey AS row_id FROM {{orders}}""",
     "statement_detail": f"""

@@ -163,7 +163,7 @@ _ADVERSE = "SELECT account_id, 'Open' AS bankruptcy_status FROM {0} WHERE status
     + _driver_sql()
     + f", {_TODAY}, "
     + _newest("period_balance", "account_id, code", f"batch_date {_IN}", "batch_date DESC, row_id DESC", "bal")
-    + f", adverse AS ({_ADVERSE.format('deposit_account')}), detail AS (SELECT 'U' || CAST(o_orderkey AS VARCHAR) AS message_id, CAST(o_orderdate AS DATE) + 20 AS grace_time FROM orders WHERE o_orderstatus = 'O') "
+    + f", adverse AS ({_ADVERSE.format('deposit_account')}), detail AS (SELECT 'U' || CAST(o_orderkey AS VARCHAR) AS message_id, CASE WHEN o_orderstatus = 'O' THEN CAST(o_orderdate AS DATE) + 20 END AS grace_time FROM orders) "
     + _prefix("402")
     + f""", {_implied('a.rate', 14, 10)} AS interest_daily_factor, {_implied('m.amount')} AS minimum_payment, {_implied('v.amount')} AS available_balance,
     {_implied('j.amount')} AS projected_interest, {_implied('a.first_deposit')} AS current_credit_limit, {_implied('n.accrued_interest')} AS interest_charged,
@@ -176,9 +176,9 @@ def _(t):
     adverse = t.deposit_account.where((F.col("status") == "Settled") & (F.col("substate") == "Open")).select(
         "account_id", F.lit("Open").alias("bankruptcy_status")
     )
-    details = t.orders.where(F.col("o_orderstatus") == "O").select(
+    details = t.orders.select(
         F.concat(F.lit("U"), F.col("o_orderkey").cast("string")).alias("message_id"),
-        F.date_add(F.col("o_orderdate").cast("date"), 20).alias("grace_time"),
+        F.when(F.col("o_orderstatus") == "O", F.date_add(F.col("o_orderdate").cast("date"), 20)).alias("grace_time"),
     )
     return statements.balance_record(
         _driver(t), t.deposit_account, t.account_day, t.period_balance, adverse, details, RUN, _CODES
@@ -193,7 +193,7 @@ def _(t):
     + _newest("period_balance", "account_id", f"batch_date {_IN} AND code = 'TotalInterestCollected' AND period = 'Yearly'", "batch_date DESC, row_id DESC", "y0")
     + ", "
     + _newest("period_balance", "account_id", "batch_date = DATE '1997-12-31' AND code = 'TotalInterestCollected' AND period = 'Yearly'", "row_id DESC", "y1")
-    + ", rates AS (SELECT account_id, index_name AS index_code, rate AS spread FROM deposit_account WHERE family = 'Savings') "
+    + ", rates AS (SELECT account_id, CASE WHEN family = 'Savings' THEN index_name END AS index_code, CASE WHEN family = 'Savings' THEN rate END AS spread FROM deposit_account) "
     + _prefix("401")
     + f""", d.account_id AS account_number, {_implied('d.current_due')} AS current_principal_due, {_implied('n.ledger_balance')} AS total_principal_due,
     {_implied('n.accrued_interest + b.bill_amount')} AS total_interest_due, {_implied('b.bill_amount')} AS current_payment_amount, {_implied('a.first_deposit')} AS amount_financed,
@@ -203,8 +203,9 @@ def _(t):
     LEFT JOIN y0 ON d.account_id = y0.account_id LEFT JOIN y1 ON d.account_id = y1.account_id LEFT JOIN rates r ON d.account_id = r.account_id LEFT JOIN prev p ON d.account_id = p.account_id""",
 )
 def _(t):
-    rates = t.deposit_account.where(F.col("family") == "Savings").select(
-        "account_id", F.col("index_name").alias("index_code"), F.col("rate").alias("spread")
+    savings = F.col("family") == "Savings"
+    rates = t.deposit_account.select(
+        "account_id", F.when(savings, F.col("index_name")).alias("index_code"), F.when(savings, F.col("rate")).alias("spread")
     )
     return statements.payment_record(
         _driver(t), t.account_statement, t.deposit_account, t.account_day, t.account_bill, t.period_balance, rates, RUN
@@ -391,7 +392,7 @@ def _(t):
     + f""", rec AS (SELECT statement_type AS form_id, ledger_id, count(*) AS cnt FROM
       (SELECT DISTINCT statement_type, ledger_id, customer_id, account_id FROM account_statement WHERE starts_on {_IN}) GROUP BY ALL)
     SELECT DISTINCT '995' AS rec_typ, 'ZZZZZZZ' AS accnt_nmbr, 'ZZZZZZZ' AS uuid, form_id || '100' AS sort_order, '995' AS sort_order_1, 'ZZZZZZ-ZZZZZZZ' AS filter_val,
-    unit_id AS company_code, form_id AS form_type, '100' AS form_variation, cnt AS total_records FROM org_unit CROSS JOIN rec WHERE unit_type = 'Financial Entity'""",
+    unit_id AS company_code, form_id AS form_type, '100' AS form_variation, cnt AS total_records FROM org_unit JOIN rec USING (ledger_id) WHERE unit_type = 'Financial Entity'""",
 )
 def _(t):
     return statements.control_record(t.account_statement, t.org_unit, RUN)

@@ -37,6 +37,17 @@ def _(t):
     return stored.where(keep).select("o_orderkey", "amount")
 
 
+@query("truncate_read", "SELECT s_suppkey, s_name FROM supplier")
+def _(t):
+    """A table that was emptied stays readable and takes new rows of its schema."""
+    path = scratch_path(t.spark, "emptied")
+    people = t.customer.select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"))
+    people.write.parquet(path)
+    tables.truncate_with_schema(t.spark, path, people.schema)
+    tables.insert_into(t.supplier.select("s_suppkey", "s_name"), path)
+    return tables.read_table(t.spark, path, people.schema)
+
+
 @query("partitioned_roundtrip", _ORDERS_SQL)
 def _(t):
     path = scratch_path(t.spark, "orders")

@@ -10,26 +10,21 @@ from pyspark.sql import functions as F
 # Fixed value: the parameter text that stands for "all".
 ALL = "99999998"
 
-# Longer value lists are joined instead of being spelled out in the predicate.
-INLINE_LIMIT = 1000
-
 
 def param_filter(
     df: DataFrame, col: str, values: str, sentinel: str = ALL, blank_is_all: bool = False
 ) -> DataFrame:
     """Optional parameter: keep everything for the sentinel, else rows whose value is listed.
 
-    The decision is made while the plan is built, so "all" leaves no trace in the plan and a
-    short list becomes an IN predicate that reaches the scan. NULL is compared as ''.
+    The decision is made while the plan is built, so "all" leaves no trace in the plan. A list of any
+    length is one IN predicate on the value's text (a text column's reaches the scan; a long list is a
+    hash set). NULL is compared as ''.
     """
     if values == sentinel or (blank_is_all and values == ""):
         return df
     wanted = values.split(",")
-    if len(wanted) <= INLINE_LIMIT:
-        test = F.col(col).isin(wanted)
-        return df.where(test | F.col(col).isNull() if "" in wanted else test)
-    listed = df.sparkSession.createDataFrame([(w,) for w in sorted(set(wanted))], "_wanted string")
-    return df.join(listed, F.coalesce(F.col(col), F.lit("")) == F.col("_wanted"), "left_semi")
+    test = F.col(col).cast("string").isin(wanted)
+    return df.where(test | F.col(col).isNull() if "" in wanted else test)
 
 
 def keep_any_positive(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -142,18 +142,6 @@ def with_totals(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
     return df.withColumn("_totals", totals).withColumns({n: F.col("_totals")[n] for n in aggs}).drop("_totals")
 
 
-def attach_all(left: DataFrame, summary: DataFrame, slots: int = 32) -> DataFrame:
-    """Every row of ``left`` with every row of a per-group summary.
-
-    The result is a product by meaning (one control line per unit and group). It is made by an
-    equi join: left rows are spread over slots by hash and the short summary is listed once per
-    slot, so neither side has to be broadcast and no task sees more than one slot.
-    """
-    spread = left.withColumn("_slot", F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("int"))
-    listed = summary.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return spread.join(listed, "_slot").drop("_slot")
-
-
 @dataclass(frozen=True)
 class Lookup:
     """One source of a fallback chain. ``cols`` must follow the order of the wanted columns."""

@@ -52,19 +52,19 @@ def change_records(
 ) -> DataFrame:
     """One row per recognised event with the item before and after it.
 
-    The old value is the previous item of the same (customer, kind, type), found over snapshot
+    The old value is the previous item of the same (tenant, customer, kind, type), found over snapshot
     and events together. Histories are cut in time buckets (a minute by default), so one
     customer with a large share of all events is worked on by many tasks.
     """
     items = event_items(events, handlers)
     # Only the ids and types are needed to see which customers take part; no payload is decoded.
     registry = default_handlers() if handlers is None else handlers
-    ids = events.where(F.col("event_type").isin(list(registry))).select("customer_id").distinct()
-    touched = snapshot.join(ids, "customer_id", "left_semi")
+    ids = events.where(F.col("event_type").isin(list(registry))).select("tenant_id", "customer_id").distinct()
+    touched = snapshot.join(ids, ["tenant_id", "customer_id"], "left_semi")
     history = _snapshot_items(touched, items).unionByName(items)
     bucket = F.floor(F.col("event_timestamp") / bucket_millis).cast("bigint")
     chained = lag_in_buckets(
-        history, ["customer_id", "kind", "item_type"], bucket, ["event_timestamp", "event_key"], "item", "old"
+        history, ["tenant_id", "customer_id", "kind", "item_type"], bucket, ["event_timestamp", "event_key"], "item", "old"
     )
     return chained.where(F.col("event_type").isNotNull()).select(
         "tenant_id",

@@ -63,25 +63,33 @@ def event_items(events: DataFrame, handlers: Mapping[str, Handler] | None = None
     )
 
 
-def _changes(events: DataFrame, handlers: Mapping[str, Handler] | None) -> DataFrame:
-    """One row per customer with events: its newest items."""
-    newest = (
-        event_items(events, handlers)
-        .groupBy("customer_id", "kind", "item_type")
+KEYS = ("tenant_id", "customer_id")
+
+
+def newest_items(items: DataFrame) -> DataFrame:
+    """The newest item per (tenant, customer, kind, type), with its event time.
+
+    A partial aggregation; applying it to parts and then to their union gives the same.
+    """
+    return (
+        items.groupBy(*KEYS, "kind", "item_type")
         .agg(
             F.max_by(
-                F.struct("item", "tenant_id"), F.struct("event_timestamp", "event_key")
+                F.struct("item", "event_timestamp", "event_key"), F.struct("event_timestamp", "event_key")
             ).alias("_top")
         )
-        .select("customer_id", "kind", "item_type", "_top.item", "_top.tenant_id")
+        .select(*KEYS, "kind", "item_type", "_top.*")
     )
 
+
+def _by_customer(newest: DataFrame) -> DataFrame:
+    """One row per customer with events: its newest items."""
+
     def items(kind: str, field: str) -> Column:
         return F.collect_list(F.when(F.col("kind") == kind, F.col("item")[field]))
 
     # At most one row per item type remains here, so the lists are as short as the record.
-    return newest.groupBy("customer_id").agg(
-        F.max("tenant_id").alias("_tenant"),
+    return newest.groupBy(*[F.col(k).alias(f"_{k}") for k in KEYS]).agg(
         F.max(F.when(F.col("kind") == "name", F.col("item")["name"])).alias("_name"),
         items("address", "address").alias("_addresses"),
         items("identification", "identification").alias("_ids"),
@@ -99,18 +107,24 @@ def merge_customers(
 ) -> DataFrame:
     """Snapshot after the events, with ``was_modified``.
 
-    ``events`` come from ``decode_payload``. Customers without events pass through untouched;
-    customers only known from events are created, with the tenant of their events and the
-    domain partition of their id. Changed rows are dated ``run_date``.
+    ``events`` come from ``decode_payload``. Customers, known by tenant and id, pass through untouched
+    without events; those only known from events are created, with the domain partition of their id.
+    Changed rows are dated ``run_date``.
     """
-    changes = _changes(events, handlers).withColumnRenamed("customer_id", "_id")
-    joined = snapshot.join(changes, F.col("customer_id") == F.col("_id"), "full")
-    touched = F.col("_id").isNotNull()
-    customer = F.coalesce(F.col("customer_id"), F.col("_id"))
+    return merge_items(snapshot, newest_items(event_items(events, handlers)), run_date)
+
+
+def merge_items(snapshot: DataFrame, newest: DataFrame, run_date: str) -> DataFrame:
+    """The same from the newest items of the events."""
+    changes = _by_customer(newest)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    joined = snapshot.withColumn("_old", F.lit(True)).join(changes.withColumn("_new", F.lit(True)), same, "full")
+    touched, known = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+    tenant, customer = (F.when(known, F.col(k)).otherwise(F.col(f"_{k}")) for k in KEYS)
     addresses = F.col("addresses")
     ids = F.col("identifications")
     return joined.select(
-        F.coalesce("tenant_id", "_tenant").alias("tenant_id"),
+        tenant.alias("tenant_id"),
         F.coalesce(F.col("partition_id"), domain_partition(customer)).alias("partition_id"),
         customer.alias("customer_id"),
         F.when(touched, F.lit(run_date).cast("date")).otherwise(F.col("logical_date")).alias("logical_date"),

@@ -10,15 +10,16 @@ from recordflow.operators.latest import latest_per_key
 
 
 def current_snapshot(base: DataFrame, deltas: DataFrame, before: str | None = None, tie: tuple = ()) -> DataFrame:
-    """Base plus all earlier deltas, newest ``logical_date`` per customer.
+    """Base plus all earlier deltas, newest ``logical_date`` per tenant and customer.
 
     One union and one shuffle however many deltas there are. A delta beats the base on the same
-    date. ``tie`` names delta columns (a batch number, say) that order deltas of one date.
+    date. ``tie`` names delta columns (a batch number, say) that order the deltas before their
+    dates do: a later batch was folded onto the earlier ones, however old its events are.
     """
     older = deltas if before is None else prior_dates(deltas, "logical_date", before)
     cols = base.columns
     extra = list(tie)
     marked = base.withColumn("_delta", F.lit(0)).withColumns({t: F.lit(None).cast("bigint") for t in extra})
     both = marked.unionByName(older.select(*cols, *extra, F.lit(1).alias("_delta")))
-    order = [F.col("logical_date").desc(), F.col("_delta").desc(), *[F.col(t).desc_nulls_last() for t in extra]]
-    return latest_per_key(both, ["customer_id"], order).select(*cols)
+    order = [*[F.col(t).desc_nulls_last() for t in extra], F.col("logical_date").desc(), F.col("_delta").desc()]
+    return latest_per_key(both, ["tenant_id", "customer_id"], order).select(*cols)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from recordflow.functions.dates import address_valid_on, age_on, prior_year_end
 from recordflow.functions.jsons import json_rows
 from recordflow.functions.text import day_span, implied_decimal, map_codes, title_lines
-from recordflow.operators.joins import Lookup, attach_all, fallback_lookup, join_between, lookup
+from recordflow.operators.joins import Lookup, fallback_lookup, join_between, lookup
 from recordflow.operators.latest import latest_by_max, latest_per_key, only_sole
 from recordflow.operators.pivot import join_strings, pivot_latest, pivot_tags
 from recordflow.operators.sets import with_sentinel_row
@@ -486,13 +486,13 @@ def credit_line_record(driver: DataFrame, summaries: DataFrame, run: Run) -> Dat
 
 
 def control_record(statements: DataFrame, units: DataFrame, run: Run) -> DataFrame:
-    """995: number of distinct records per form and ledger, for every financial entity."""
+    """995: number of distinct records per form, for every financial entity of the ledger."""
     forms = statements.where(run.holds("starts_on") & F.col("statement_type").isNotNull()).select(
         F.col("statement_type").alias("form_id"), "ledger_id", "customer_id", "account_id"
     )
     counts = count_distinct_rows(forms, forms.columns, ["form_id", "ledger_id"])
-    entities = units.where(F.col("unit_type") == "Financial Entity").select("unit_id")
-    return attach_all(entities, counts.select("form_id", "cnt")).select(
+    entities = units.where(F.col("unit_type") == "Financial Entity").select("unit_id", "ledger_id")
+    return entities.join(counts, "ledger_id").select(
         F.lit("995").alias("rec_typ"),
         F.lit(MARKER_KEY).alias("accnt_nmbr"),
         F.lit(MARKER_KEY).alias("uuid"),

@@ -36,6 +36,12 @@ def flatten_envelope(df: DataFrame, value: str = "value", codec: str = "json") -
     )
 
 
+def rejected(df: DataFrame, value: str = "value", codec: str = "json") -> DataFrame:
+    """The rows whose envelope cannot be read, with their raw bytes; ``flatten_envelope`` has NULLs there."""
+    event = decode(F.col(value), "envelope", schemas.EVENT_ENVELOPE, codec)
+    return df.where(event["header"]["entity_id"].isNull())
+
+
 def encode_event(
     df: DataFrame, payloads: dict[str, Column], codec: str = "json", name: str = "value"
 ) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from recordflow.plans.customers.merge import merge_customers
-from recordflow.plans.customers.snapshot import current_snapshot
+from recordflow.plans.customers.merge import KEYS, event_items, merge_items, newest_items
 from recordflow.sources.events import EVENT_PARTITIONS, decode_payload, flatten_envelope
+from recordflow.sources.tables import read_if_exists
 
 RAW = T.StructType([T.StructField("value", T.BinaryType())])
 
@@ -44,43 +44,60 @@ def write_event_stream(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drain(query: StreamingQuery, timeout: int = 600) -> None:
-    """Wait for a stream to finish; an error in the stream is raised here."""
-    if not query.awaitTermination(timeout):
+def drain(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a stream to finish; an error in the stream is raised here.
+
+    Without a ``timeout`` the wait has no limit. With one, a longer stream is stopped.
+    """
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout} s")
 
 
 def merge_stream(
-    events: DataFrame,
-    base: Callable[[], DataFrame],
-    deltas: Callable[[int], DataFrame],
-    delta_root: str,
-    checkpoint: str,
+    events: DataFrame, base: Callable[[], DataFrame], delta_root: str, item_root: str, checkpoint: str
 ) -> StreamingQuery:
     """Fold each micro-batch onto the snapshot and write the modified customers as a delta.
 
-    ``base()`` and ``deltas(batch_id)`` are read anew for every batch; the latter gives the
-    deltas of earlier batches. Deltas are dated by the newest event of the batch and written by
-    overwrite of the batch's own folder, so a batch that is replayed after a failure replaces
-    its output.
+    ``item_root`` keeps each batch's newest items with their event times. A customer's state is the
+    base and the newest of all its items, so an event that arrives late never replaces a newer one,
+    in whatever order batches come. A batch is read once, and base and items only of its customers
+    are looked at. ``base()`` is read anew for every batch. Deltas are dated by the newest event of
+    their batch; read them with ``current_snapshot(..., tie=("batch",))``. Both outputs are written
+    by overwrite of the batch's own folder, so a batch that is replayed after a failure replaces them.
     """
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        day = batch.agg(F.max("logical_date").alias("d")).first()["d"]
-        snapshot = current_snapshot(base(), deltas(batch_id), tie=("batch",))
-        merged = merge_customers(snapshot, decode_payload(batch), str(day))
-        changed = merged.where("was_modified").drop("was_modified")
+    def write(frame: DataFrame, batch_id: int, root: str) -> None:
         (
-            changed.withColumn("batch", F.lit(batch_id).cast("bigint"))
+            frame.withColumn("batch", F.lit(batch_id).cast("bigint"))
             .write.option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch")
             .mode("overwrite")
-            .parquet(delta_root)
+            .parquet(root)
         )
 
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        items = event_items(decode_payload(batch)).withColumn("_day", F.timestamp_millis("event_timestamp").cast("date"))
+        day = Observation("batch")
+        fresh = newest_items(items.observe(day, F.max("_day").alias("day"), F.count(F.lit(1)).alias("rows")))
+        write(fresh, batch_id, item_root)
+        seen = day.get
+        if not seen["rows"]:
+            return
+        schema = T.StructType([*fresh.schema.fields, T.StructField("batch", T.LongType())])
+        stored = read_if_exists(spark, item_root, schema).where(F.col("batch") <= batch_id)
+        ids = stored.where(F.col("batch") == batch_id).select(*KEYS).distinct()
+
+        def of_batch(frame: DataFrame) -> DataFrame:
+            named = ids.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+            return frame.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_semi")
+
+        state = newest_items(of_batch(stored).drop("batch"))
+        write(merge_items(of_batch(base()), state, str(seen["day"])).drop("was_modified"), batch_id, delta_root)
+
     return (
         events.writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)

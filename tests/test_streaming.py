@@ -32,21 +32,20 @@ def test_restart_adds_nothing_and_new_files_are_taken(spark, inputs):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
-def test_incremental_merge_equals_one_merge(spark, inputs):
-    raw, delta_root, checkpoint = (scratch_path(spark, n) for n in ("raw", "delta", "cp"))
+@pytest.mark.parametrize("late_first", [False, True])
+def test_incremental_merge_equals_one_merge(spark, inputs, late_first):
+    raw, delta_root, items, checkpoint = (scratch_path(spark, n) for n in ("raw", "delta", "items", "cp"))
     flat = events.flatten_envelope(c.encoded(inputs).select("value"))
     base = c.base_snapshot(inputs)
     schema = T.StructType([*schemas.SNAPSHOT.fields, T.StructField("batch", T.LongType())])
-
-    def deltas(before):
-        return tables.read_if_exists(spark, delta_root, schema).where(F.col("batch") < before)
-
     day = flat.agg(F.percentile("event_timestamp", 0.5)).first()[0]
-    for part in (F.col("event_timestamp") <= day, F.col("event_timestamp") > day):
+    parts = [F.col("event_timestamp") <= day, F.col("event_timestamp") > day]
+    for part in reversed(parts) if late_first else parts:
         flat.where(part).write.mode("append").parquet(raw)
         stream = spark.readStream.schema(flat.schema).parquet(raw)
-        ingest.drain(ingest.merge_stream(stream, lambda: base, deltas, delta_root, checkpoint))
-    final = snapshot.current_snapshot(base, deltas(1 << 40), tie=("batch",)).drop("logical_date")
+        ingest.drain(ingest.merge_stream(stream, lambda: base, delta_root, items, checkpoint))
+    deltas = tables.read_if_exists(spark, delta_root, schema)
+    final = snapshot.current_snapshot(base, deltas, tie=("batch",)).drop("logical_date")
     whole = merge.merge_customers(base, events.decode_payload(flat), "2024-02-01").drop("was_modified", "logical_date")
     assert sorted(map(str, final.collect())) == sorted(map(str, whole.select(*final.columns).collect()))
 
@@ -55,6 +54,7 @@ def test_unreadable_values_become_null_rows(spark):
     df = spark.createDataFrame([(bytearray(b"junk"),)], "value binary")
     row = events.flatten_envelope(df).first()
     assert row.customer_id is None and row.payload is None
+    assert [bytes(r.value) for r in events.rejected(df).collect()] == [b"junk"]
 
 
 def test_kafka_needs_its_connector(spark):
