@@ -160,7 +160,7 @@ def deposit_listing(rows: DataFrame) -> DataFrame:
     detail and plain sub-totals of the amounts.
     """
     lines = rows.select("product_line", "product_code", "account_id", "customer_name", "currency", "ledger_balance", "accrued_interest", "interest_ytd")
-    lines = lines.withColumn("group_code", F.col("product_code"))
+    lines = stage(lines.withColumn("group_code", F.col("product_code")), "deposit-lines")  # read for lines and sub-totals
     out = with_totals_rows(
         lines, ["ledger_balance", "accrued_interest", "interest_ytd"], "product_line", {"SubTotal": None}, keys=["group_code"]
     )
@@ -172,6 +172,7 @@ def balances_by_rate(rows: DataFrame) -> DataFrame:
     grouped = rows.groupBy("rate", "currency").agg(
         F.count("account_id").alias("accounts"), F.sum("ledger_balance").alias("balance")
     )
+    grouped = stage(grouped, "by-rate")  # read for the rows and for their totals
     whole = with_totals(grouped, {"all_accounts": F.sum("accounts"), "all_balance": F.sum("balance")})
     return whole.select(
         F.col("rate").cast("string").alias("rate"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow.functions.text import is_blank, strip_chars, title_lines, token
-from recordflow.operators.joins import Lookup, anti, fallback_lookup, lookup, self_related
+from recordflow.operators.joins import Lookup, anti, fallback_lookup, lookup, self_related, semi
 from recordflow.operators.latest import latest_per_key
 from recordflow.operators.pivot import explode_list, pivot_codes, pivot_latest, pivot_tags
 
@@ -114,30 +114,49 @@ def balances_by_window(
 ) -> DataFrame:
     """Balances by code for the period, the period before, the year and the year before.
 
-    A balance row can belong to one of these windows only (statement or yearly, and one end
-    day), so the rows are labelled in a single join and pivoted once, instead of one join and
-    one pivot per window. The newest row per code and window counts. Codes named in
+    The four windows of a statement are rows with a kind and an end day, so balances meet them by
+    a hash on (account, kind, end day) and are pivoted once per related account and set of days; the
+    accounts that share those get the finished row. The newest row per code and window counts. Codes in
     ``average_codes`` show their average amount.
     """
-    end, batch, period = F.col("valid_to"), F.col("batch_date"), F.col("period")
-    windows = driver.select(
-        "account_id", "receiver_id", "related_id", "period_start", "period_end", "before_start", "year_end", "prior_year_end"
-    ).distinct()
+    batch, period = F.col("batch_date"), F.col("period")
+    days = ["period_start", "period_end", "before_start", "year_end", "prior_year_end"]
+    windows = driver.select("related_id", *days).distinct()
     codes = sorted({code for _, code in cells})
     long = balances.where(F.col("code").isin(codes) & period.isin("Statement", "Yearly")).withColumnRenamed("account_id", "_owner")
-    joined = long.join(windows, F.col("_owner") == F.col("related_id"))
-    statement, yearly = period == "Statement", period == "Yearly"
-    label = (
-        F.when(statement & (end == F.col("period_end")) & batch.between(F.col("period_start"), F.col("period_end")), "period")
-        .when(statement & (end == F.col("before_start")) & (batch <= F.col("period_start")), "prior_period")
-        .when(yearly & (end == F.col("year_end")) & (batch <= F.col("period_end")), "ytd")
-        .when(yearly & (end == F.col("prior_year_end")) & (batch <= F.col("period_end")), "prior_year")
+
+    def window(name: str, kind: str, end: str, latest: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("label"), F.lit(kind).alias("kind"), F.col(end).alias("end"), F.col(latest).alias("latest")
+        )
+
+    listed = windows.withColumn(
+        "_w",
+        F.explode(
+            F.array(
+                window("period", "Statement", "period_end", "period_end"),
+                window("prior_period", "Statement", "before_start", "period_start"),
+                window("ytd", "Yearly", "year_end", "period_end"),
+                window("prior_year", "Yearly", "prior_year_end", "period_end"),
+            )
+        ),
+    )
+    w = F.col("_w")
+    same = (F.col("_owner") == F.col("related_id")) & (period == w["kind"]) & (F.col("valid_to") == w["end"])
+    # A row of this period is not one of the period before, even where both end on one day.
+    current = (F.col("valid_to") == F.col("period_end")) & batch.between(F.col("period_start"), F.col("period_end"))
+    holds = F.when(w["label"] == "period", batch.between(F.col("period_start"), F.col("period_end"))).otherwise(
+        (batch <= w["latest"]) & ~((w["label"] == "prior_period") & F.coalesce(current, F.lit(False)))
     )
     value = F.when(F.col("code").isin(list(average_codes)), F.col("average_amount")).otherwise(F.col("amount"))
-    labelled = joined.withColumns({"cell": F.concat_ws("|", label, "code"), "value": value}).where(label.isNotNull())
-    keys = ["account_id", "receiver_id", "related_id"]
+    labelled = long.join(listed, same).where(holds).withColumns({"cell": F.concat_ws("|", w["label"], "code"), "value": value})
+    keys = ["related_id", *days]
     newest = latest_per_key(labelled, [*keys, "cell"], [batch.desc(), F.col("row_id").desc()])
-    return pivot_codes(newest, keys, "cell", "value", {"|".join(k): v for k, v in cells.items()})
+    amounts = pivot_codes(newest, keys, "cell", "value", {"|".join(k): v for k, v in cells.items()})
+    ours = driver.select("account_id", "receiver_id", *keys).distinct()
+    named = amounts.select(*[F.col(k).alias(f"_{k}") for k in keys], *cells.values())
+    out = ours.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return out.select("account_id", "receiver_id", "related_id", *cells.values())
 
 
 def related_customers(driver: DataFrame, relations: DataFrame, preferences: DataFrame, customers: DataFrame, run_date: str) -> DataFrame:
@@ -207,7 +226,9 @@ def statement_master(
     The last column is the class, which is also the partition to write to.
     """
     by_code = balances_by_window(driver, balances, cells, average_codes)
-    of_day = latest_per_key(daily, ["account_id", "day"], [F.col("row_id").desc()])
+    wanted_days = driver.select("related_id", F.explode(F.array("before_end", "period_end")).alias("_day")).distinct()
+    needed = semi(daily, wanted_days, {"account_id": "related_id", "day": "_day"})
+    of_day = latest_per_key(needed, ["account_id", "day"], [F.col("row_id").desc()])
     keys = ["account_id", "receiver_id", "related_id"]
     names = ["related_id", "relation_type", "relation_code", "privacy", "large_print", "name_line", "birth_date", "delivery_pref"]
     out = lookup(driver, customers_of, ["account_id"], {n: f"customer_{n}" for n in names})

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from recordflow.functions.dates import address_valid_on, age_on, prior_year_end
 from recordflow.functions.jsons import json_rows
 from recordflow.functions.text import day_span, implied_decimal, map_codes, title_lines
-from recordflow.operators.joins import Lookup, fallback_lookup, join_between, lookup
+from recordflow.operators.joins import Lookup, fallback_lookup, join_between, lookup, semi
 from recordflow.operators.latest import latest_by_max, latest_per_key, only_sole
 from recordflow.operators.pivot import join_strings, pivot_latest, pivot_tags
 from recordflow.operators.sets import with_sentinel_row
@@ -127,8 +127,11 @@ def totals_record(
     detailed = (F.col("statement_type") == DETAIL_TYPE) & F.col("product").like(DETAIL_PRODUCT)
     previous = run.before(statements.where(detailed), "starts_on", ["account_id"], [F.col("message_id").desc()])
     today = run.newest(daily, "day", ["account_id"], [F.col("row_id").desc()])
-    of_day = latest_per_key(daily, ["account_id", "day"], [F.col("row_id").desc()])
+    # Only the day before each statement counts; those days lie within the run, shifted by one.
     out = driver.withColumn("_yesterday", F.date_sub("starts_on", 1))
+    shifted = F.date_add("day", 1).between(run.start, run.end)
+    needed = semi(daily.where(shifted), out.distinct(), {"account_id": "account_id", "day": "_yesterday"})
+    of_day = latest_per_key(needed, ["account_id", "day"], [F.col("row_id").desc()])
     out = lookup(out, of_day, {"account_id": "account_id", "_yesterday": "day"}, {"ledger_balance": "begin_principal"})
     out = lookup(out, today, ["account_id"], {"accrued_interest": "accrued", "interest_paid": "fees_collected"})
     out = lookup(out, previous, ["account_id"], {"closing_balance": "begin_total"})
