@@ -511,6 +511,17 @@ def _(t):
     """SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS before FROM orders""",
 )
 def _(t):
+    """Five keys for all rows: by row numbers."""
+    rows = latest.lag_numbered(t.orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_totalprice", "before")
+    return rows.select("o_orderkey", "before")
+
+
+@query(
+    "lag_in_months",
+    """SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders""",
+)
+def _(t):
+    """Many keys: by month, the last value of each handed on to the next."""
     month = F.date_trunc("month", F.col("o_orderdate"))
-    rows = latest.lag_in_buckets(t.orders, ["o_orderpriority"], month, ["o_orderdate", "o_orderkey"], "o_totalprice", "before")
+    rows = latest.lag_in_buckets(t.orders, ["o_custkey"], month, ["o_orderdate", "o_orderkey"], "o_totalprice", "before")
     return rows.select("o_orderkey", "before")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordflow.operators.paging import with_row_number
+
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, where: Column | None = None
@@ -124,3 +126,18 @@ def lag_in_buckets(
     within = Window.partitionBy(*keys, "_bucket").orderBy("_real", *order)
     chained = both.withColumn("_prev", F.lag("_val").over(within)).where(F.col("_real") == 1)
     return chained.select(*df.columns, F.col("_prev.v").alias(name))
+
+
+def lag_numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Previous ``value`` of the key where a few keys, or one moment, hold most rows.
+
+    All rows are numbered in the order of keys and ``order`` (which runs a range sort when called),
+    and each row meets the one before it by its number. No window holds a key, so neither a hot key
+    nor a hot time stamp ends up in one task. ``order`` should be unique within a key.
+    """
+    numbered = with_row_number(df, [F.col(c) for c in (*keys, *order)], "_row")
+    before = numbered.select(
+        (F.col("_row") + 1).alias("_next"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias(name)
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return numbered.join(before, [F.col("_row") == F.col("_next"), *same], "left").select(*df.columns, name)

@@ -148,6 +148,17 @@ def test_lag_in_buckets_equals_lag(spark, rows):
         assert rows(got, *want.columns) == rows(want)
 
 
+def test_lag_numbered_with_one_hot_key_and_moment(spark, rows):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise((F.col("id") % 3).cast("string")).alias("k"),
+        F.when(F.col("id") % 8 < 7, 5).otherwise(F.col("id") % 17).alias("t"),
+        F.col("id").alias("i"),
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id")).alias("v"),
+    ).unionByName(spark.createDataFrame([(None, 1, -1, 7), (None, 1, -2, 8)], "k string, t long, i long, v long"))
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
+    assert rows(latest.lag_numbered(df, ["k"], ["t", "i"], "v", "p"), *want.columns) == rows(want)
+
+
 # --- pivots and totals ---------------------------------------------------------------------
 
 
