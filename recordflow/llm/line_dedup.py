@@ -5,7 +5,9 @@ passage is cut alike wherever it stands. A line of fifty words or more is a chun
 that occurs again, anywhere, is compared byte by byte with its first occurrence, and so are the lines
 around it up to the next chunk boundaries. The run of lines that both places share is removed if it has
 several lines or a long one. Every line that is removed still stands in a document that sorts before.
-Chunks are short (one boundary in eight is left out), so that few passages fall between two of them.
+Chunks are short (one boundary in eight is left out), so that few passages fall between two of them. The
+hash after a passage's first line also sees the line before it, so a passage of a few short lines can be
+cut in two ways; then each way keeps its first occurrence.
 
 Joins carry hashes and places; only the text of first occurrences travels to its repetitions.
 """

@@ -66,9 +66,10 @@ def groups(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("hot", [2000, 3])
-def test_equals_brute_force(spark, docs, monkeypatch, hot):
+@pytest.mark.parametrize("hot,block", [(2000, 1000), (3, 1000), (2000, 7)])
+def test_equals_brute_force(spark, docs, monkeypatch, hot, block):
     monkeypatch.setattr(jaccard, "HOT_LIST", hot)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
     rows = groups()
     assert result(docs(rows)) == brute(rows)
 
