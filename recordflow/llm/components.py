@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from recordflow.llm.common import staged
@@ -35,14 +35,16 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(
         edges.where(F.col("a") != F.col("b")).select(big.alias("a"), small.alias("b")).distinct(), "links"
     )
-    mark = F.struct(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0)))
-    seen = now.agg(mark.alias("m")).first()["m"]
+    seen = None
     while True:
-        now = staged(_star(_star(now, True), False), "links")
-        mark_now = now.agg(mark.alias("m")).first()["m"]
-        if mark_now == seen:
+        mark = Observation("links")
+        once = _star(_star(now, True), False).observe(
+            mark, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("sum")
+        )
+        now = staged(once, "links")
+        if mark.get == seen:
             break
-        seen = mark_now
+        seen = mark.get
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )

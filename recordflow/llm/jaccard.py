@@ -15,19 +15,22 @@ how much work there is, never the result.
 
 Equal sets are one node throughout, so copies cost nothing. Short lists give all their pairs. A long
 list gives a star: its members against a pivot of their size. Whatever a long list still holds in
-different components after the stars is compared in a second round, so no link is lost, and a large
-group of near copies costs its size and not its square. Every candidate is verified on the full
-sets. Neither links nor sets come to the driver.
+different components after the stars meets in a second round: members of lists with one head are dealt
+in blocks, each pair of blocks counts all overlaps by its own inverted lists (a matrix product), and only
+one link for two components leaves the task. So no link is lost, no pairs are shuffled, and a large group
+of near copies costs its size and not its square. Every candidate is verified on the full sets. Neither
+links nor sets come to the driver.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,20 +39,25 @@ from recordflow.llm.components import components
 from recordflow.llm.wordhash import mix, set_ids, shingle_sets
 
 SHINGLE = 5
-#: Cells of the counting sketch and of the filter of wanted documents: fixed sizes, 1 and 4 MB.
-CELLS = 1 << 20
-FILTER_BITS = 1 << 25
+#: Cells of the counting sketch: 16 MB for the tasks, whatever the corpus.
+CELLS = 1 << 24
+#: Bits of the filter of wanted documents: 16 for each, within these bounds. A full filter lets more
+#: documents pass than are wanted, which costs time only.
+FILTER_LEAST, FILTER_MOST = 1 << 20, 1 << 27
 _BLOCK = 1 << 14
+_HOT = 128  # ranks from here on are those of hot lists
 #: Lists up to this length give all their pairs at once.
-SHORT_LIST = 8
+SHORT_LIST = 4
 #: Small sets are never larger than this; beyond it a set would have more than 150 pairs.
 MOST_SMALL = 64
-#: Postings and sets per task of the reduce sides.
+#: Postings and set elements per task of the reduce sides.
 POSTINGS_PER_BUCKET = 1_000_000
-SETS_PER_BUCKET = 4_000
+ELEMENTS_PER_BUCKET = 2_000_000
 #: Lists that the sketch holds to be longer than this are dealt over all tasks and starred by joins.
 HOT_LIST = 2_000
 TEXT_BYTES = 2 << 20
+#: Sets that meet in one task of the second round, and the elements that are counted at once.
+BLOCK_SETS, COUNTED = 1_000, 2_048
 
 
 def needed(m: np.ndarray) -> np.ndarray:
@@ -64,73 +72,89 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _sets(batches: Iterator[pa.RecordBatch]):
     for batch, data, offsets in row_chunks(batches, "text", TEXT_BYTES):
         hashes, ends = shingle_sets(data, offsets, SHINGLE)
-        yield batch.column("doc_id"), hashes, ends, set_ids(hashes, ends)
+        yield batch, hashes, ends, set_ids(hashes, ends)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's set size and node, and the task's part of the sketch in blocks."""
-    counts = np.zeros(CELLS, np.uint32)
+    counts = np.zeros(CELLS, np.uint16)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("block", pa.int32()), ("blob", pa.binary())]
     )
-    for doc_id, hashes, ends, nodes in _sets(batches):
-        np.add.at(counts, (hashes & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
+    for batch, hashes, ends, nodes in _sets(batches):
+        np.add.at(counts, (hashes & np.uint64(CELLS - 1)).astype(np.int64), np.uint16(1))
         none = [None] * len(nodes)
         yield pa.RecordBatch.from_arrays(
-            [doc_id, pa.array(np.diff(ends)), pa.array(nodes), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
+            [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(nodes), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
             schema=schema,
         )
     if counts.any():
-        cells = np.minimum(counts, 65535).astype("<u2").reshape(-1, _BLOCK)
+        cells = counts.astype("<u2").reshape(-1, _BLOCK)
         none = pa.array([None] * len(cells), pa.int64())
-        blobs = pa.array([c.tobytes() for c in cells], pa.binary())
+        blobs = pa.array([zlib.compress(c.tobytes(), 1) for c in cells], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, pa.array(range(len(cells)), pa.int32()), blobs], schema=schema
         )
 
 
-def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
-            part = np.frombuffer(blob, "<u2")
-            if block in total:
-                total[block] += part
-            else:
-                total[block] = part.astype(np.float64)
-    blocks = sorted(total)
-    yield pa.RecordBatch.from_pydict(
-        {"block": pa.array(blocks, pa.int32()), "blob": pa.array([total[b].tobytes() for b in blocks], pa.binary())}
-    )
+def _add_blocks(mean: float, hot: int):
+    """Sums of each block, as ranks of the elements in it; a rank from ``_HOT`` on is that of a hot list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist()):
+                part = np.frombuffer(zlib.decompress(blob), "<u2")
+                if block in total:
+                    total[block] += part
+                else:
+                    total[block] = part.astype(np.uint32)
+        for block, cells in total.items():
+            counts = cells.astype(np.float64)
+            rank = np.minimum(_HOT - 1, 2 * np.log2(1 + counts)) + _HOT * (counts - mean > hot)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": pa.array([block], pa.int32()),
+                    "ranks": pa.array([zlib.compress(rank.astype(np.uint8).tobytes(), 1)], pa.binary()),
+                    "squares": [float((counts**2).sum())],
+                }
+            )
+
+    return run
 
 
-def _sketch(parts: DataFrame) -> np.ndarray:
-    """The summed sketch: a fixed number of cells, whatever the corpus."""
-    blobs = parts.where(F.col("block").isNotNull()).select("block", "blob")
-    cells = np.zeros(CELLS)
-    for row in blobs.repartition("block").mapInArrow(_add_blocks, "block int, blob binary").collect():
-        cells[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["blob"])
-    return cells
+def _sketch(parts: DataFrame, total: int) -> tuple[np.ndarray, float]:
+    """The rank of each cell and the sum of the squared counts: fixed sizes, whatever the corpus."""
+    blobs = parts.where(F.col("block").isNotNull()).select("block", "blob").repartition("block")
+    sums = blobs.mapInArrow(_add_blocks(total / CELLS, HOT_LIST), "block int, ranks binary, squares double")
+    ranks, squares = np.zeros(CELLS, np.uint8), 0.0
+    for row in sums.toLocalIterator():
+        at = row["block"] * _BLOCK
+        ranks[at : at + _BLOCK] = np.frombuffer(zlib.decompress(row["ranks"]), np.uint8)
+        squares += row["squares"]
+    return ranks, squares
 
 
-def small_boundary(cells: np.ndarray) -> int:
-    """The largest set size whose pairs cost less than scanning the lists of its prefix."""
-    total = cells.sum()
+def small_boundary(total: float, squares: float) -> int:
+    """The largest set size whose pairs cost less than scanning the lists of its prefix.
+
+    ``total`` counts the elements of all sets, ``squares`` sums the squares of the sketch's counts.
+    """
     if not total:
         return 2
     # Second moment without what unrelated shingles in one cell add: others per list.
-    others = max(0.0, (cells**2).sum() / total - total / CELLS - 1)
+    others = max(0.0, squares / total - total / CELLS - 1)
     sizes = np.arange(3, MOST_SMALL + 1)
     k = sizes - needed(sizes) + 1
     pays = np.flatnonzero(k * (k + 1) // 2 <= k * (1 + others))
     return int(sizes[pays[-1]]) if len(pays) else 2
 
 
-def _postings(levels: bytes, heavy: bytes, boundary: int, buckets: int):
+def _postings(levels: bytes, boundary: int, buckets: int):
     """Postings in blocks by bucket: 32 more bits of the element, node and size; hot ones whole and spread."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, is_hot = np.frombuffer(levels, np.uint8), np.frombuffer(heavy, bool)
+        rank = np.frombuffer(zlib.decompress(levels), np.uint8)
         pend: list[tuple] = []
         seen: set[int] = set()  # nodes since the last block: copies post once
         room = 0
@@ -175,7 +199,7 @@ def _postings(levels: bytes, heavy: bytes, boundary: int, buckets: int):
                 keep[x:y] = key[x:y] <= np.partition(key[x:y], least[i])[least[i]]
             at = np.flatnonzero(keep)
             doc = np.searchsorted(ends, at, side="right") - 1
-            pend.append((hashes[at], nodes[doc], sizes[doc].astype("<u4"), is_hot[cell[at]]))
+            pend.append((hashes[at], nodes[doc], sizes[doc].astype("<u4"), rank[cell[at]] >= _HOT))
             room += len(at)
             for i in np.flatnonzero(fresh & (sizes > 2) & (sizes <= boundary)):
                 x, y = ends[i], ends[i + 1]
@@ -201,7 +225,7 @@ _MEMBERS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("list", pa.int64())
 
 
 def _candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Pairs of short lists and stars of long ones (list null); members of long lists (b null)."""
+    """Pairs of short lists (list, m null), stars of long ones (list null, m: lists), members of long ones (b null)."""
     hot = np.asarray(table.column("hot").combine_chunks())
 
     def column(name: str, kind: str, part: np.ndarray) -> np.ndarray:
@@ -222,7 +246,7 @@ def _candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         heads = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
         count = np.diff(np.append(heads, len(e)))
         size, place = np.repeat(count, count), np.arange(len(e)) - np.repeat(heads, count)
-        found = []
+        found, stars = [], []
         for step in range(1, SHORT_LIST):
             i = np.flatnonzero((size <= SHORT_LIST) & (place + step < size))
             found.append((i, i + step))
@@ -231,67 +255,79 @@ def _candidates(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             sizes, p = m[h : h + n], 0
             while p < n:
                 end = int(np.searchsorted(sizes, 4 * sizes[p] // 3, side="right"))
-                found.append((np.full(end - p - 1, h + p), np.arange(h + p + 1, h + end)))
+                stars.append((np.full(end - p - 1, h + p), np.arange(h + p + 1, h + end)))
                 p = end
         i, j = (np.concatenate(x) for x in zip(*found))
         fits = 4 * m[i] >= 3 * m[j]
-        a, b = np.minimum(node[i], node[j])[fits], np.maximum(node[i], node[j])[fits]
-        pairs = np.unique(np.stack([a, b], 1), axis=0)
+        pairs = np.unique(np.stack([node[i][fits], node[j][fits]], 1), axis=0)
         none = pa.array([None] * len(pairs), pa.int64())
         flag = pa.array([False] * len(pairs), pa.bool_())
         out.append(pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, flag], schema=_MEMBERS))
+        if stars:
+            i, j = (np.concatenate(x) for x in zip(*stars))
+            pairs, times = np.unique(np.stack([node[i], node[j]], 1), axis=0, return_counts=True)
+            none = pa.array([None] * len(pairs), pa.int64())
+            flag = pa.array([False] * len(pairs), pa.bool_())
+            out.append(pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, pa.array(times), flag], schema=_MEMBERS))
         long = size > SHORT_LIST
         out.append(members((np.int64(key[0].as_py()) << 32) + e[long].astype(np.int64), node[long], m[long], False))
     return pa.concat_tables(out)
 
 
 def _stars(found: DataFrame) -> DataFrame:
-    """Pairs of each hot list's members with a pivot of their size class, by an aggregation and a join."""
-    rows = found.where(F.col("list").isNotNull() & F.col("hot")).select(
+    """One pair for each member of long lists: with the pivot that most of its lists have.
+
+    Hot lists get their pivots here, one a size class, by an aggregation and a join that can be split.
+    """
+    hot = found.where(F.col("list").isNotNull() & F.col("hot")).select(
         "list", F.floor(F.log(F.col("m")) / math.log(4 / 3)).alias("class"), F.col("a").alias("node")
     )
-    pivots = rows.groupBy("list", "class").agg(F.min("node").alias("a"))
-    return rows.join(pivots, ["list", "class"]).where("a != node").select("a", F.col("node").alias("b")).distinct()
+    pivots = hot.groupBy("list", "class").agg(F.min("node").alias("a"))
+    spread = hot.join(pivots, ["list", "class"]).where("a != node").groupBy("a", "node").agg(F.count(F.lit(1)).alias("n"))
+    plain = found.where(F.col("list").isNull() & F.col("m").isNotNull()).select("a", F.col("b").alias("node"), F.col("m").alias("n"))
+    every = plain.unionByName(spread).groupBy("a", "node").agg(F.sum("n").alias("n"))
+    best = every.groupBy("node").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    return best.select(F.col("a"), F.col("node").alias("b"))
 
 
-def _wanted_sets(bits: bytes):
-    """The sets of documents that some pair needs, by a filter that lets few others pass."""
+def _wanted_texts(bits: bytes):
+    """The texts of documents that some pair needs, by a filter that lets few others pass."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = np.frombuffer(bits, np.uint8)
-
-        def wanted():
-            for batch in batches:
-                ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-                at = (mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-                yield batch.filter(pa.array((member[at >> 3] >> (at & 7) & 1).astype(bool)))
-
-        for doc_id, hashes, ends, nodes in _sets(wanted()):
-            blobs = [hashes[a:b].astype("<u8").tobytes() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(nodes), pa.array(blobs, pa.binary())], ["doc_id", "node", "elements"])
+        size = np.uint64(8 * len(member))
+        seen: set[int] = set()  # repeated rows go once per task
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            at = (mix(ids.view(np.uint64)) % size).astype(np.int64)
+            batch = batch.filter(pa.array((member[at >> 3] >> (at & 7) & 1).astype(bool)))
+            keys = [hash(x) for x in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
+            fresh = [not (k in seen or seen.add(k)) for k in keys]
+            yield batch.filter(pa.array(fresh, pa.bool_()))
 
     return pick
 
 
-def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    member = np.zeros(FILTER_BITS // 8, np.uint8)
-    for batch in batches:
-        ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-        at = (mix(ids.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-        np.bitwise_or.at(member, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    if member.any():
-        yield pa.RecordBatch.from_pydict({"bits": pa.array([member.tobytes()], pa.binary())})
+def _filter_bits(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            at = (mix(ids.view(np.uint64)) % np.uint64(size)).astype(np.int64)
+            np.bitwise_or.at(member, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        if member.any():
+            yield pa.RecordBatch.from_pydict({"bits": pa.array([member.tobytes()], pa.binary())})
+
+    return run
 
 
 def _verify(table: pa.Table) -> pa.Table:
-    """Links among the pairs of one bucket; the table holds its sets and its pairs."""
-    blobs = table.column("elements")
-    has = np.asarray(blobs.is_valid())
-    sets = {
-        n: np.frombuffer(x, "<u8")
-        for n, x in zip(table.column("a").filter(pa.array(has)).to_pylist(), blobs.filter(pa.array(has)).to_pylist())
-    }
-    rest = table.filter(pa.array(~has))
+    """Links among the pairs of one bucket; the table holds its texts and its pairs."""
+    has = pa.array(np.asarray(table.column("text").is_valid()))
+    sets: dict[int, np.ndarray] = {}
+    for _, hashes, ends, nodes in _sets(table.filter(has).to_batches()):
+        sets.update((n, hashes[a:b]) for n, a, b in zip(nodes.tolist(), ends, ends[1:]))
+    rest = table.filter(pc.invert(has))
     links = []
     for a, b in zip(rest.column("a").to_pylist(), rest.column("b").to_pylist()):
         x, y = sets[a], sets[b]
@@ -301,40 +337,49 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
 
 
+def _texts_for(docs: DataFrame, sent: DataFrame) -> DataFrame:
+    """bucket and text of the documents in ``sent`` (bucket, doc_id); a filter keeps the others' texts away."""
+    ids = staged(sent.distinct(), "sent")
+    wanted = ids.count()
+    size = min(FILTER_MOST, max(FILTER_LEAST, 1 << (16 * wanted).bit_length()))
+    bits = np.zeros(size // 8, np.uint8)
+    for row in ids.select("doc_id").repartition(8).mapInArrow(_filter_bits(size), "bits binary").toLocalIterator():
+        bits |= np.frombuffer(row["bits"], np.uint8)
+    found = _texts(docs).mapInArrow(_wanted_texts(bits.tobytes()), "doc_id long, text string")
+    return found.join(ids, found["doc_id"].eqNullSafe(ids["doc_id"])).select("bucket", "text")
+
+
 def _links(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are similar.
 
-    A pair is checked where its less linked end is; the other end's set is sent there once for all
-    pairs, so a hub's set goes to each bucket at most once.
+    A text goes to the bucket of the smallest node that it is paired with, so most groups meet in one
+    bucket. A group of too many elements is split by its nodes. A pair is checked where its less paired
+    end is, and the other end's text is sent there once for all pairs.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
-    ends = staged(ends, "ends")
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(spread, math.ceil(ends.count() / SETS_PER_BUCKET))
-    reps = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = staged(ends.join(reps, "node").select("node", "doc_id"), "chosen")
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in chosen.select("doc_id").repartition(min(spread, 16)).mapInArrow(_filter_bits, "bits binary").collect():
-        bits |= np.frombuffer(row["bits"], np.uint8)
-    found = _texts(docs).mapInArrow(_wanted_sets(bits.tobytes()), "doc_id long, node long, elements binary")
-    # One row per node: the chosen document may occur in repeated rows.
-    same = (found["node"] == chosen["node"]) & found["doc_id"].eqNullSafe(chosen["doc_id"])
-    elements = staged(found.join(chosen, same, "left_semi").dropDuplicates(["node"]).drop("doc_id"), "sets")
-
-    da, db = ends.select(F.col("node").alias("a"), F.col("d").alias("da")), ends.select(F.col("node").alias("b"), F.col("d").alias("db"))
-    home_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    placed = pairs.join(da, "a").join(db, "b").select(
-        F.when(home_first, F.col("a")).otherwise(F.col("b")).alias("a"),
-        F.when(home_first, F.col("b")).otherwise(F.col("a")).alias("b"),
+    both = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("o")), F.struct(F.col("b").alias("node"), F.col("a").alias("o"))))
+    ends = pairs.select(both.alias("x")).groupBy("x.node").agg(
+        F.count(F.lit(1)).alias("d"), F.least(F.min("x.o"), F.first("x.node")).alias("label")
     )
-    placed = staged(placed.withColumn("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets))), "placed")
+    reps = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    nodes = staged(ends.join(reps, "node"), "nodes")
+    elements = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(spread, math.ceil(elements / ELEMENTS_PER_BUCKET))
+    sizes = nodes.groupBy("label").agg(F.ceil(F.sum("n") / ELEMENTS_PER_BUCKET).alias("splits"))
+    home = F.pmod(F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("splits"))), F.lit(buckets))
+    nodes = staged(nodes.join(sizes, "label").select("node", "doc_id", "d", home.alias("bucket")), "homes")
+
+    def end(x: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(x), F.col("d").alias("d" + x), F.col("bucket").alias("bucket_" + x))
+
+    first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
+    bucket = F.when(first, F.col("bucket_a")).otherwise(F.col("bucket_b")).alias("bucket")
+    placed = staged(pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", bucket), "placed")
     sent = placed.select("bucket", F.col("a").alias("node")).union(placed.select("bucket", "b")).distinct()
-    none = F.lit(None)
-    rows = (
-        sent.join(elements, "node")
-        .select("bucket", F.col("node").alias("a"), none.cast("long").alias("b"), "elements")
-        .unionByName(placed.select("bucket", "a", "b", none.cast("binary").alias("elements")))
-    )
+    sent = sent.join(nodes.select("node", "doc_id"), "node").select("bucket", "doc_id")
+    none = F.lit(None).cast("long")
+    texts = _texts_for(docs, sent).select("bucket", none.alias("a"), none.alias("b"), "text")
+    rows = texts.unionByName(placed.select("bucket", "a", "b", F.lit(None).cast("string").alias("text")))
     return rows.groupBy("bucket").applyInArrow(_verify, "a long, b long")
 
 
@@ -350,29 +395,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     described = staged(
         _texts(docs).mapInArrow(_describe, "doc_id long, n long, node long, block int, blob binary"), "described"
     )
-    cells = _sketch(described)
-    boundary = small_boundary(cells)
     sets = described.where(F.col("block").isNull()).select("doc_id", "n", "node")
     full = sets.where(F.col("n") > 0)
-    total = full.agg(F.sum(F.floor(F.col("n") / 4) + 1 + F.when(F.col("n") <= boundary, F.col("n")).otherwise(0))).first()[0]
+    total = full.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranks, squares = _sketch(described, total)
+    boundary = small_boundary(total, squares)
+    posted = full.agg(F.sum(F.floor(F.col("n") / 4) + 1 + F.when(F.col("n") <= boundary, F.col("n")).otherwise(0))).first()[0]
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(spread, math.ceil((total or 0) / POSTINGS_PER_BUCKET))
-    levels = np.minimum(255, 8 * np.log2(1 + cells)).astype(np.uint8).tobytes()
-    heavy = (cells - cells.mean() > HOT_LIST).tobytes()
+    buckets = max(spread, math.ceil((posted or 0) / POSTINGS_PER_BUCKET))
+    levels = zlib.compress(ranks.tobytes(), 1)
+    del ranks
     posts = _texts(docs).mapInArrow(
-        _postings(levels, heavy, boundary, buckets), "bucket long, hot boolean, element binary, node binary, m binary"
+        _postings(levels, boundary, buckets), "bucket long, hot boolean, element binary, node binary, m binary"
     )
     kinds = "a long, b long, list long, m long, hot boolean"
     found = staged(posts.groupBy("bucket").applyInArrow(_candidates, kinds), "found")
 
-    near = found.where(F.col("list").isNull()).select("a", "b").distinct()
-    first = staged(near.union(_stars(found)).distinct(), "pairs")
+    near = found.where(F.col("list").isNull() & F.col("m").isNull()).select("a", "b").union(_stars(found))
+    first = staged(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = staged(_links(docs, full, first), "verified")
     label = components(links)
-    more = staged(_across(found, label).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = staged(_across(docs, full, found, label), "across")
     if not more.isEmpty():
-        links = links.unionByName(staged(_links(docs, full, more), "verified"))
-        label = components(links)
+        label = components(links.unionByName(more))
 
     least = full.groupBy("node").agg(F.min("doc_id").alias("least"))
     named = label.join(least, "node")
@@ -385,16 +430,73 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(found: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs within long lists whose ends the stars left in different components."""
-    members = found.where(F.col("list").isNotNull()).select("list", F.col("a").alias("node"), "m")
-    named = members.join(label, "node", "left").select("list", "node", "m", F.coalesce("label", "node").alias("label"))
-    # Pairs of components first, then their members: pairs within a component are never made.
-    groups = named.select("list", "label").distinct()
-    apart = groups.select("list", F.col("label").alias("la")).join(groups.select("list", F.col("label").alias("lb")), "list")
-    apart = apart.where(F.col("la") < F.col("lb"))
-    left = named.select("list", F.col("label").alias("la"), F.col("node").alias("x"), F.col("m").alias("mx"))
-    right = named.select("list", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("m").alias("my"))
-    close = (4 * F.col("mx") >= 3 * F.col("my")) & (4 * F.col("my") >= 3 * F.col("mx"))
-    pairs = apart.join(left, ["list", "la"]).join(right, ["list", "lb"]).where(close)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two sets share, by their inverted lists in slices of elements."""
+    which = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count > 1
+    number = np.cumsum(several) - 1
+    keep = several[element]
+    which, element = which[keep], number[element[keep]]
+    order = np.argsort(element, kind="stable")
+    which, element = which[order], element[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(several.sum()), COUNTED):
+        a, b = np.searchsorted(element, [low, low + COUNTED])
+        has = np.zeros((len(sets), COUNTED), np.float32)
+        has[which[a:b], element[a:b] - low] = 1
+        shared += has @ has.T
+    return shared
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Links between components among the sets that meet in the tasks of one bucket; one for two components."""
+    has = pa.array(np.asarray(table.column("text").is_valid()))
+    sets: dict[int, np.ndarray] = {}
+    for _, hashes, ends, nodes in _sets(table.filter(has).to_batches()):
+        sets.update((n, hashes[a:b]) for n, a, b in zip(nodes.tolist(), ends, ends[1:]))
+    rest = table.filter(pc.invert(has)).sort_by("task")
+    task, node, label = (rest.column(c).to_numpy() for c in ("task", "node", "label"))
+    a_out, b_out = [], []
+    at = np.flatnonzero(np.append(True, task[1:] != task[:-1])) if len(task) else []
+    for x, y in zip(at, np.append(at[1:], len(task))):
+        own, labels = node[x:y], label[x:y]
+        size = np.array([len(sets[n]) for n in own.tolist()], np.float32)
+        shared = _overlaps([sets[n] for n in own.tolist()])
+        similar = 100 * shared >= 75 * (size[:, None] + size[None, :] - shared)
+        i, j = np.nonzero(similar & (labels[:, None] < labels[None, :]))
+        if len(i):
+            _, one = np.unique(np.stack([labels[i], labels[j]], 1), axis=0, return_index=True)
+            a_out.append(own[i[one]])
+            b_out.append(own[j[one]])
+    ends = [np.concatenate(o) if o else np.zeros(0, np.int64) for o in (a_out, b_out)]
+    return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+
+def _across(docs: DataFrame, sets: DataFrame, found: DataFrame, label: DataFrame) -> DataFrame:
+    """Links within long lists whose ends the stars left in different components.
+
+    Members of all such lists with the same smallest node meet once; more than a block of them are
+    dealt to blocks, and every two blocks meet in a task.
+    """
+    members = found.where(F.col("list").isNotNull()).select("list", F.col("a").alias("node"))
+    named = members.join(label, "node", "left").select("list", "node", F.coalesce("label", "node").alias("label"))
+    lists = named.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head"))
+    mixed = lists.where(F.col("low") != F.col("high")).select("list", "head")
+    meeting = staged(named.join(mixed, "list").select("head", "node", "label").distinct(), "meeting")
+    blocks = meeting.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = meeting.join(blocks, "head").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        F.xxhash64("head", F.least(own, F.col("other")), F.greatest(own, F.col("other"))).alias("task"), "node", "label"
+    )
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(spread, math.ceil(dealt.count() / BLOCK_SETS))
+    dealt = staged(dealt.distinct().withColumn("bucket", F.pmod(F.xxhash64("task"), F.lit(buckets))), "dealt")
+    reps = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    texts = _texts_for(docs, dealt.select("bucket", "node").distinct().join(reps, "node").select("bucket", "doc_id"))
+    none = F.lit(None).cast("long")
+    rows = texts.select("bucket", *[none.alias(c) for c in ("task", "node", "label")], "text").unionByName(
+        dealt.select("bucket", "task", "node", "label", F.lit(None).cast("string").alias("text"))
+    )
+    return rows.groupBy("bucket").applyInArrow(_meet, "a long, b long")
