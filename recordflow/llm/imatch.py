@@ -10,6 +10,7 @@ levels next to it, so that documents of different sizes can be compared.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -67,7 +68,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, lexicon: np.ndarray) ->
 
 
 def as_text(level: int, hashes: np.ndarray) -> str:
-    return f"{level:02d}:" + hashes.astype(">u2").tobytes().hex()
+    return f"{level:02d}:" + base64.b64encode(hashes.astype(">u2").tobytes()).decode()
 
 
 def likeness(level_a: int, a: np.ndarray, level_b: int, b: np.ndarray) -> float:
