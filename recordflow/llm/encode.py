@@ -5,12 +5,16 @@ before a single space between two visible characters, or before ASCII punctuatio
 ASCII letter, always falls between two such words. So the pieces between these cuts can be encoded
 one by one: a chunk's distinct pieces are found by Arrow's dictionary encoding, each is encoded
 once, and the ids are gathered back. Frequent pieces stay in a bounded cache of the worker.
+
+The tokenizer's added tokens are taken out of a text before it is cut into words, so each of them is
+a piece of its own. A text with one that also takes in what stands around it is one piece.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,8 @@ _PUNCTUATION = _VISIBLE & ~_LETTER
 _PUNCTUATION[0x30:0x3A] = False
 
 
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the pieces of all texts begin, ascending."""
+def piece_starts(data: np.ndarray, offsets: np.ndarray, spans: np.ndarray | None = None) -> np.ndarray:
+    """Where the pieces of all texts begin, ascending. Each of the spans (begin, end) is one piece."""
     if not len(data):
         return np.zeros(0, np.int64)
     cut = np.zeros(len(data), bool)
@@ -41,6 +45,11 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         cut[1:-1] = (data[1:-1] == 0x20) & ends[:-2] & (visible | lead)[2:]
         cut[1:] |= _PUNCTUATION[data[1:]] & _LETTER[data[:-1]]
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    if spans is not None and len(spans):
+        for begin, end in spans:
+            cut[begin:end] = False
+        cut[spans[:, 0]] = True
+        cut[spans[spans[:, 1] < len(data), 1]] = True
     return np.flatnonzero(cut)
 
 
@@ -50,8 +59,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # The longest of the tokens that begin at a place is the one that counts.
+        contents = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(re.escape(c) for c in contents)) if contents else None
+        #: Added tokens end where their strings end and are all looked for at the same time.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added) and (
+            len({t.normalized for t in added}) < 2
+        )
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
@@ -89,9 +104,24 @@ class Encoder:
             ids = np.concatenate([ids, *[np.asarray(x, np.uint32) for x in rest]])
         return ids, begin, end
 
+    def _spans(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Begin and end of the added tokens in the texts, or of the texts that hold some."""
+        whole = np.ascontiguousarray(data).data
+        if self.added is None or not self.added.search(whole):
+            return np.zeros((0, 2), np.int64)
+        found, at = [], 0
+        while match := self.added.search(whole, at):
+            doc = int(np.searchsorted(offsets, match.start(), side="right")) - 1
+            begin, end = int(offsets[doc]), int(offsets[doc + 1])
+            # No token crosses texts: the search is in this text alone.
+            own = [m.span() for m in self.added.finditer(whole, max(at, begin), end)]
+            found += own if self.plain or not own else [(begin, end)]
+            at = end
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offsets of the texts in them."""
-        starts = piece_starts(data, offsets)
+        starts = piece_starts(data, offsets, self._spans(data, offsets))
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         bounds = np.append(starts, len(data)).astype(np.int32)

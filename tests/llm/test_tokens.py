@@ -34,6 +34,30 @@ def test_pieces_encode_like_whole_texts(texts):
     assert [list(ids[a:b]) for a, b in zip(ends, ends[1:])] == [plain(path)(t) for t in texts]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<", "one", "'s", " ", "  ", "\n", "é", ","]), max_size=12), max_size=5))
+def test_added_tokens_encode_as_the_library_does(texts):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, texts = Tokenizer.from_file(path), ["".join(t) for t in ["one <|endoftext|> two", *texts]]
+    ids, ends = encoder(path).encode(*text_bytes(pa.array(texts, pa.string())))
+    assert [list(ids[a:b]) for a, b in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in ids[: ends[1]]
+
+
+def test_added_tokens_that_take_in_blanks(tmp_path, tokenizer):
+    from tokenizers import AddedToken
+
+    library = Tokenizer.from_file(tokenizer)
+    library.add_special_tokens([AddedToken("<sep>", lstrip=True, rstrip=True, normalized=False)])
+    library.add_tokens([AddedToken("<sep>x", normalized=True)])
+    library.save(str(tmp_path / "own.json"))
+    texts = ["one  <sep> \n two <sep>x<|endoftext|>", "<sep", ">", "", "a <sep>"]
+    ids, ends = encoder(str(tmp_path / "own.json")).encode(*text_bytes(pa.array(texts, pa.string())))
+    assert [list(ids[a:b]) for a, b in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files(docs, messy, tokenizer):
     encode = plain(tokenizer)
     manifest = token_files.write_token_files(docs(messy), tokenizer, end_id=2)
