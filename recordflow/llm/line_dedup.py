@@ -1,13 +1,11 @@
 """Removal of repeated passages by content-defined chunks of lines.
 
-A rolling hash over the hashes of two neighbouring lines decides after which lines a chunk ends, so a
-passage is cut alike wherever it stands. A line of fifty words or more is a chunk of its own. A chunk
-that occurs again, anywhere, is compared byte by byte with its first occurrence, and so are the lines
-around it up to the next chunk boundaries. The run of lines that both places share is removed if it has
-several lines or a long one. Every line that is removed still stands in a document that sorts before.
-Chunks are short (one boundary in eight is left out), so that few passages fall between two of them. The
-hash after a passage's first line also sees the line before it, so a passage of a few short lines can be
-cut in two ways; then each way keeps its first occurrence.
+A chunk is two neighbouring lines with words, or one line of fifty words or more. Chunks overlap: one
+begins at every line with words, so what a chunk holds depends on its own lines only, and a passage has
+the same chunks wherever it stands. Blank lines are not part of a chunk. A chunk that occurs again, anywhere, is compared byte by byte with its
+first occurrence and removed, with the blank lines inside it. So of every run of several lines, or long
+line, that stands in two places, all lines go from the later one. Places that overlap in one document are
+not two places. Every line that is removed still stands before, in its document or in one that sorts before.
 
 Joins carry hashes and places; only the text of first occurrences travels to its repetitions.
 """
@@ -21,15 +19,21 @@ from recordflow.llm.common import WORD, staged
 
 #: Words from which a line is a chunk of its own.
 LONG_LINE = 50
-#: A chunk goes on after a line whose rolling hash has these bits all zero.
-GO_ON = 7
+
+
+def _first(c: Column) -> Column:
+    return F.get("lines", c["s"] - 1)
+
+
+def _second(c: Column) -> Column:
+    """The second line of a pair; null for a long line."""
+    return F.when(c["e"] > c["s"], F.get("lines", c["e"] - 1))
 
 
 def _chunked(docs: DataFrame) -> DataFrame:
-    """``row``, the document's key (d, t), its lines, and chunks as structs (s, e, n, ok).
+    """``row``, the document's key (d, t), its lines, and chunks as structs (s, e).
 
-    s and e are the first and last line (from 1), ok says that some line has words. ``short`` chunks
-    are those without a long line. ``w`` counts the words of each line.
+    s and e are the first and last line (from 1). Pairs of lines come first, then the long lines.
     """
     a = docs.select(
         F.struct("*").alias("row"),
@@ -37,44 +41,16 @@ def _chunked(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("t"),
         F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"),
     )
-    b = a.select(
-        "*",
-        F.transform("lines", lambda x: F.xxhash64(x)).alias("h"),
-        F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"),
+    b = a.select("*", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
+    c = b.select("*", F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.get("w", i - 1) > 0).alias("full"))
+    nexts = F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))
+    pairs = F.filter(
+        F.zip_with("full", nexts, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["e"].isNotNull()
     )
-
-    def ends(i: Column) -> Column:
-        at = lambda c, j: F.get(F.col(c), j)
-        before = F.coalesce(at("h", i - 2), F.lit(0).cast("long"))
-        rolled = F.shiftleft(before, 1).bitwiseXOR(F.shiftrightunsigned(before, 63)).bitwiseXOR(at("h", i - 1))
-        return (
-            (i == F.size("lines"))
-            | (at("w", i - 1) >= LONG_LINE)
-            | (F.coalesce(at("w", i), F.lit(0)) >= LONG_LINE)
-            | (F.shiftrightunsigned(rolled, 17).bitwiseAND(F.lit(GO_ON).cast("long")) != 0)
-        )
-
-    c = b.select("*", F.filter(F.sequence(F.lit(1), F.size("lines")), ends).alias("ends"))
-
-    def chunk(e: Column, i: Column) -> Column:
-        s = F.coalesce(F.get("ends", i - 1), F.lit(0)) + 1
-        counts = F.slice("w", s, e - s + 1)
-        full = F.exists(counts, lambda x: x > 0)
-        long = F.exists(counts, lambda x: x >= LONG_LINE)
-        return F.struct(s.alias("s"), e.alias("e"), full.alias("ok"), (~long).alias("short"))
-
-    return c.select("row", "d", "t", "lines", "w", F.transform("ends", chunk).alias("chunks"))
-
-
-def _slice(s: Column, e: Column) -> Column:
-    return F.slice("lines", s, e - s + 1)
-
-
-def _side(chunks: str, i: Column) -> Column:
-    """Lines of a neighbouring chunk; none beyond the ends and none of a long line."""
-    c = F.get(chunks, i)
-    none = F.expr("cast(array() as array<string>)")
-    return F.when(c["short"], _slice(c["s"], c["e"])).otherwise(none)
+    long = F.transform(
+        F.filter("full", lambda i: F.get("w", i - 1) >= LONG_LINE), lambda i: F.struct(i.alias("s"), i.alias("e"))
+    )
+    return c.select("row", "d", "t", "lines", F.concat(pairs, long).alias("chunks"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -82,14 +58,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     First occurrences are those of the smallest (doc_id, hash of the text, place); a null id sorts
     first. Rows with equal id and text are one document and share its fate. A null text stays null, an
-    empty or wordless one unchanged; a text whose lines all stand in earlier documents becomes empty.
-    An empty table gives no rows. Lines end at ``\\n``.
+    empty or wordless one unchanged; a text whose lines all stand before becomes empty. An empty table
+    gives no rows. Lines end at ``\\n``.
     """
     parts = _chunked(docs)
     places = staged(
-        parts.select("d", "t", "lines", F.posexplode_outer("chunks").alias("no", "c"))
-        .where("c.ok")
-        .select("d", "t", "no", F.xxhash64(_slice(F.col("c.s"), F.col("c.e"))).alias("h")),
+        parts.select("d", "t", F.transform("chunks", lambda c: F.xxhash64(_first(c), _second(c))).alias("keys"))
+        # Not the inner form: its filter on the size would be pushed below and repeat all of the above for each line.
+        .select("d", "t", F.posexplode_outer("keys").alias("no", "h"))
+        .where("h is not null"),
         "chunks",
     )
     first = (
@@ -105,57 +82,34 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     texts = (
         parts.join(first, same(parts, first))
-        .select("h", "kd", "kt", "kno", "lines", "chunks")
-        .withColumn("c", F.get("chunks", F.col("kno")))
-        .select(
-            "h",
-            "kd",
-            "kt",
-            "kno",
-            _slice(F.col("c.s"), F.col("c.e")).alias("body"),
-            _side("chunks", F.col("kno") - 1).alias("before"),
-            _side("chunks", F.col("kno") + 1).alias("after"),
-        )
+        .select("h", "kd", "kt", "kno", "lines", F.get("chunks", F.col("kno")).alias("c"))
+        .select("h", "kd", "kt", "kno", _first(F.col("c")).alias("one"), _second(F.col("c")).alias("two"))
     )
     texts = staged(texts.dropDuplicates(["h"]), "first-texts")
-    again = places.join(texts, "h").where(
-        ~(F.col("d").eqNullSafe(F.col("kd")) & (F.col("t") == F.col("kt")) & (F.col("no") == F.col("kno")))
-    )
     inside = F.col("d").eqNullSafe(F.col("kd")) & (F.col("t") == F.col("kt"))
-    none = F.expr("cast(array() as array<string>)")
+    # A pair overlaps the next pair; long lines do not overlap.
+    apart = F.when(F.col("two").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    again = places.join(texts, "h").where(~(inside & (F.col("no") - F.col("kno") <= apart)))
     again = again.select(
-        F.col("d").alias("rd"),
-        F.col("t").alias("rt"),
-        F.struct(
-            "no",
-            "body",
-            F.when(inside, none).otherwise(F.col("before")).alias("before"),
-            F.when(inside, none).otherwise(F.col("after")).alias("after"),
-        ).alias("r"),
+        F.col("d").alias("rd"), F.col("t").alias("rt"), F.struct("no", "one", "two").alias("r")
     ).dropDuplicates(["rd", "rt", "r"])
     # One list per document, no longer than its own chunks.
     by_doc = again.groupBy("rd", "rt").agg(F.collect_list("r").alias("repeats"))
 
     joined = parts.join(by_doc, same(parts, by_doc, "r"), "left")
-
-    def shared(mine: Column, theirs: Column, forward: bool) -> Column:
-        """How many lines both have in common next to the chunk."""
-        if not forward:
-            mine, theirs = F.reverse(mine), F.reverse(theirs)
-        equal = F.zip_with(mine, theirs, lambda x, y: x.eqNullSafe(y))
-        return (F.array_position(F.array_append(equal, F.lit(False)), False) - 1).cast("int")
+    none = F.expr("cast(array() as array<int>)")
 
     def gone(r: Column) -> Column:
         c = F.get("chunks", r["no"])
-        low = c["s"] - shared(_side("chunks", r["no"] - 1), r["before"], False)
-        high = c["e"] + shared(_side("chunks", r["no"] + 1), r["after"], True)
-        run = F.slice("w", low, high - low + 1)
-        enough = (F.size(F.filter(run, lambda x: x > 0)) > 1) | F.exists(run, lambda x: x >= LONG_LINE)
-        return F.when((_slice(c["s"], c["e"]) == r["body"]) & enough, F.sequence(low, high)).otherwise(F.expr("cast(array() as array<int>)"))
+        equal = (_first(c) == r["one"]) & _second(c).eqNullSafe(r["two"])
+        return F.when(equal, F.sequence(c["s"], c["e"])).otherwise(none)
 
     out = joined.withColumn("removed", F.flatten(F.transform("repeats", gone)))
     every = F.sequence(F.lit(1), F.size("lines"))
     out = out.withColumn("keep", F.when(F.size("removed") > 0, F.array_except(every, F.col("removed"))))
+    # Of a text whose lines are all gone, the blank ones around them go as well.
+    left = F.exists("keep", lambda i: F.get("lines", i - 1).rlike(WORD))
+    out = out.withColumn("keep", F.when(left | F.col("keep").isNull(), F.col("keep")).otherwise(none))
     kept = F.array_join(F.transform("keep", lambda i: F.get("lines", i - 1)), "\n")
     return out.select(
         "row",
