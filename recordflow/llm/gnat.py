@@ -252,7 +252,7 @@ def _pack(dim: int, longest: float, split: bool):
             ids, labels, rows = ids[order], labels[order], rows[order]
             ends = np.searchsorted(child[order], np.arange(len(splits) + 1)).astype(np.int32)
             extra = {"splits": splits, "low": low, "high": high, "ends": ends}
-        cells = {"leaf": pa.array([int(leaf[0])], pa.int32()), "block": pa.array([int(table["block"][0].as_py())], pa.int32())}
+        cells = {"leaf": pa.array(leaf[:1], pa.int32()), "block": pa.array([table["block"][0].as_py()], pa.int32())}
         for name, x in ({"ids": ids, "labels": labels, "rows": rows, "homes": leaf} | extra).items():
             cells[name] = pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())
         return pa.table(cells)
@@ -349,8 +349,10 @@ class Index:
         self.tree = tree = Tree(sample, fan, self.longest)
         kinds = "vec_id long, label int, vec binary, leaf int, deal int"
         placed = staged(rows.mapInArrow(_assign(tree, self.dim), kinds), "vectors")
-        measured = placed.select("vec", "leaf").mapInArrow(_measure(tree, self.dim), "node int, i int, j int, low double, high double")
-        for r in measured.groupBy("node", "i", "j").agg(F.min("low").alias("low"), F.max("high").alias("high")).toLocalIterator():
+        kinds = "node int, i int, j int, low double, high double"
+        measured = placed.select("vec", "leaf").mapInArrow(_measure(tree, self.dim), kinds)
+        measured = measured.groupBy("node", "i", "j").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        for r in measured.toLocalIterator():
             low, high = tree.ranges[r["node"]]
             low[r["i"], r["j"]], high[r["i"], r["j"]] = r["low"], r["high"]
         # A row for each leaf, 64 * 64 at most.

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm import gnat, imatch, jaccard, langid, line_dedup, mixing, packing, quality, token_files, url_filter, warc
+from recordflow.llm import (
+    collocations,
+    gnat,
+    imatch,
+    jaccard,
+    langid,
+    line_dedup,
+    mixing,
+    packing,
+    quality,
+    token_files,
+    url_filter,
+    warc,
+)
 from recordflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +111,47 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), places AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM lists
+), grams AS (
+  SELECT lang, len(w) AS size, array_to_string(w, ' ') AS gram, count(*) AS f
+  FROM (SELECT lang, words[i:i + k - 1] AS w FROM places, range(1, 5) AS sizes(k) WHERE i + k - 1 <= len(words))
+  GROUP BY ALL
+), candidates AS (
+  SELECT lang, size, gram, string_split(gram, ' ') AS w, f AS a FROM grams WHERE size > 1 AND f >= 30
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS gram, max(a) AS above
+  FROM candidates, range(2, 4) AS sizes(k), range(1, 4) AS starts(i)
+  WHERE k < size AND i + k - 1 <= size GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside o USING (lang, gram)
+  WHERE o.above IS NULL OR 100::HUGEINT * o.above < 80::HUGEINT * c.a
+), cuts AS (
+  SELECT c.lang, c.gram, c.a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
+  FROM kept c JOIN range(1, 4) AS sizes(k) ON k < c.size
+  JOIN grams l ON l.lang = c.lang AND l.gram = array_to_string(c.w[:k], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.gram = array_to_string(c.w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.gram ORDER BY score, k) = 1
+), total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank, gram AS phrase,
+  a, l, r, n, CAST(score AS BIGINT) AS score
+FROM cuts JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
 @register
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
