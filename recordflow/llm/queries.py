@@ -13,6 +13,7 @@ from recordflow.llm import (
     imatch,
     jaccard,
     langid,
+    lblm,
     line_dedup,
     mixing,
     packing,
@@ -180,3 +181,8 @@ FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
 QUALIFY rank <= 10
 """
+
+
+@register
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lblm.score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
