@@ -17,7 +17,7 @@ from recordflow.catalog.roles import with_roles
 from recordflow.plans.customers import changes, extract, merge, reconcile, snapshot
 from recordflow.session import scratch_path
 from recordflow.sources import events, tables
-from recordflow.streaming import ingest
+from recordflow.streaming import ingest, store
 
 RUN_DATE = "2024-02-01"
 
@@ -235,23 +235,30 @@ def _(t):
 
 @query("stream_merge", _ITEMS + " SELECT customer_id, name_text, address_text, id_text FROM merged")
 def _(t):
-    """The events as a stream of three batches, folded onto the base into deltas.
+    """The events as a stream of batches, folded onto the base into deltas.
 
-    A batch holds every third minute of all days, so each one brings events older than the last.
+    A batch holds every third minute of all days, so each one brings events older than the last. Items
+    are compacted after every second batch; items and base are read by bucket.
     """
-    table, deltas, items, checkpoint = (
-        scratch_path(t.spark, n) for n in ("event-stream", "deltas", "items", "checkpoint")
+    table, deltas, items, checkpoint, laid_out = (
+        scratch_path(t.spark, n) for n in ("event-stream", "deltas", "items", "checkpoint", "base")
     )
     flat = flat_events(t).withColumn("_part", F.floor(F.col("event_timestamp") / 60_000) % 3)
     flat.repartition(3, "_part").write.partitionBy("_part").parquet(table)
     schema = T.StructType([*schemas.SNAPSHOT.fields, T.StructField("batch", T.LongType())])
     base = base_snapshot(t)
+    store.write_bucketed_folders(base, laid_out, merge.KEYS, 8)
 
     def earlier(batch: int) -> DataFrame:
         return tables.read_if_exists(t.spark, deltas, schema).where(F.col("batch") < batch)
 
     stream = t.spark.readStream.schema(flat.drop("_part").schema).option("maxFilesPerTrigger", 1).parquet(f"{table}/*")
-    ingest.drain(ingest.merge_stream(stream, lambda: base, deltas, items, checkpoint))
+    by_bucket = T.StructType([*base.schema.fields, T.StructField(store.BUCKET, T.IntegerType())])
+    ingest.drain(
+        ingest.merge_stream(
+            stream, lambda: t.spark.read.schema(by_bucket).parquet(laid_out), deltas, items, checkpoint, 8, compact_every=2
+        )
+    )
     return item_text(snapshot.current_snapshot(base, earlier(1 << 40), tie=("batch",)))
 
 

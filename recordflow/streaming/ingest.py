@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordflow.plans.customers.merge import KEYS, event_items, merge_items, newest_items
 from recordflow.sources.events import EVENT_PARTITIONS, decode_payload, flatten_envelope
-from recordflow.sources.tables import read_if_exists
+from recordflow.streaming.store import BUCKET, BucketStore, touched_buckets
 
 RAW = T.StructType([T.StructField("value", T.BinaryType())])
 
@@ -57,46 +57,53 @@ def drain(query: StreamingQuery, timeout: int | None = None) -> None:
 
 
 def merge_stream(
-    events: DataFrame, base: Callable[[], DataFrame], delta_root: str, item_root: str, checkpoint: str
+    events: DataFrame,
+    base: Callable[[], DataFrame],
+    delta_root: str,
+    item_root: str,
+    checkpoint: str,
+    buckets: int = 64,
+    compact_every: int = 16,
 ) -> StreamingQuery:
     """Fold each micro-batch onto the snapshot and write the modified customers as a delta.
 
-    ``item_root`` keeps each batch's newest items with their event times. A customer's state is the
+    ``item_root`` keeps the newest items with their event times, in buckets by customer (see
+    ``streaming.store``), and is compacted every ``compact_every`` batches. A customer's state is the
     base and the newest of all its items, so an event that arrives late never replaces a newer one,
-    in whatever order batches come. A batch is read once, and base and items only of its customers
-    are looked at. ``base()`` is read anew for every batch. Deltas are dated by the newest event of
-    their batch; read them with ``current_snapshot(..., tie=("batch",))``. Both outputs are written
-    by overwrite of the batch's own folder, so a batch that is replayed after a failure replaces them.
+    in whatever order batches come. A batch is read once, and of the items only the buckets of its
+    customers. ``base()`` is read anew for every batch; a base laid out by ``write_bucketed_folders`` with
+    as many buckets is read by bucket as well. Deltas are dated by the newest event of their batch; read them
+    with ``current_snapshot(..., tie=("batch",))``. All outputs are written by overwrite of the batch's own
+    folder, so a batch that is replayed after a failure replaces them.
     """
 
-    def write(frame: DataFrame, batch_id: int, root: str) -> None:
-        (
-            frame.withColumn("batch", F.lit(batch_id).cast("bigint"))
-            .write.option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .mode("overwrite")
-            .parquet(root)
-        )
-
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         items = event_items(decode_payload(batch)).withColumn("_day", F.timestamp_millis("event_timestamp").cast("date"))
         day = Observation("batch")
         fresh = newest_items(items.observe(day, F.max("_day").alias("day"), F.count(F.lit(1)).alias("rows")))
-        write(fresh, batch_id, item_root)
+        store = BucketStore(spark, item_root, fresh.schema, KEYS, newest_items, buckets, compact_every)
+        store.purge(batch_id)
+        own = store.put(fresh, batch_id)
         seen = day.get
-        if not seen["rows"]:
-            return
-        schema = T.StructType([*fresh.schema.fields, T.StructField("batch", T.LongType())])
-        stored = read_if_exists(spark, item_root, schema).where(F.col("batch") <= batch_id)
-        ids = stored.where(F.col("batch") == batch_id).select(*KEYS).distinct()
-
-        def of_batch(frame: DataFrame) -> DataFrame:
-            named = ids.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
-            return frame.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_semi")
-
-        state = newest_items(of_batch(stored).drop("batch"))
-        write(merge_items(of_batch(base()), state, str(seen["day"])).drop("was_modified"), batch_id, delta_root)
+        if seen["rows"]:
+            touched = touched_buckets(own)
+            ids = own.select(*KEYS).distinct()
+
+            def of_batch(frame: DataFrame) -> DataFrame:
+                named = ids.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+                return frame.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_semi")
+
+            rows = base()
+            if BUCKET in rows.columns:
+                rows = rows.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+            state = newest_items(of_batch(store.read(batch_id, touched)))
+            merged = merge_items(of_batch(rows), state, str(seen["day"])).drop("was_modified")
+            merged.withColumn("batch", F.lit(batch_id).cast("bigint")).write.option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("batch").mode("overwrite").parquet(delta_root)
+        if store.due(batch_id):
+            store.compact(batch_id)
 
     return (
         events.writeStream.foreachBatch(fold)
