@@ -16,7 +16,7 @@ from recordflow.catalog.registry import Inputs, query
 from recordflow.catalog.roles import with_roles
 from recordflow.plans.customers import changes, extract, merge, reconcile, snapshot
 from recordflow.session import scratch_path
-from recordflow.sources import events, tables
+from recordflow.sources import buckets, events, tables
 from recordflow.streaming import ingest, store
 
 RUN_DATE = "2024-02-01"
@@ -194,20 +194,38 @@ def _dated_deltas(t: Inputs) -> DataFrame:
     return last.withColumns(empty)
 
 
-@query(
-    "snapshot_asof",
+_ASOF_SQL = (
     with_roles("event_rows", "party_rows")
     + """, d AS (SELECT customer_id, logical_date, max_by(concat_ws('/', 'F' || id_text, CASE WHEN event_timestamp > 1705000000000 THEN 'M' ELSE '' END, 'L' || id_text),
        CAST(event_timestamp AS HUGEINT) * 100000000 + event_id) AS name_text FROM event_rows WHERE event_type = 'NAME' AND logical_date < DATE '2024-01-20' GROUP BY ALL),
     u AS (SELECT customer_id, DATE '2024-01-01' AS logical_date, concat_ws('/', first_name, '', last_name) AS name_text, 0 AS k FROM party_rows
       UNION ALL SELECT customer_id, logical_date, name_text, 1 FROM d)
-    SELECT customer_id, logical_date, name_text FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY logical_date DESC, k DESC) AS rn FROM u) WHERE rn = 1""",
+    SELECT customer_id, logical_date, name_text FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY logical_date DESC, k DESC) AS rn FROM u) WHERE rn = 1"""
 )
+
+
+@query("snapshot_asof", _ASOF_SQL)
 def _(t):
     now = snapshot.current_snapshot(base_snapshot(t), _dated_deltas(t), before="2024-01-20")
     return item_text(now, "logical_date").drop("address_text", "id_text")
 
 
+def _bucket_table(t: Inputs, name: str, part: str | None = None) -> buckets.BucketTable:
+    return buckets.BucketTable(t.spark, scratch_path(t.spark, name), base_snapshot(t).schema, merge.KEYS, 8, part)
+
+
+@query("snapshot_bucketed", _ASOF_SQL)
+def _(t):
+    """Base and daily deltas as bucketed tables, the deltas written by several runs."""
+    base, deltas = _bucket_table(t, "base-buckets"), _bucket_table(t, "delta-buckets", "logical_date")
+    base.write(base_snapshot(t))
+    rows = _dated_deltas(t)
+    for low, high in (("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2024-03-01")):
+        deltas.write_days(rows.where((F.col("logical_date") >= low) & (F.col("logical_date") < high)))
+    now = snapshot.snapshot_in_buckets(base.read(), deltas.read(), before="2024-01-20")
+    return item_text(now, "logical_date").drop("address_text", "id_text")
+
+
 @query(
     "dedup_latest",
     """SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
@@ -224,6 +242,21 @@ def _(t):
     return item_text(merge.merge_customers(base_snapshot(t), decoded(t), RUN_DATE), "was_modified")
 
 
+@query("merge_bucketed", _ITEMS + " SELECT customer_id, name_text, address_text, id_text FROM merged")
+def _(t):
+    """Two days' runs: each folds its events onto the last snapshot, in buckets, and writes the next one."""
+    now = _bucket_table(t, "day0")
+    now.write(base_snapshot(t))
+    todays = decoded(t)
+    middle = F.col("event_timestamp") < 1705000000000
+    for day, part in (("2024-01-31", middle), (RUN_DATE, ~middle)):
+        newest = merge.newest_items(merge.event_items(todays.where(part)))
+        merged = merge.merge_in_buckets(now.read(), newest, day, now.n)
+        now = _bucket_table(t, f"day-{day}")
+        now.write(merged.drop("was_modified"), placed=True)
+    return item_text(now.read())
+
+
 @query(
     "merge_modified",
     _ITEMS + " SELECT customer_id, name_text, address_text, id_text FROM merged WHERE was_modified",

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordflow.sources.buckets import KEY, key_text, to_buckets
 from recordflow.sources.events import domain_partition
 from recordflow.sources.tables import stage, write_dated
 
@@ -116,14 +117,29 @@ def merge_customers(
 
 def merge_items(snapshot: DataFrame, newest: DataFrame, run_date: str) -> DataFrame:
     """The same from the newest items of the events."""
-    changes = _by_customer(newest)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    return _merged(snapshot, _by_customer(newest), same, run_date)
+
+
+def merge_in_buckets(snapshot: DataFrame, newest: DataFrame, run_date: str, n: int) -> DataFrame:
+    """The same for a snapshot read from a ``BucketTable`` of ``n`` buckets, with ``bucket_key``.
+
+    The snapshot stays where it is: only the customers with events are shuffled, to its buckets, and the
+    result lies in the same buckets again (write it with ``placed=True``).
+    """
+    changes = _by_customer(newest).withColumn("_key", key_text([f"_{k}" for k in KEYS]))
+    changes = to_buckets(changes, n, "_key")
+    return _merged(snapshot, changes, [F.col(KEY) == F.col("_key")], run_date, F.coalesce(KEY, "_key").alias(KEY))
+
+
+def _merged(snapshot: DataFrame, changes: DataFrame, same: list[Column], run_date: str, *keep: Column) -> DataFrame:
     joined = snapshot.withColumn("_old", F.lit(True)).join(changes.withColumn("_new", F.lit(True)), same, "full")
     touched, known = F.col("_new").isNotNull(), F.col("_old").isNotNull()
     tenant, customer = (F.when(known, F.col(k)).otherwise(F.col(f"_{k}")) for k in KEYS)
     addresses = F.col("addresses")
     ids = F.col("identifications")
     return joined.select(
+        *keep,
         tenant.alias("tenant_id"),
         F.coalesce(F.col("partition_id"), domain_partition(customer)).alias("partition_id"),
         customer.alias("customer_id"),
