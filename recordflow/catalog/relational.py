@@ -134,6 +134,24 @@ def _(t):
     return joins.anti(t.customer, rich, ["c_mktsegment"], null_safe=False).select("c_custkey")
 
 
+@query(
+    "not_in_anti_two",
+    """SELECT o_orderkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS a, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS b FROM orders) AS o
+    WHERE NOT EXISTS (SELECT 1 FROM (SELECT CASE WHEN c_custkey % 400 <> 9 THEN c_custkey END AS x,
+      CASE WHEN c_custkey % 400 <> 3 THEN CASE WHEN c_acctbal > 5000 THEN '1-URGENT' ELSE '5-LOW' END END AS y FROM customer WHERE c_custkey % 50 IN (3, 9)) AS l
+      WHERE (o.a = l.x OR o.a IS NULL OR l.x IS NULL) AND (o.b = l.y OR o.b IS NULL OR l.y IS NULL))""",
+)
+def _(t):
+    """(a, b) NOT IN (SELECT x, y ...) with NULLs in every column; the twin spells out what it means."""
+    key, ours = F.col("c_custkey"), F.col("o_orderkey")
+    rows = t.orders.select(
+        "o_orderkey", F.when(ours % 7 != 0, F.col("o_custkey")).alias("a"), F.when(ours % 5 != 0, F.col("o_orderpriority")).alias("b")
+    )
+    word = F.when(F.col("c_acctbal") > 5000, "1-URGENT").otherwise("5-LOW")
+    listed = t.customer.where((key % 50).isin(3, 9)).select(F.when(key % 400 != 9, key).alias("x"), F.when(key % 400 != 3, word).alias("y"))
+    return joins.anti(rows, listed, {"a": "x", "b": "y"}, null_safe=False).select("o_orderkey")
+
+
 @query(
     "left_is_null_anti",
     "SELECT c_custkey, c_name FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events) ON c_custkey = user_id WHERE user_id IS NULL",
@@ -511,8 +529,8 @@ def _(t):
     """SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS before FROM orders""",
 )
 def _(t):
-    """Five keys for all rows: by row numbers."""
-    rows = latest.lag_numbered(t.orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_totalprice", "before")
+    """Five keys for all rows: by ranges that hand on their last row."""
+    rows = latest.lag_carried(t.orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_totalprice", "before")
     return rows.select("o_orderkey", "before")
 
 

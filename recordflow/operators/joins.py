@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordflow.operators.periods import blocks_of, cover, day_number, level_of
+
 
 def _pairs(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
@@ -66,45 +68,48 @@ def join_between(
     date: str,
     low: str,
     high: str,
-    bucket: str = "month",
 ) -> DataFrame:
     """Facts joined to the periods of the same key that hold the fact's date.
 
-    Every period is listed under each calendar bucket it touches and every fact under its own,
-    so the hash key is (key, bucket). That keeps the comparison count near the result size and
-    spreads one very large key over many tasks. A fact has one bucket, so no pair repeats.
-    Periods are listed only within the days the facts cover (a scalar subquery), so an open end
-    such as 9999-12-31 does not multiply rows.
+    A period is listed under the few aligned blocks of days that make it up (``operators.periods``), a fact
+    under the block of each level that its date lies in, so the hash key is (key, block). A pair meets in one
+    block only. That keeps the comparison count at the result size and spreads one very large key over many
+    tasks; a period of a millennium costs a few rows. Periods are cut to the days the facts cover, and
+    facts are listed on the levels the periods use: both are scalar subqueries over one column.
     """
     names = _pairs(keys)
-    step = F.expr(f"interval 1 {bucket}")
-
-    def floor(col: Column) -> Column:
-        return F.date_trunc(bucket, col).cast("date")
-
-    span = facts.agg(F.struct(F.min(date).cast("date").alias("lo"), F.max(date).cast("date").alias("hi")).alias("s"))
-    first = F.greatest(F.col(low).cast("date"), F.col("_span.lo"))
-    last = F.least(F.col(high).cast("date"), F.col("_span.hi"))
-    right = (
+    span = facts.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("s"))
+    first = F.greatest(day_number(F.col(low)), day_number(F.col("_span.lo")))
+    last = F.least(day_number(F.col(high)), day_number(F.col("_span.hi")))
+    listed = (
         periods.withColumn("_span", span.scalar())
-        .where((F.col(low) <= F.col(high)) & (first <= last))
-        .select(
-            *[F.col(r).alias(f"_k{i}") for i, r in enumerate(names.values())],
-            *[c for c in periods.columns if c not in names.values()],
-            F.explode(F.sequence(floor(first), floor(last), step)).alias("_bucket_r"),
-        )
+        .where(F.col(low) <= F.col(high))
+        .withColumn("_block_r", F.explode(cover(first, last)))
+        .drop("_span")
     )
-    left = facts.withColumn("_bucket_l", floor(F.col(date)))
+    levels = listed.agg(F.collect_set(level_of(F.col("_block_r"))).alias("s"))
+    right = listed.select(
+        *[F.col(r).alias(f"_k{i}") for i, r in enumerate(names.values())],
+        *[c for c in periods.columns if c not in names.values()],
+        "_block_r",
+    )
+    blocks = F.filter(blocks_of(F.col("_day")), lambda b: F.array_contains(F.col("_levels"), level_of(b)))
+    left = facts.withColumns({"_day": day_number(F.col(date)), "_levels": levels.scalar()})
+    left = left.withColumn("_block_l", F.explode(blocks)).drop("_day", "_levels")
     on = [F.col(a) == F.col(f"_k{i}") for i, a in enumerate(names)]
-    on += [F.col("_bucket_l") == F.col("_bucket_r"), F.col(date).between(F.col(low), F.col(high))]
+    on += [F.col("_block_l") == F.col("_block_r"), F.col(date).between(F.col(low), F.col(high))]
     dropped = [f"_k{i}" for i in range(len(names))]
-    return left.join(right, on, "inner").drop("_bucket_l", "_bucket_r", *dropped)
+    return left.join(right, on, "inner").drop("_block_l", "_block_r", *dropped)
 
 
 def semi(df: DataFrame, keys_df: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
     return _existence(df, keys_df, on, "left_semi")
 
 
+#: Key columns that a NOT IN may have: there is an anti join for each set of them.
+MOST_NOT_IN = 4
+
+
 def anti(
     df: DataFrame, keys_df: DataFrame, on: Sequence[str] | Mapping[str, str], null_safe: bool = True
 ) -> DataFrame:
@@ -112,13 +117,14 @@ def anti(
 
     ``null_safe=True`` is NOT EXISTS: a NULL key never has a partner and the row stays.
     ``null_safe=False`` is SQL's NOT IN: a NULL in the list leaves no rows, and a NULL key is
-    dropped unless the list is empty. It takes a single key column.
+    dropped unless the list is empty. With several columns a row stays if it differs for certain
+    from every entry, in a column where both have a value.
     """
     if null_safe:
         return _existence(df, keys_df, on, "left_anti")
     names = _pairs(on)
     if len(names) != 1:
-        raise ValueError("NOT IN takes one key column")
+        return _not_in(df, keys_df, names)
     (left, right), = names.items()
     # Facts about the list are one scalar subquery, and the rest is a plain hash anti join;
     # the built-in null-aware anti join would need the whole list broadcast.
@@ -130,6 +136,36 @@ def anti(
     return kept.where((rows == 0) | ((rows == known) & F.col(left).isNotNull())).drop("_list")
 
 
+def _null_pattern(cols: Sequence[Column]) -> Column:
+    """Which columns are NULL, as bits."""
+    return sum((F.when(c.isNull(), 1 << i).otherwise(0) for i, c in enumerate(cols)), F.lit(0))
+
+
+def _not_in(df: DataFrame, keys_df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """NOT IN over several columns, as one hash anti join for each pattern of NULLs in the list.
+
+    A row goes if some entry agrees with it wherever both have a value. Entries of one pattern are listed
+    for every pattern a row may have, with the columns blanked that are NULL on either side; a row then
+    looks up its own pattern and values. The lists are distinct, so they hold no more than a few rows an
+    entry, and an entry that is NULL throughout is one row a pattern.
+    """
+    n = len(names)
+    if n > MOST_NOT_IN:
+        raise ValueError(f"NOT IN takes up to {MOST_NOT_IN} key columns")
+    entries = keys_df.select(*[F.col(r).alias(f"_e{i}") for i, r in enumerate(names.values())])
+    entries = entries.withColumn("_nulls", _null_pattern([F.col(f"_e{i}") for i in range(n)]))
+    out = df.withColumn("_p", _null_pattern([F.col(left) for left in names]))
+    patterns = F.array(*[F.lit(p) for p in range(1 << n)])
+    for nulls in range(1 << n):
+        own = entries.where(F.col("_nulls") == nulls).withColumn("_q", F.explode(patterns))
+        blanked = {f"_e{i}": F.when(F.col("_q").bitwiseAND(1 << i) == 0, F.col(f"_e{i}")) for i in range(n)}
+        listed = own.withColumns(blanked).drop("_nulls").distinct()
+        on = [F.col("_p") == F.col("_q")]
+        on += [F.col(left).eqNullSafe(F.col(f"_e{i}")) for i, left in enumerate(names) if not nulls >> i & 1]
+        out = out.join(listed, on, "left_anti")
+    return out.drop("_p")
+
+
 def _existence(df: DataFrame, keys_df: DataFrame, on, how: str) -> DataFrame:
     names = _pairs(on)
     slim = keys_df.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(names.values())])

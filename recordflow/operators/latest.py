@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordflow.operators.paging import with_row_number
+from recordflow.operators.paging import ranged_rows
 
 
 def latest_per_key(
@@ -104,8 +104,9 @@ def previous_row(
 def lag_in_buckets(
     df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    """Previous ``value`` of the key in the order given, safe for very large keys.
+    """Previous ``value`` of the key in the order given, for keys with many rows in few buckets.
 
+    The buckets of a key meet in one task (``lag_carried`` has no such bound), one row each.
     ``bucket`` must not decrease with the order (a day or an hour of the ordering time, say).
     The last value of each (key, bucket) is found by partial aggregation and handed on to the
     key's next bucket as one extra row that stands before all others there. An ordinary lag
@@ -128,16 +129,25 @@ def lag_in_buckets(
     return chained.select(*df.columns, F.col("_prev.v").alias(name))
 
 
-def lag_numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Previous ``value`` of the key where a few keys, or one moment, hold most rows.
+def lag_carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Previous ``value`` of the key, whatever share of the rows a key or a moment holds.
 
-    All rows are numbered in the order of keys and ``order`` (which runs a range sort when called),
-    and each row meets the one before it by its number. No window holds a key, so neither a hot key
-    nor a hot time stamp ends up in one task. ``order`` should be unique within a key.
+    All rows are cut into ranges of keys and ``order`` (which runs a range sort when called). Inside a range
+    the row before is at hand; the first row of a range takes it from the last row of the range before,
+    which comes from a table of one row a range. No window holds a key: one that spans many ranges is worked
+    on by as many tasks. ``order`` should be unique within a key.
     """
-    numbered = with_row_number(df, [F.col(c) for c in (*keys, *order)], "_row")
-    before = numbered.select(
-        (F.col("_row") + 1).alias("_next"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias(name)
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return numbered.join(before, [F.col("_row") == F.col("_next"), *same], "left").select(*df.columns, name)
+    # The value is wrapped so that a NULL value can be told from "no previous row".
+    told = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(value).alias("v"))
+    fixed = ranged_rows(df, [F.col(c) for c in (*keys, *order)])
+    # One row per range: bounded by the number of partitions, not by the data.
+    ends = fixed.groupBy("_part").agg(F.max_by(told, "_idx").alias("_end"))
+    carried = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_carried"))
+    before = F.lag(told).over(Window.partitionBy("_part").orderBy("_idx"))
+    rows = fixed.withColumn("_before", before).join(F.broadcast(carried), "_part")
+    rows = rows.withColumn("_before", F.coalesce("_before", "_carried"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(f"_before.k{i}").eqNullSafe(F.col(k))
+    found = F.when(F.col("_before").isNotNull() & same, F.col("_before.v"))
+    return rows.select(*df.columns, found.alias(name))

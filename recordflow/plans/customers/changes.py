@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordflow.operators.latest import lag_in_buckets
+from recordflow.operators.latest import lag_carried
 from recordflow.plans.customers.merge import Handler, default_handlers, event_items
 from recordflow.sources.events import domain_partition
 
@@ -48,13 +48,13 @@ def change_records(
     snapshot: DataFrame,
     events: DataFrame,
     handlers: Mapping[str, Handler] | None = None,
-    bucket_millis: int = 60_000,
 ) -> DataFrame:
     """One row per recognised event with the item before and after it.
 
     The old value is the previous item of the same (tenant, customer, kind, type), found over snapshot
-    and events together. Histories are cut in time buckets (a minute by default), so one
-    customer with a large share of all events is worked on by many tasks.
+    and events together. Histories are cut into ranges, and a range hands its last item on
+    (``lag_carried``, which runs when called), so one customer, or one moment, with a large share of
+    all events is worked on by many tasks.
     """
     items = event_items(events, handlers)
     # Only the ids and types are needed to see which customers take part; no payload is decoded.
@@ -62,9 +62,8 @@ def change_records(
     ids = events.where(F.col("event_type").isin(list(registry))).select("tenant_id", "customer_id").distinct()
     touched = snapshot.join(ids, ["tenant_id", "customer_id"], "left_semi")
     history = _snapshot_items(touched, items).unionByName(items)
-    bucket = F.floor(F.col("event_timestamp") / bucket_millis).cast("bigint")
-    chained = lag_in_buckets(
-        history, ["tenant_id", "customer_id", "kind", "item_type"], bucket, ["event_timestamp", "event_key"], "item", "old"
+    chained = lag_carried(
+        history, ["tenant_id", "customer_id", "kind", "item_type"], ["event_timestamp", "event_key"], "item", "old"
     )
     return chained.where(F.col("event_type").isNotNull()).select(
         "tenant_id",

@@ -118,7 +118,7 @@ def test_merge_in_two_batches_equals_one(base, raw):
 
 def test_change_records_equal_the_fold(base, raw):
     got = []
-    for r in changes.change_records(base, events.decode_payload(raw), bucket_millis=7).collect():
+    for r in changes.change_records(base, events.decode_payload(raw)).collect():
         old = r.oldName or r.oldAddress or r.oldId
         new = r.newName or r.newAddress or r.newId
         got.append((r.customer_id, r.event_timestamp, None if old is None else tuple(old), tuple(new)))

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recordflow.operators import filters, joins, latest, paging, pivot, sets, totals
+from recordflow.operators import filters, joins, latest, paging, periods, pivot, sets, totals
 
 
 def plan(df):
@@ -66,9 +68,55 @@ def test_join_between_equals_plain_condition(spark, rows):
         F.date_add(F.lit("2023-12-20").cast("date"), (F.col("id") * 9 - 20).cast("int")).alias("hi"),
     )
     want = facts.join(periods, "k").where(F.col("d").between(F.col("lo"), F.col("hi"))).select("k", "d", "p")
-    for bucket in ("month", "week", "year"):
-        got = joins.join_between(facts, periods, ["k"], "d", "lo", "hi", bucket=bucket).select("k", "d", "p")
+    assert rows(joins.join_between(facts, periods, ["k"], "d", "lo", "hi").select("k", "d", "p")) == rows(want)
+
+
+@pytest.mark.parametrize("bits,levels", [(1, 22), (3, 8), (4, 6)])
+def test_blocks_cover_each_day_once(spark, bits, levels):
+    """Blocks of a period against its days, whatever the period's length."""
+    rng = random.Random(5)
+    ends = [(0, 0), (0, 3_652_058), (7, 8), (8, 7), (511, 512), (0, 63), (1, 64)]
+    ends += [(a, a + rng.choice([0, 1, 6, 30, 365, 4000])) for a in (rng.randrange(0, 800_000) for _ in range(60))]
+    df = spark.createDataFrame(ends, "a long, b long").withColumn("blocks", periods.cover(F.col("a"), F.col("b"), bits, levels))
+    for r in df.collect():
+        spans = sorted(((n & 0xFFFFFFFF) << bits * (n >> 32), ((n & 0xFFFFFFFF) + 1) << bits * (n >> 32)) for n in r.blocks)
+        assert (not spans and r.a > r.b) or (spans[0][0] == r.a and spans[-1][1] == r.b + 1)
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+        assert len(spans) <= 2 * ((1 << bits) - 1) * levels
+    day = spark.createDataFrame([(d,) for d in (0, 8, 63, 738_000)], "d long")
+    joined = day.crossJoin(df).withColumn("n", F.size(F.array_intersect("blocks", periods.blocks_of(F.col("d"), bits, levels))))
+    assert not joined.where((F.col("n") == 1) != F.col("d").between(F.col("a"), F.col("b"))).count()
+    assert not joined.where("n > 1").count()
+
+
+def test_periods_of_millennia_stay_few_rows(spark):
+    ends = spark.createDataFrame([("0001-01-01", "9999-12-31"), ("0001-01-02", "9999-12-30"), ("2024-02-29", "9999-12-31")], "lo string, hi string")
+    days = [periods.day_number(F.col(c)) for c in ("lo", "hi")]
+    sizes = [r[0] for r in ends.select(F.size(periods.cover(*days))).collect()]
+    assert max(sizes) <= 14 * periods.LEVELS and days is not None
+    assert ends.select(F.min(days[0]), F.max(days[1])).first() == (0, 3_652_058)
+
+
+@pytest.mark.parametrize("width", [2, 3])
+def test_not_in_over_several_columns(spark, rows, width):
+    rng = random.Random(width)
+    cols = [f"c{i}" for i in range(width)]
+    kinds = ", ".join(f"{c} int" for c in cols)
+
+    def some(n, top):
+        return spark.createDataFrame([tuple(rng.choice([None, *range(top)]) for _ in cols) for _ in range(n)], kinds)
+
+    left, lists = some(120, 4), [some(n, 4) for n in (0, 1, 3, 5)]
+    lists += [lists[2].where(" or ".join(f"{c} is not null" for c in cols)), some(4, 9).na.fill(7)]
+    left.createOrReplaceTempView("nl")
+    for keys in lists:
+        keys.createOrReplaceTempView("nr")
+        agree = " AND ".join(f"(l.{c} = r.{c} OR l.{c} IS NULL OR r.{c} IS NULL)" for c in cols)
+        want = spark.sql(f"SELECT * FROM nl l WHERE NOT EXISTS (SELECT 1 FROM nr r WHERE {agree})")
+        got = joins.anti(left, keys.toDF(*[f"r{c}" for c in cols]), {c: f"r{c}" for c in cols}, null_safe=False)
         assert rows(got) == rows(want)
+    with pytest.raises(ValueError):
+        joins.anti(left, left, {f"a{i}": "c0" for i in range(5)}, null_safe=False)
 
 
 def test_join_between_open_ends(spark, rows):
@@ -148,7 +196,31 @@ def test_lag_in_buckets_equals_lag(spark, rows):
         assert rows(got, *want.columns) == rows(want)
 
 
-def test_lag_numbered_with_one_hot_key_and_moment(spark, rows):
+@pytest.mark.parametrize("hot", [["k"], ["t"], ["k", "t"]])
+def test_lag_carried_with_one_key_or_one_moment(spark, rows, hot):
+    """All rows share the key, the time stamp or both; ranges must still be many and no window a key's."""
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), (F.col("id") % 13).alias("t"), F.col("id").alias("i"), (F.col("id") * 3).alias("v"))
+    df = df.withColumns({c: F.lit(1).cast("bigint") for c in hot})
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
+    got = latest.lag_carried(df, ["k"], ["t", "i"], "v", "p")
+    assert rows(got, *want.columns) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    specs = [line for line in plan.splitlines() if " Window [" in line]
+    assert specs and all("windowspecdefinition(_part" in line or "windowspecdefinition(k" not in line for line in specs)
+    assert "SortMergeJoin" not in plan
+
+
+def test_lag_carried_over_many_empty_and_tiny_ranges(spark, rows):
+    df = spark.createDataFrame([(i // 2, i, i) for i in range(11)], "k long, t long, v long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rows(latest.lag_carried(df, ["k"], ["t"], "v", "p"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == rows(df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t"))))
+
+
+def test_lag_carried_with_one_hot_key_and_moment(spark, rows):
     df = spark.range(3000).select(
         F.when(F.col("id") % 10 < 9, "hot").otherwise((F.col("id") % 3).cast("string")).alias("k"),
         F.when(F.col("id") % 8 < 7, 5).otherwise(F.col("id") % 17).alias("t"),
@@ -156,7 +228,7 @@ def test_lag_numbered_with_one_hot_key_and_moment(spark, rows):
         F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id")).alias("v"),
     ).unionByName(spark.createDataFrame([(None, 1, -1, 7), (None, 1, -2, 8)], "k string, t long, i long, v long"))
     want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
-    assert rows(latest.lag_numbered(df, ["k"], ["t", "i"], "v", "p"), *want.columns) == rows(want)
+    assert rows(latest.lag_carried(df, ["k"], ["t", "i"], "v", "p"), *want.columns) == rows(want)
 
 
 # --- pivots and totals ---------------------------------------------------------------------
