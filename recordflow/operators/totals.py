@@ -75,6 +75,26 @@ def rollup_totals(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]
     return df.rollup(*keys).agg(level, *[e.alias(n) for n, e in sums.items()])
 
 
+def metric_lines(
+    df: DataFrame, metrics: Sequence[tuple[str, Column, int]], suffix: Column | None = None
+) -> DataFrame:
+    """A two-column report of (label, expression, order) over one frame, which is read once.
+
+    The expressions are aggregates, for one row each; with ``suffix`` they are values, and every row of the
+    frame gives a line each with its suffix in the label.
+    """
+    cells = [e.cast("string").alias(f"_m{i}") for i, (_, e, _) in enumerate(metrics)]
+    one = df.agg(*cells) if suffix is None else df.select(*cells, suffix.alias("_suffix"))
+    end = F.lit("") if suffix is None else F.col("_suffix")
+    rows = F.array(
+        *[
+            F.struct(F.concat(F.lit(text), end).alias("description"), F.col(f"_m{i}").alias("cnt"), F.lit(order).alias("ord"))
+            for i, (text, _, order) in enumerate(metrics)
+        ]
+    )
+    return one.select(F.inline(rows))
+
+
 def metric_rows(metrics: Sequence[tuple[str | Column, DataFrame, Column, int]]) -> DataFrame:
     """A two-column report of (label, frame, expression, order).
 

@@ -15,7 +15,7 @@ from recordflow.operators.latest import latest_by_max, latest_day, latest_per_ke
 from recordflow.operators.paging import paginate
 from recordflow.operators.pivot import pivot_codes, pivot_latest
 from recordflow.operators.sets import active_plus_closed, values_frame
-from recordflow.operators.totals import metric_rows, share_of, with_totals_rows
+from recordflow.operators.totals import metric_lines, share_of, with_totals_rows
 from recordflow.plans.reports.run import Run
 from recordflow.sources.tables import stage
 
@@ -259,45 +259,7 @@ def control_totals(
 ) -> DataFrame:
     """Daily control totals: labelled metrics in order."""
     day = F.lit(date).cast("date")
-    active = F.lower("status") == "active"
-    settled_later = (F.col("status") == "Settled") & (F.col("closed_on") > day)
-    today = daily.where(F.col("day") == day)
-    open_rows = lookup(today, accounts, ["account_id"], ["status", "closed_on"], how="inner").where(active | settled_later)
-    closed_today = accounts.where(F.col("closed_on") == day)
-    newest = [F.col("row_id").desc()]
-    cur = latest_per_key(today, ["account_id"], newest)
-    year_end = prior_year_end(day)
-    prev = latest_per_key(daily.where(F.col("day") == year_end), ["account_id"], newest)
-    zero = F.lit(0).cast("decimal(26,4)")
-    ytd = lookup(cur.select("account_id", "interest_paid"), prev, ["account_id"], {"interest_paid": "paid_before"})
-    ytd = ytd.select("account_id", (F.coalesce("interest_paid", zero) - F.coalesce("paid_before", zero)).alias("ytd"))
-
-    same_day = (F.col("booked_on") == day) & (F.col("booked_on") == F.col("effective_on"))
-    entries = ledger.where(same_day)
-    # One row per account: the sums of accruals and whether a reversal was booked.
-    accrual = F.col("operation") == "accrual"
-    liability = accrual & (F.col("gl_class") == "Liability")
-    sums = entries.groupBy("account_id").agg(
-        F.sum(F.when(liability, F.col("credit"))).alias("credit"),
-        F.sum(F.when(liability, F.col("debit"))).alias("debit"),
-        F.max(accrual.cast("int")).alias("accrued"),
-        F.max((F.col("operation") == "reversal").cast("int")).alias("reversed"),
-    )
-    out = lookup(open_rows.select("account_id"), cur, ["account_id"], {"running_balance": "running", "accrued_interest": "month"})
-    out = lookup(out, sums, ["account_id"], ["credit", "debit", "accrued", "reversed"])
-    out = lookup(out, ytd, ["account_id"], ["ytd"])
-    swapped = (F.col("credit") < 0) & (F.col("debit") > 0)
-    booked = F.when(swapped, -F.col("debit")).otherwise(F.col("credit") - F.col("debit"))
-    reversed_ = F.coalesce((F.col("reversed") == 1) & (F.col("accrued") == 1), F.lit(False))
-    main = out.select(
-        F.coalesce("running", zero).alias("running"),
-        F.when(reversed_, zero).otherwise(F.coalesce(booked, zero)).alias("daily"),
-        F.when(reversed_, zero).otherwise(F.coalesce("month", zero)).alias("month"),
-        F.coalesce("ytd", zero).alias("ytd"),
-    )
-    settled_ytd = lookup(closed_today.select("account_id"), ytd, ["account_id"], ["ytd"], how="inner")
-    paid = main.select("ytd").unionByName(settled_ytd.select("ytd"))
-
+    per_account = _account_controls(accounts, daily, ledger, day)
     posted = postings.where(
         (F.col("day") == day)
         & (F.col("arrangement") != "InternalArrangement")
@@ -317,19 +279,79 @@ def control_totals(
     money0 = F.lit(0).cast("decimal(17,2)")
     lines = scaffold(codes, by_code, "code", {"n": F.lit(0).cast("bigint"), "value": money0})
 
-    def total(col: str) -> Column:
-        return F.coalesce(F.sum(col), F.lit(0)).cast("decimal(17,2)")
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("decimal(17,2)")
+
+    def count(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 
-    say = CONTROL_LABELS
-    return metric_rows(
+    say, rows = CONTROL_LABELS, F.col("rows")
+    totals = metric_lines(
+        per_account,
         [
-            (say["open"], open_rows, F.count("account_id"), 1),
-            (say["closed"], closed_today, F.count("account_id"), 2),
-            (say["paid"], paid, total("ytd"), 3),
-            (F.concat(F.lit(say["count"]), F.col("code")), lines, F.col("n"), 4),
-            (F.concat(F.lit(say["value"]), F.col("code")), lines, F.col("value"), 5),
-            (say["daily"], main, total("daily"), 6),
-            (say["month"], main, total("month"), 7),
-            (say["balance"], main, total("running"), 8),
-        ]
-    ).withColumn("pagenbr", F.lit("1"))
+            (say["open"], count(rows), 1),
+            (say["closed"], count(F.col("closed")), 2),
+            (say["paid"], total(F.col("ytd") * (rows + F.col("closed"))), 3),
+            (say["daily"], total(F.col("daily") * rows), 6),
+            (say["month"], total(F.col("month") * rows), 7),
+            (say["balance"], total(F.col("running") * rows), 8),
+        ],
+    )
+    by_line = metric_lines(lines, [(say["count"], F.col("n"), 4), (say["value"], F.col("value"), 5)], suffix=F.col("code"))
+    return totals.unionByName(by_line).withColumn("pagenbr", F.lit("1"))
+
+
+def _account_controls(accounts: DataFrame, daily: DataFrame, ledger: DataFrame, day: Column) -> DataFrame:
+    """What the totals need of each account, from one aggregation over the rows of three sources.
+
+    ``rows``: the day's balance rows of open accounts; ``closed``: accounts closed that day; ``daily``,
+    ``month``, ``running``, ``ytd``: the values of one row. Each source is read once, and an account's rows are
+    aggregated before they are shuffled.
+    """
+    open_ = (F.lower("status") == "active") | ((F.col("status") == "Settled") & (F.col("closed_on") > day))
+    year_end = prior_year_end(day)
+    today = F.col("day") == day
+    accrual = F.col("operation") == "accrual"
+    liability = accrual & (F.col("gl_class") == "Liability")
+    balance = F.struct("running_balance", "accrued_interest", "interest_paid")
+    tagged = [
+        accounts.select("account_id", open_.cast("int").alias("open"), (F.col("closed_on") == day).cast("int").alias("closed")),
+        daily.where(today | (F.col("day") == year_end)).select(
+            "account_id",
+            F.when(today, F.lit(1)).alias("today"),
+            F.when(today, F.col("row_id")).alias("new_id"),
+            F.when(today, balance).alias("new"),
+            F.when(~today, F.col("row_id")).alias("old_id"),
+            F.when(~today, F.col("interest_paid")).alias("old_paid"),
+        ),
+        ledger.where((F.col("booked_on") == day) & (F.col("booked_on") == F.col("effective_on"))).select(
+            "account_id",
+            F.when(liability, F.col("credit")).alias("credit"),
+            F.when(liability, F.col("debit")).alias("debit"),
+            accrual.cast("int").alias("accrued"),
+            (F.col("operation") == "reversal").cast("int").alias("reversed"),
+        ),
+    ]
+    rows = tagged[0]
+    for part in tagged[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    grouped = rows.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        *[F.sum(c).alias(c) for c in ("open", "closed", "today", "credit", "debit")],
+        F.max_by("new", "new_id").alias("new"),
+        F.max_by("old_paid", "old_id").alias("old_paid"),
+        *[F.max(c).alias(c) for c in ("accrued", "reversed")],
+    )
+    zero = F.lit(0).cast("decimal(26,4)")
+    none = F.lit(0).cast("bigint")
+    swapped = (F.col("credit") < 0) & (F.col("debit") > 0)
+    booked = F.when(swapped, -F.col("debit")).otherwise(F.col("credit") - F.col("debit"))
+    reversed_ = F.coalesce((F.col("reversed") == 1) & (F.col("accrued") == 1), F.lit(False))
+    paid = F.coalesce("new.interest_paid", zero) - F.coalesce("old_paid", zero)
+    return grouped.select(
+        (F.coalesce("today", none) * F.coalesce("open", none)).cast("int").alias("rows"),
+        F.coalesce("closed", none).cast("int").alias("closed"),
+        F.coalesce("new.running_balance", zero).alias("running"),
+        F.when(reversed_, zero).otherwise(F.coalesce(booked, zero)).alias("daily"),
+        F.when(reversed_, zero).otherwise(F.coalesce("new.accrued_interest", zero)).alias("month"),
+        F.when(F.col("today").isNotNull(), paid).otherwise(zero).alias("ytd"),
+    )

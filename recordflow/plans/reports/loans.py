@@ -277,18 +277,42 @@ def trial_pages(rows: DataFrame, size: int = 100) -> DataFrame:
     return paginate(rows, [F.col("loan_number"), F.col("extensions"), *[F.col(c) for c in rows.columns]], size)
 
 
+def _newest_of_both(balances: DataFrame, codes: Mapping[str, str], run: Run) -> DataFrame:
+    """(account_id, ledger_id, an amount for each code): the rows of each code's newest day in the run.
+
+    Balances are read once. The rows of an account, code and day are a list, the newest list of each code is
+    kept, and the lists meet by ledger; rows whose validity does not hold their day drop out first. A list is
+    as long as an account has rows of one code on one day.
+    """
+    of_code = F.col("code").isin(list(codes.values())) & (F.col("period") == "Yearly")
+    day = F.col("batch_date")
+    valid = day.between(F.col("valid_from"), F.col("valid_to"))
+    row = F.when(valid, F.struct("ledger_id", "amount"))
+    days = balances.where(of_code & run.holds("batch_date")).groupBy("account_id", "code", "batch_date")
+    lists = days.agg(F.collect_list(row).alias("rows"))
+
+    def newest(code: str) -> Column:
+        own = F.col("code") == code
+        return F.max_by(F.when(own, F.col("rows")), F.when(own, day))
+
+    out = lists.groupBy("account_id").agg(*[newest(code).alias(name) for name, code in codes.items()])
+    for name in codes:
+        out = out.withColumn(name, F.explode(name))
+    first, *others = codes
+    for name in others:
+        out = out.where(F.col(f"{name}.ledger_id") == F.col(f"{first}.ledger_id"))
+    amounts = [F.col(f"{name}.amount").alias(name) for name in codes]
+    return out.select("account_id", F.col(f"{first}.ledger_id").alias("ledger_id"), *amounts)
+
+
 def forgiven_debt(accounts: DataFrame, balances: DataFrame, customers: DataFrame, year: int) -> DataFrame:
     """Charged-off accounts with both forgiven debt and forgiven interest in the year."""
     run = Run(f"{year}-01-01", f"{year}-12-31")
 
-    def last(code: str) -> DataFrame:
-        of_code = (F.col("code") == code) & (F.col("period") == "Yearly")
-        top = latest_by_max(balances, ["account_id"], "batch_date", where=of_code & run.holds("batch_date"))
-        return top.where(F.col("batch_date").between(F.col("valid_from"), F.col("valid_to")))
-
+    forgiven = _newest_of_both(balances, {"debt": "ForgivenDebt", "interest": "ForgivenInterest"}, run)
     both = ["account_id", "ledger_id"]
-    out = lookup(accounts.where(F.col("substate").isin(CHARGED_OFF)), last("ForgivenDebt"), both, {"amount": "forgiven_debt"}, how="inner")
-    out = lookup(out, last("ForgivenInterest"), both, {"amount": "forgiven_interest"}, how="inner")
+    amounts = {"debt": "forgiven_debt", "interest": "forgiven_interest"}
+    out = lookup(accounts.where(F.col("substate").isin(CHARGED_OFF)), forgiven, both, amounts, how="inner")
     out = lookup(out, customers, ["customer_id", "ledger_id"], {"name_line": "customer_name"})
     return out.select(
         F.col("ledger_id").alias("financial_entity"),
