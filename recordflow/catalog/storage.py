@@ -9,7 +9,7 @@ from recordflow.catalog.roles import with_roles
 from recordflow.functions import dates
 from recordflow.operators import filters
 from recordflow.session import scratch_path
-from recordflow.sources import events, tables
+from recordflow.sources import events, loads, summaries, tables
 
 DEC = "decimal(38,4)"
 
@@ -131,6 +131,54 @@ def _(t):
     return tables.refresh_aggregate(t.orders, scratch_path(t.spark, "summary"), ["o_orderstatus"], aggs)
 
 
+@query(
+    "summary_incremental",
+    """SELECT o_custkey, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,4)) AS total, min(amount) AS least, max(amount) AS most,
+    CAST(CAST(sum(amount) AS DOUBLE) / count(*) AS DOUBLE) AS mean FROM (
+      SELECT o_custkey, year(o_orderdate) AS y, CAST(o_totalprice AS DECIMAL(26,4)) AS amount FROM orders
+      UNION ALL SELECT o_custkey, 1997, CAST(o_totalprice AS DECIMAL(26,4)) FROM orders WHERE year(o_orderdate) = 2000)
+    WHERE y <> 1995 AND NOT (y = 1996 AND o_custkey % 2 = 0) GROUP BY o_custkey""",
+)
+def _(t):
+    """A summary refreshed after a new file, a replaced folder and a removed one."""
+    source, root = scratch_path(t.spark, "by-year"), scratch_path(t.spark, "summary")
+    rows = t.orders.select("o_custkey", _amount().alias("amount"), F.year("o_orderdate").alias("y"))
+    tables.write_partitioned(rows, source, ["y"])
+    amount = F.col("amount")
+    measures = {
+        "n": summaries.Measure("count"),
+        "total": summaries.Measure("sum", amount, DEC),
+        "least": summaries.Measure("min", amount),
+        "most": summaries.Measure("max", amount),
+        "mean": summaries.Measure("avg", amount.cast("double")),
+    }
+
+    def refresh():
+        return summaries.refresh_by_partition(t.spark, source, root, "y", ["o_custkey"], measures)
+
+    refresh()
+    rows.where("y = 2000").withColumn("y", F.lit(1997)).write.mode("append").partitionBy("y").parquet(source)
+    rows.where("y = 1996 and o_custkey % 2 <> 0").drop("y").write.mode("overwrite").parquet(f"{source}/y=1996")
+    tables.remove_path(t.spark, f"{source}/y=1995")
+    return refresh().summary
+
+
+@query(
+    "bulk_move",
+    """SELECT s_suppkey AS id, s_name AS name, 'b1' AS load_batch FROM supplier UNION ALL SELECT c_custkey, c_name, 'b2' FROM customer""",
+)
+def _(t):
+    """Files moved into the table instead of being read and written again."""
+    first, second, target = (scratch_path(t.spark, n) for n in ("in1", "in2", "moved"))
+    t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")).write.parquet(first)
+    people = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    people.write.parquet(second)
+    loads.move_files(t.spark, first, target, "b1")
+    loads.move_files(t.spark, second, target, "b2")
+    loads.move_files(t.spark, second, target, "b2")  # nothing is left to move
+    return loads.read_loaded(t.spark, target, people.schema).select("id", "name", "load_batch")
+
+
 @query(
     "ingest_files",
     with_roles("event_rows")

@@ -150,6 +150,43 @@ def _(t):
     )
 
 
+@query(
+    "json_computed_path",
+    with_roles("loan_account")
+    + """ SELECT account_id, json_extract_string(payment_frequency, '$.pmtFreq[' || (length(account_id) + ascii(right(account_id, 1))) % 3 || '].typ') AS typ,
+    json_extract_string(payment_frequency, '$.pmtFreq[' || ascii(right(account_id, 1)) % 2 || '].' || CASE WHEN ascii(right(account_id, 1)) % 5 = 0 THEN 'none' ELSE 'val' END) AS picked,
+    json_extract_string(payment_frequency, '$.gone.deeper[0]') AS gone FROM loan_account""",
+)
+def _(t):
+    """Paths made from columns: some positions and names lead nowhere."""
+    last = F.ascii(F.right("account_id", F.lit(1)))
+    rows = t.loan_account.select("account_id", jsons.variant("payment_frequency").alias("v"))
+    place = jsons.variant_path("pmtFreq", (F.length("account_id") + last) % 3, "typ")
+    picked = jsons.variant_path("pmtFreq", last % 2, F.when(last % 5 == 0, "none").otherwise("val"))
+    return rows.select(
+        "account_id",
+        jsons.variant_field("v", place).alias("typ"),
+        jsons.variant_field("v", picked).alias("picked"),
+        jsons.variant_field("v", "$.gone.deeper[0]").alias("gone"),
+    )
+
+
+@query(
+    "json_variant_rows",
+    with_roles("loan_account")
+    + """ SELECT account_id, CAST(i AS BIGINT) AS pos, json_extract_string(payment_frequency, '$.pmtFreq[' || i || '].balTyp') AS "balTyp",
+    json_extract_string(payment_frequency, '$.pmtFreq[' || i || '].val') AS val, json_extract_string(payment_frequency, '$.pmtFreq[' || i || '].none') AS "none"
+    FROM loan_account, (VALUES (0), (1)) v(i)
+    WHERE ascii(right(account_id, 1)) % 4 <> 0 AND json_type(payment_frequency, '$.pmtFreq[' || i || ']') IS NOT NULL""",
+)
+def _(t):
+    """Elements of an array whose name comes from a column, without a declared schema."""
+    name = F.when(F.ascii(F.right("account_id", F.lit(1))) % 4 == 0, "missing").otherwise("pmtFreq")
+    rows = t.loan_account.select("account_id", jsons.variant("payment_frequency").alias("v"))
+    kinds = {"balTyp": "string", "val": "string", "none": "string"}
+    return jsons.variant_rows(rows, "v", jsons.variant_path(name), kinds).drop("key")
+
+
 @query(
     "json_array_rows",
     with_roles("loan_account")

@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file on whatever file system the path names, if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A folder that may be absent; absent reads as an empty frame of the schema."""
     if not path_exists(spark, path):
