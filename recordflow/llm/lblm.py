@@ -28,7 +28,7 @@ from recordflow.llm.tally import byte_set, key_counts, lower_ascii, span_hashes,
 from recordflow.llm.wordhash import mix
 
 #: Words with an output of their own, and classes of other words.
-WORDS = 255
+WORDS = 191
 CLASSES = 64
 OUTPUTS = 1 + WORDS + CLASSES
 END, START = 0, OUTPUTS
@@ -166,12 +166,19 @@ class Model:
     def log_probabilities(self, target: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural logarithms of the targets' probabilities; the softmax is over all outputs."""
         out = np.empty(len(target))
+        # The bias is one more component, so that logits come from one product.
+        outputs = np.concatenate([self.p["out"], self.p["bias"][:, None]], 1).T.copy()
+        size = float(np.sqrt((self.p["out"] ** 2).sum(1)).max())
+        one = np.ones((SCORED, 1), np.float32)
         for a in range(0, len(target), SCORED):
             t = target[a : a + SCORED]
-            logits = self.vectors(before[:, a : a + SCORED]) @ self.p["out"].T + self.p["bias"]
-            logits -= logits.max(1)[:, None]
+            given = np.concatenate([self.vectors(before[:, a : a + SCORED]), one[: len(t)]], 1)
+            logits = given @ outputs
+            # Biases are about logarithms of shares: no exponential of 32 bits overflows and some are not small.
+            if size * float(np.sqrt((given * given).sum(1)).max()) > 60 or self.p["bias"].max() > 20:
+                logits -= logits.max(1)[:, None]
             own = logits[np.arange(len(t)), t].astype(np.float64)
-            out[a : a + len(t)] = own - np.log(np.exp(logits, out=logits).sum(1, dtype=np.float64))
+            out[a : a + len(t)] = own - np.log(np.exp(logits, out=logits).sum(1).astype(np.float64))
         return out
 
     def _step(self, name: str, grad: np.ndarray, rows=slice(None)) -> None:
