@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +52,72 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+class Scope:
+    """Folders that a piece of work writes on its way: staged results and checkpoints."""
+
+    def __init__(self, spark: SparkSession, outer: Scope | None):
+        self.spark, self.outer = spark, outer
+        self.paths: list[str] = []
+
+    def owned_by(self, df: DataFrame) -> list[str]:
+        """The folders of this scope that a frame reads its files from."""
+        read = [_plain(f) for f in df.inputFiles()]
+        return [p for p in self.paths if any(f.startswith(_plain(p) + "/") for f in read)]
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave what the frame reads in place when the scope ends; an outer scope then owns it."""
+        for path in self.owned_by(df):
+            self.paths.remove(path)
+            if self.outer is not None:
+                self.outer.paths.append(path)
+        return df
+
+    def free(self, df: DataFrame) -> None:
+        """Remove now what the frame reads: its last reader is done."""
+        for path in self.owned_by(df):
+            self.paths.remove(path)
+            _remove(self.spark, path)
+
+    def close(self) -> None:
+        while self.paths:
+            _remove(self.spark, self.paths.pop())
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("recordflow_scope", default=None)
+
+
+def _plain(path: str) -> str:
+    """The path without its scheme, as one can be told from another."""
+    return unquote(urlparse(path).path).rstrip("/")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Own the scratch folders that are made inside, and remove them at the end, also after an error.
+
+    Frames are lazy: write the result inside the scope, to its own place or staged and passed to ``keep``.
+    Without a scope, folders stay until whoever named the shared folder removes them.
+    """
+    scope = Scope(spark, _SCOPE.get())
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        scope.close()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, so far unused folder below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.paths.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -59,4 +126,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    cut = df.checkpoint(eager=True)
+    if (scope := _SCOPE.get()) is not None:
+        file = cut._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            scope.paths.append(file.get())
+    return cut
