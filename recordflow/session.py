@@ -72,6 +72,13 @@ class Scope:
                 self.outer.paths.append(path)
         return df
 
+    def take(self, paths: list[str]) -> None:
+        """Own these folders from now on, instead of the outer scope."""
+        for path in paths:
+            if self.outer is not None and path in self.outer.paths:
+                self.outer.paths.remove(path)
+            self.paths.append(path)
+
     def free(self, df: DataFrame) -> None:
         """Remove now what the frame reads: its last reader is done."""
         for path in self.owned_by(df):
