@@ -19,8 +19,9 @@ import re
 import numpy as np
 import pyarrow as pa
 
-#: Pieces that a worker keeps; further ones are encoded anew in each chunk.
-CACHE = 300_000
+#: Pieces that a worker keeps, and the longest of them; others are encoded anew in each chunk.
+CACHE = 120_000
+CACHED_CHARS = 48
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
@@ -79,9 +80,11 @@ class Encoder:
         """Ids of distinct pieces: an array, and each piece's begin and end in it."""
         places = [self.known.get(p, -1) for p in pieces]
         missing = [i for i, k in enumerate(places) if k < 0]
+        # Long pieces come last: they are not kept.
+        missing.sort(key=lambda i: len(pieces[i]) > CACHED_CHARS)
         encoded = self._encode([pieces[i] for i in missing])
-        room = CACHE - len(self.known)
-        fresh = encoded[:room]
+        short = sum(len(pieces[i]) <= CACHED_CHARS for i in missing)
+        fresh = encoded[: min(short, CACHE - len(self.known))]
         if fresh:
             n, used = len(self.known), int(self.ends[len(self.known)])
             ends = used + np.cumsum([len(x) for x in fresh])
@@ -100,7 +103,8 @@ class Encoder:
         begin[kept], end[kept] = self.ends[k[kept]], self.ends[k[kept] + 1]
         if rest:
             bounds = total + np.concatenate([[0], np.cumsum([len(x) for x in rest])])
-            begin[~kept], end[~kept] = bounds[:-1], bounds[1:]
+            at = missing[len(fresh) :]
+            begin[at], end[at] = bounds[:-1], bounds[1:]
             ids = np.concatenate([ids, *[np.asarray(x, np.uint32) for x in rest]])
         return ids, begin, end
 

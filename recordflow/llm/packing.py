@@ -26,6 +26,8 @@ from recordflow.llm.encode import encoder, with_end
 CAPACITY = 1024
 #: Left-over pieces that are packed together: enough lengths to fill windows, small for a task.
 GROUP_ROWS = 20_000
+#: Bytes of text that are encoded at once; a longer text is encoded alone.
+CHUNK_BYTES = 1 << 20
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
 
 
@@ -82,7 +84,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         piece = TaskContext.get().partitionId() << 40
-        for batch, data, offsets in row_chunks(batches, "text", 8 << 20):
+        for batch, data, offsets in row_chunks(batches, "text", CHUNK_BYTES):
             ids, ends = with_end(*coder.encode(data, offsets), end_id)
             ids = ids.astype("<u4")
             tokens = np.diff(ends)
