@@ -238,12 +238,28 @@ SELECT CAST(o_custkey AS STRING) AS account_id, CAST(o_custkey AS STRING) AS cus
        CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice / 4')} END AS past_due,
        {money('o_totalprice / 5')} AS current_due, {case('o_orderstatus', {'O': 'Yes'}, "'No'")} AS post_maturity,
        {case('o_orderpriority', {P1: 'SecureEMessage', P2: 'Mail'}, "'Email'")} AS comm_mode,
-       {case('o_orderpriority', {P1: 'Email, SMS', P2: 'SMS', P3: 'Email'}, "''")} AS notify_mode
+       {case('o_orderpriority', {P1: 'Email, SMS', P2: 'SMS', P3: 'Email'}, "''")} AS notify_mode,
+       {money('o_totalprice * 0.02')} AS interest_due, {money('o_totalprice * 0.03')} AS principal_due,
+       CASE WHEN o_orderstatus <> 'F' THEN {money('o_totalprice * 0.04')} END AS late_charge_due, {money('o_totalprice * 0.06')} AS late_charge_collected,
+       {money('o_totalprice * 0.07')} AS fee_assessed, {money('o_totalprice * 0.08')} AS payments_made, {money('o_totalprice * 0.09')} AS payoff_penalty,
+       {money('o_totalprice * 3')} AS payoff_balance, {money('o_totalprice * 0.11')} AS insurance_collected,
+       CASE WHEN o_orderpriority = '{P2}' THEN {money('o_totalprice * 0.12')} END AS insurance_due,
+       CAST(CAST(o_orderkey AS BIGINT) % 31 AS INT) AS days_in_cycle, {ORDER_DAY} + 3 AS issued_on, {ORDER_DAY} - 1 AS principal_as_of,
+       CASE WHEN o_orderstatus = 'O' THEN {ORDER_DAY} + 45 END AS next_auto_debit
 FROM {ORDERS}""",
+    "account_master": f"""
+SELECT CAST(c_custkey AS STRING) AS account_id, CASE WHEN n_regionkey > 0 THEN CAST(n_nationkey AS DECIMAL(14,10)) END AS accrual_factor,
+       CAST(n_regionkey AS DECIMAL(14,10)) AS apr, CASE WHEN n_nationkey > 9 THEN CAST(n_nationkey AS DECIMAL(14,10)) END AS military_apr,
+       make_date(1998, 1 + n_regionkey, 15) AS next_due_on, CASE WHEN n_regionkey < 3 THEN CAST(5 + n_regionkey AS STRING) || ' days' END AS payment_grace,
+       {money('c_acctbal * 4')} AS contract_amount, {money('c_acctbal * 0.13')} AS schedule_amount, {money('c_acctbal')} AS credit_limit,
+       CASE WHEN c_acctbal > 0 THEN 'Monthly' END AS rate_frequency, CAST(c_nationkey AS STRING) AS manager
+FROM {PARTIES}""",
     "account_day": f"""
 SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day, {money('o_totalprice - 50000')} AS ledger_balance,
        {money('o_totalprice * 0.01')} AS accrued_interest, {money('o_totalprice * 0.5')} AS interest_paid,
        {money('o_totalprice / 4')} AS past_due, CASE WHEN o_orderstatus = 'F' THEN {money('o_totalprice')} ELSE {money('0')} END AS adjustment,
+       {money('o_totalprice * 0.14')} AS misc_fee, {money('o_totalprice * 0.15')} AS fee_collected, {money('o_totalprice * 0.16')} AS past_due_interest,
+       CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice * 0.17')} END AS past_due_principal, {money('o_totalprice * 0.18')} AS disbursed,
        o_orderkey AS row_id
 FROM {{orders}}""",
     "account_txn": f"""
@@ -294,7 +310,9 @@ SELECT CAST(o_custkey AS STRING) AS account_id, {ORDER_DAY} AS day,
          || '">>,<<"apr":"7","fnceChrg":"2","frmDte":"c","toDte":"d","perdcRte":"0.02","prinOutstdBal":"10">>]>>' AS summary
 FROM {ORDERS}""",
     "account_bill": f"""
-SELECT CAST(o_custkey AS STRING) AS account_id, {money('o_totalprice / 10')} AS bill_amount, {ORDER_DAY} + 30 AS next_bill_on
+SELECT CAST(o_custkey AS STRING) AS account_id, {money('o_totalprice / 10')} AS bill_amount, {ORDER_DAY} + 30 AS next_bill_on,
+       {money('o_totalprice * 0.19')} AS interest_owed, {money('o_totalprice * 0.21')} AS principal_owed,
+       CASE WHEN o_orderstatus = 'O' THEN {money('o_totalprice * 0.22')} END AS not_yet_due
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest FROM {{orders}}) b
 WHERE newest = 1""",
     "account_schedule": f"""

@@ -109,22 +109,30 @@ def _(t):
 
 @query(
     "report_statement_totals",
-    with_roles("account_statement", "account_day", "deposit_account")
+    with_roles("account_statement", "account_day", "account_master")
     + _driver_sql()
     + f", {_TODAY}, {_PREV}, "
     + _newest("account_day", "account_id, day", "true", "row_id DESC", "of_day")
     + " "
     + _prefix("790")
     + f""", d.account_id AS account_number, {_implied('y.ledger_balance')} AS beginning_principal_balance, {_implied('p.closing_balance')} AS beginning_total_balance,
-    {_implied('d.principal_balance')} AS ending_principal_balance, {_implied('d.closing_balance')} AS ending_total_balance, {_implied('a.rate', 14, 10)} AS daily_rate_factor,
-    {_implied('d.past_due')} AS amount_past_due, {_implied('d.past_due + d.current_due')} AS total_payment_due, {_implied('d.current_due')} AS total_current_due,
-    {_implied('n.accrued_interest')} AS interest_accrued, {_implied('n.interest_paid')} AS fees_collected, d.starts_on AS statement_start, d.ends_on AS statement_end,
-    CASE WHEN upper(d.post_maturity) = 'YES' THEN '1' ELSE '0' END AS post_maturity_indicator
+    '' AS principal_credit, '' AS total_credit, '' AS principal_debit, '' AS total_debit, '' AS total_debit_and_accrued, {_implied('d.interest_due')} AS current_payment_interest,
+    {_implied('d.principal_balance')} AS ending_principal_balance, {_implied('d.closing_balance')} AS ending_total_balance, '' AS average_daily_principal,
+    {_implied('a.accrual_factor', 14, 10)} AS daily_rate_factor, d.issued_on AS statement_generated_on, {_implied('d.days_in_cycle', 3, 0)} AS days_in_cycle,
+    {_implied('d.past_due')} AS amount_past_due, {_implied('a.apr', 14, 10)} AS annual_rate, d.starts_on AS billing_period_start, {_implied('d.past_due + d.current_due')} AS total_payment_due,
+    {_implied('a.military_apr')} AS military_annual_rate, a.next_due_on AS payment_due_date, {_implied('d.principal_due')} AS current_payment_principal, '' AS current_payment_both,
+    {_implied('d.late_charge_due')} AS total_late_charges_due, {_implied('n.misc_fee')} AS total_miscellaneous_due, '' AS late_charges_assessed_after,
+    {_implied('n.accrued_interest')} AS interest_accrued, {_implied('y.past_due_interest')} AS total_interest_due, {_implied('y.past_due_principal')} AS total_principal_due,
+    '' AS average_daily_for_accruals, d.statement_type, d.starts_on AS statement_start, d.ends_on AS statement_end, {_implied('y.disbursed')} AS total_disbursements,
+    {_implied('d.payments_made')} AS total_payments, {_implied('d.payoff_penalty')} AS current_payoff_penalty, {_implied('d.insurance_collected')} AS insurance_collected,
+    {_implied('d.insurance_due')} AS insurance_due, CASE WHEN upper(d.post_maturity) = 'YES' THEN '1' ELSE '0' END AS post_maturity_indicator,
+    {_implied('n.fee_collected')} AS fees_collected, {_implied('d.late_charge_collected')} AS late_charge_collected, {_implied('d.principal_balance')} AS new_principal_balance,
+    d.principal_as_of AS new_principal_balance_date, {_implied('d.current_due')} AS total_current_due
     FROM d LEFT JOIN of_day y ON d.account_id = y.account_id AND y.day = d.starts_on - 1 LEFT JOIN today n ON d.account_id = n.account_id
-    LEFT JOIN prev p ON d.account_id = p.account_id LEFT JOIN deposit_account a ON d.account_id = a.account_id""",
+    LEFT JOIN prev p ON d.account_id = p.account_id LEFT JOIN account_master a ON d.account_id = a.account_id""",
 )
 def _(t):
-    return statements.totals_record(_driver(t), t.account_statement, t.account_day, t.deposit_account, RUN)
+    return statements.totals_record(_driver(t), t.account_statement, t.account_day, t.account_master, RUN)
 
 
 # --- 711 -----------------------------------------------------------------------------------
@@ -159,16 +167,19 @@ _ADVERSE = "SELECT account_id, 'Open' AS bankruptcy_status FROM {0} WHERE status
 
 @query(
     "report_balance_detail",
-    with_roles("account_statement", "account_day", "deposit_account", "period_balance")
+    with_roles("account_statement", "account_day", "deposit_account", "account_master", "period_balance")
     + _driver_sql()
     + f", {_TODAY}, "
     + _newest("period_balance", "account_id, code", f"batch_date {_IN}", "batch_date DESC, row_id DESC", "bal")
     + f", adverse AS ({_ADVERSE.format('deposit_account')}), detail AS (SELECT 'U' || CAST(o_orderkey AS VARCHAR) AS message_id, CASE WHEN o_orderstatus = 'O' THEN CAST(o_orderdate AS DATE) + 20 END AS grace_time FROM orders) "
     + _prefix("402")
-    + f""", {_implied('a.rate', 14, 10)} AS interest_daily_factor, {_implied('m.amount')} AS minimum_payment, {_implied('v.amount')} AS available_balance,
-    {_implied('j.amount')} AS projected_interest, {_implied('a.first_deposit')} AS current_credit_limit, {_implied('n.accrued_interest')} AS interest_charged,
-    b.bankruptcy_status, g.grace_time, CASE WHEN n.ledger_balance < 0 THEN 'Y' WHEN n.adjustment > 0 THEN 'Y' ELSE 'N' END AS credit_balance_ind
-    FROM d LEFT JOIN today n ON d.account_id = n.account_id LEFT JOIN deposit_account a ON d.account_id = a.account_id LEFT JOIN adverse b ON d.account_id = b.account_id
+    + f""", {_implied('a.accrual_factor', 14, 10)} AS interest_daily_factor, {_implied('m.amount')} AS minimum_payment, '' AS minimum_payment_percentage,
+    {_implied('a.contract_amount')} AS total_note, '' AS fixed_late_charge, {_implied('v.amount')} AS available_balance, '' AS cash_advance_limit, '' AS cash_advance_available,
+    '' AS total_disputed, {_implied('n.past_due')} AS delinquent_amount, b.bankruptcy_status, {_implied('a.credit_limit')} AS current_credit_limit, g.grace_time,
+    {_implied('n.accrued_interest')} AS interest_charged, {_implied('j.amount')} AS projected_interest,
+    CASE WHEN n.ledger_balance < 0 THEN 'Y' WHEN n.adjustment > 0 THEN 'Y' ELSE 'N' END AS credit_balance_ind,
+    '' AS term_out_indicator, '' AS term_out_reason, '' AS interest_charge_paid, '' AS tax_year, '' AS rate_as_of
+    FROM d LEFT JOIN today n ON d.account_id = n.account_id LEFT JOIN account_master a ON d.account_id = a.account_id LEFT JOIN adverse b ON d.account_id = b.account_id
     LEFT JOIN bal m ON d.account_id = m.account_id AND m.code = 'TotalFeeReceivable' LEFT JOIN bal v ON d.account_id = v.account_id AND v.code = 'ForgivenDebt'
     LEFT JOIN bal j ON d.account_id = j.account_id AND j.code = 'ForgivenInterest' LEFT JOIN detail g ON d.message_id = g.message_id""",
 )
@@ -181,13 +192,13 @@ def _(t):
         F.when(F.col("o_orderstatus") == "O", F.date_add(F.col("o_orderdate").cast("date"), 20)).alias("grace_time"),
     )
     return statements.balance_record(
-        _driver(t), t.deposit_account, t.account_day, t.period_balance, adverse, details, RUN, _CODES
+        _driver(t), t.account_master, t.account_day, t.period_balance, adverse, details, RUN, _CODES
     )
 
 
 @query(
     "report_payment_detail",
-    with_roles("account_statement", "account_day", "deposit_account", "period_balance", "account_bill")
+    with_roles("account_statement", "account_day", "deposit_account", "account_master", "period_balance", "account_bill")
     + _driver_sql()
     + f", {_TODAY}, {_PREV}, "
     + _newest("period_balance", "account_id", f"batch_date {_IN} AND code = 'TotalInterestCollected' AND period = 'Yearly'", "batch_date DESC, row_id DESC", "y0")
@@ -195,11 +206,18 @@ def _(t):
     + _newest("period_balance", "account_id", "batch_date = DATE '1997-12-31' AND code = 'TotalInterestCollected' AND period = 'Yearly'", "row_id DESC", "y1")
     + ", rates AS (SELECT account_id, CASE WHEN family = 'Savings' THEN index_name END AS index_code, CASE WHEN family = 'Savings' THEN rate END AS spread FROM deposit_account) "
     + _prefix("401")
-    + f""", d.account_id AS account_number, {_implied('d.current_due')} AS current_principal_due, {_implied('n.ledger_balance')} AS total_principal_due,
-    {_implied('n.accrued_interest + b.bill_amount')} AS total_interest_due, {_implied('b.bill_amount')} AS current_payment_amount, {_implied('a.first_deposit')} AS amount_financed,
-    {_implied('a.rate', 14, 10)} AS annual_rate, r.index_code AS interest_index, {_implied('r.spread', 14, 10)} AS interest_spread, {_implied('y0.amount')} AS interest_paid_ytd,
-    {_implied('y1.amount')} AS interest_paid_prior_year, d.ends_on AS next_auto_debit, p.ends_on AS last_auto_debit, a.branch_id AS relationship_manager
-    FROM d LEFT JOIN deposit_account a ON d.account_id = a.account_id LEFT JOIN today n ON d.account_id = n.account_id LEFT JOIN account_bill b ON d.account_id = b.account_id
+    + f""", {_implied('n.past_due_interest')} AS prior_interest_due, {_implied('d.interest_due')} AS current_interest_due,
+    {_implied('n.past_due_interest + b.interest_owed')} AS total_interest_due, {_implied('n.past_due_principal')} AS prior_principal_due, {_implied('d.principal_due')} AS current_principal_due,
+    {_implied('n.ledger_balance')} AS total_principal_due, {_implied('d.late_charge_due')} AS late_charges_due, {_implied('d.fee_assessed')} AS miscellaneous_due,
+    {_implied('b.not_yet_due')} AS total_billed_not_due, {_implied('n.accrued_interest')} AS accrued_interest, '' AS last_scheduled_payment, d.next_auto_debit AS next_scheduled_payment,
+    a.payment_grace, {_implied('a.contract_amount')} AS amount_financed, {_implied('a.apr', 14, 10)} AS annual_rate, {_implied('d.fee_assessed')} AS total_finance_charge,
+    '' AS original_payments, {_implied('a.schedule_amount')} AS principal_and_interest, {_implied('b.principal_owed')} AS fixed_principal, {_implied('b.bill_amount')} AS current_payment_amount,
+    '' AS estimated_balloon_balance, {_implied('a.accrual_factor')} AS payoff_daily_interest, {_implied('d.payoff_balance')} AS payoff_net_amount,
+    r.index_code AS interest_index, {_implied('r.spread', 14, 10)} AS interest_spread, a.rate_frequency AS interest_change_frequency, '' AS next_interest_change,
+    {_implied('y0.amount')} AS interest_paid_ytd, {_implied('y1.amount')} AS interest_paid_prior_year, '' AS first_payment, d.account_id AS account_number,
+    '' AS signature_card, '' AS online_signature_completed, '' AS paper_signature_returned, d.next_auto_debit, p.next_auto_debit AS last_auto_debit, d.issued_on AS payoff_good_through,
+    '' AS early_payoff_penalty, '' AS last_payment_date, '' AS last_payment_amount, '' AS balloon_amount, '' AS next_repayment_change, '' AS repayment_change_reason, a.manager AS relationship_manager
+    FROM d LEFT JOIN account_master a ON d.account_id = a.account_id LEFT JOIN today n ON d.account_id = n.account_id LEFT JOIN account_bill b ON d.account_id = b.account_id
     LEFT JOIN y0 ON d.account_id = y0.account_id LEFT JOIN y1 ON d.account_id = y1.account_id LEFT JOIN rates r ON d.account_id = r.account_id LEFT JOIN prev p ON d.account_id = p.account_id""",
 )
 def _(t):
@@ -208,7 +226,7 @@ def _(t):
         "account_id", F.when(savings, F.col("index_name")).alias("index_code"), F.when(savings, F.col("rate")).alias("spread")
     )
     return statements.payment_record(
-        _driver(t), t.account_statement, t.deposit_account, t.account_day, t.account_bill, t.period_balance, rates, RUN
+        _driver(t), t.account_statement, t.account_master, t.account_day, t.account_bill, t.period_balance, rates, RUN
     )
 
 

@@ -85,6 +85,11 @@ def prefix(record: str, sort: str | None = None) -> list[Column]:
     ]
 
 
+def blanks(*names: str) -> list[Column]:
+    """Columns that a record has and never fills."""
+    return [F.lit("").alias(n) for n in names]
+
+
 def filter_list(driver: DataFrame) -> DataFrame:
     """Filter values of the run and a marker row, so that the list is never empty."""
     keys = driver.select(F.concat("account_id", F.lit("-"), "label").alias("filter_val"))
@@ -114,9 +119,9 @@ def ytd_record(driver: DataFrame, balances: DataFrame, year: int) -> DataFrame:
     """791: fees and interest, year to date and previous year."""
     names = ["fees_ytd", "interest_ytd", "fees_prev_ytd", "interest_prev_ytd"]
     joined = lookup(driver, yearly_totals(balances, year), ["account_id"], names)
-    blanks = ["over_limit_amount", "resolved_amount", "vat_total", "capitalized_interest"]
+    unused = blanks("over_limit_amount", "resolved_amount", "vat_total", "capitalized_interest")
     return joined.select(
-        *prefix("791"), *[F.lit("").alias(b) for b in blanks], *[implied_decimal(n).alias(n) for n in names]
+        *prefix("791"), *unused, *[implied_decimal(n).alias(n) for n in names]
     ).distinct()
 
 
@@ -132,27 +137,53 @@ def totals_record(
     shifted = F.date_add("day", 1).between(run.start, run.end)
     needed = semi(daily.where(shifted), out.distinct(), {"account_id": "account_id", "day": "_yesterday"})
     of_day = latest_per_key(needed, ["account_id", "day"], [F.col("row_id").desc()])
-    out = lookup(out, of_day, {"account_id": "account_id", "_yesterday": "day"}, {"ledger_balance": "begin_principal"})
-    out = lookup(out, today, ["account_id"], {"accrued_interest": "accrued", "interest_paid": "fees_collected"})
+    before = {"ledger_balance": "begin_principal", "past_due_interest": "interest_owed", "past_due_principal": "principal_owed"}
+    out = lookup(out, of_day, {"account_id": "account_id", "_yesterday": "day"}, {**before, "disbursed": "disbursed"})
+    out = lookup(out, today, ["account_id"], {"accrued_interest": "accrued", "misc_fee": "misc_fee", "fee_collected": "fee_collected"})
     out = lookup(out, previous, ["account_id"], {"closing_balance": "begin_total"})
-    out = lookup(out, accounts, ["account_id"], {"rate": "rate"})
-    total_due = F.col("past_due") + F.col("current_due")
+    out = lookup(out, accounts, ["account_id"], ["accrual_factor", "apr", "military_apr", "next_due_on"])
     return out.select(
         *prefix("790"),
         F.col("account_id").alias("account_number"),
         implied_decimal("begin_principal").alias("beginning_principal_balance"),
         implied_decimal("begin_total").alias("beginning_total_balance"),
+        *blanks("principal_credit", "total_credit", "principal_debit", "total_debit", "total_debit_and_accrued"),
+        implied_decimal("interest_due").alias("current_payment_interest"),
         implied_decimal("principal_balance").alias("ending_principal_balance"),
         implied_decimal("closing_balance").alias("ending_total_balance"),
-        implied_decimal("rate", 14, 10).alias("daily_rate_factor"),
+        *blanks("average_daily_principal"),
+        implied_decimal("accrual_factor", 14, 10).alias("daily_rate_factor"),
+        F.col("issued_on").alias("statement_generated_on"),
+        implied_decimal("days_in_cycle", 3, 0).alias("days_in_cycle"),
         implied_decimal("past_due").alias("amount_past_due"),
-        implied_decimal(total_due).alias("total_payment_due"),
-        implied_decimal("current_due").alias("total_current_due"),
+        implied_decimal("apr", 14, 10).alias("annual_rate"),
+        F.col("starts_on").alias("billing_period_start"),
+        implied_decimal(F.col("past_due") + F.col("current_due")).alias("total_payment_due"),
+        implied_decimal("military_apr").alias("military_annual_rate"),
+        F.col("next_due_on").alias("payment_due_date"),
+        implied_decimal("principal_due").alias("current_payment_principal"),
+        *blanks("current_payment_both"),
+        implied_decimal("late_charge_due").alias("total_late_charges_due"),
+        implied_decimal("misc_fee").alias("total_miscellaneous_due"),
+        *blanks("late_charges_assessed_after"),
         implied_decimal("accrued").alias("interest_accrued"),
-        implied_decimal("fees_collected").alias("fees_collected"),
+        implied_decimal("interest_owed").alias("total_interest_due"),
+        implied_decimal("principal_owed").alias("total_principal_due"),
+        *blanks("average_daily_for_accruals"),
+        "statement_type",
         F.col("starts_on").alias("statement_start"),
         F.col("ends_on").alias("statement_end"),
+        implied_decimal("disbursed").alias("total_disbursements"),
+        implied_decimal("payments_made").alias("total_payments"),
+        implied_decimal("payoff_penalty").alias("current_payoff_penalty"),
+        implied_decimal("insurance_collected").alias("insurance_collected"),
+        implied_decimal("insurance_due").alias("insurance_due"),
         F.when(F.upper("post_maturity") == "YES", "1").otherwise("0").alias("post_maturity_indicator"),
+        implied_decimal("fee_collected").alias("fees_collected"),
+        implied_decimal("late_charge_collected").alias("late_charge_collected"),
+        implied_decimal("principal_balance").alias("new_principal_balance"),
+        F.col("principal_as_of").alias("new_principal_balance_date"),
+        implied_decimal("current_due").alias("total_current_due"),
     ).distinct()
 
 
@@ -194,21 +225,27 @@ def balance_record(
     of_run = balances.where(run.holds("batch_date"))
     cells = pivot_latest(of_run, ["account_id"], "code", "amount", codes, ["batch_date", "row_id"])
     today = run.newest(daily, "day", ["account_id"], [F.col("row_id").desc()])
-    out = lookup(driver, today, ["account_id"], {"ledger_balance": "principal", "accrued_interest": "accrued", "adjustment": "adjustment"})
-    out = lookup(out, accounts, ["account_id"], {"rate": "rate", "first_deposit": "credit_limit"})
+    of_day = {"ledger_balance": "principal", "accrued_interest": "accrued", "adjustment": "adjustment", "past_due": "delinquent"}
+    out = lookup(driver, today, ["account_id"], of_day)
+    out = lookup(out, accounts, ["account_id"], ["accrual_factor", "contract_amount", "credit_limit"])
     out = lookup(out, bankruptcies, ["account_id"], ["bankruptcy_status"])
     out = lookup(out, cells, ["account_id"], list(codes.values()))
     out = lookup(out, details, ["message_id"], ["grace_time"])
     credit = (F.col("principal") < 0) | (F.col("adjustment") > 0)
     return out.select(
         *prefix("402"),
-        implied_decimal("rate", 14, 10).alias("interest_daily_factor"),
+        implied_decimal("accrual_factor", 14, 10).alias("interest_daily_factor"),
         *[implied_decimal(c).alias(c) for c in codes.values()],
-        implied_decimal("credit_limit").alias("current_credit_limit"),
-        implied_decimal("accrued").alias("interest_charged"),
+        *blanks("minimum_payment_percentage"),
+        implied_decimal("contract_amount").alias("total_note"),
+        *blanks("fixed_late_charge", "cash_advance_limit", "cash_advance_available", "total_disputed"),
+        implied_decimal("delinquent").alias("delinquent_amount"),
         "bankruptcy_status",
+        implied_decimal("credit_limit").alias("current_credit_limit"),
         "grace_time",
+        implied_decimal("accrued").alias("interest_charged"),
         F.when(F.coalesce(credit, F.lit(False)), "Y").otherwise("N").alias("credit_balance_ind"),
+        *blanks("term_out_indicator", "term_out_reason", "interest_charge_paid", "tax_year", "rate_as_of"),
     ).distinct()
 
 
@@ -231,28 +268,54 @@ def payment_record(
     detailed = (F.col("statement_type") == DETAIL_TYPE) & F.col("product").like(DETAIL_PRODUCT)
     previous = run.before(statements.where(detailed), "starts_on", ["account_id"], [F.col("message_id").desc()])
     today = run.newest(daily, "day", ["account_id"], [F.col("row_id").desc()])
-    out = lookup(driver, accounts, ["account_id"], {"rate": "rate", "first_deposit": "financed", "branch_id": "manager"})
-    out = lookup(out, today, ["account_id"], {"ledger_balance": "principal", "accrued_interest": "accrued"})
-    out = lookup(out, bills, ["account_id"], {"bill_amount": "billed"})
+    master = ["payment_grace", "contract_amount", "apr", "schedule_amount", "accrual_factor", "rate_frequency", "manager"]
+    of_day = {"ledger_balance": "principal", "accrued_interest": "accrued"}
+    out = lookup(driver, accounts, ["account_id"], master)
+    out = lookup(out, today, ["account_id"], {**of_day, **{c: c for c in ("past_due_interest", "past_due_principal")}})
+    out = lookup(out, bills, ["account_id"], ["bill_amount", "interest_owed", "principal_owed", "not_yet_due"])
     out = lookup(out, this_year, ["account_id"], {"amount": "paid"})
     out = lookup(out, last_year, ["account_id"], {"amount": "paid_before"})
     out = lookup(out, rates, ["account_id"], ["index_code", "spread"])
-    out = lookup(out, previous, ["account_id"], {"ends_on": "last_auto_debit"})
+    out = lookup(out, previous, ["account_id"], {"next_auto_debit": "last_auto_debit"})
     return out.select(
         *prefix("401"),
-        F.col("account_id").alias("account_number"),
-        implied_decimal("current_due").alias("current_principal_due"),
+        implied_decimal("past_due_interest").alias("prior_interest_due"),
+        implied_decimal("interest_due").alias("current_interest_due"),
+        implied_decimal(F.col("past_due_interest") + F.col("interest_owed")).alias("total_interest_due"),
+        implied_decimal("past_due_principal").alias("prior_principal_due"),
+        implied_decimal("principal_due").alias("current_principal_due"),
         implied_decimal("principal").alias("total_principal_due"),
-        implied_decimal(F.col("accrued") + F.col("billed")).alias("total_interest_due"),
-        implied_decimal("billed").alias("current_payment_amount"),
-        implied_decimal("financed").alias("amount_financed"),
-        implied_decimal("rate", 14, 10).alias("annual_rate"),
+        implied_decimal("late_charge_due").alias("late_charges_due"),
+        implied_decimal("fee_assessed").alias("miscellaneous_due"),
+        implied_decimal("not_yet_due").alias("total_billed_not_due"),
+        implied_decimal("accrued").alias("accrued_interest"),
+        *blanks("last_scheduled_payment"),
+        F.col("next_auto_debit").alias("next_scheduled_payment"),
+        "payment_grace",
+        implied_decimal("contract_amount").alias("amount_financed"),
+        implied_decimal("apr", 14, 10).alias("annual_rate"),
+        implied_decimal("fee_assessed").alias("total_finance_charge"),
+        *blanks("original_payments"),
+        implied_decimal("schedule_amount").alias("principal_and_interest"),
+        implied_decimal("principal_owed").alias("fixed_principal"),
+        implied_decimal("bill_amount").alias("current_payment_amount"),
+        *blanks("estimated_balloon_balance"),
+        implied_decimal("accrual_factor").alias("payoff_daily_interest"),
+        implied_decimal("payoff_balance").alias("payoff_net_amount"),
         F.col("index_code").alias("interest_index"),
         implied_decimal("spread", 14, 10).alias("interest_spread"),
+        F.col("rate_frequency").alias("interest_change_frequency"),
+        *blanks("next_interest_change"),
         implied_decimal("paid").alias("interest_paid_ytd"),
         implied_decimal("paid_before").alias("interest_paid_prior_year"),
-        F.col("ends_on").alias("next_auto_debit"),
+        *blanks("first_payment"),
+        F.col("account_id").alias("account_number"),
+        *blanks("signature_card", "online_signature_completed", "paper_signature_returned"),
+        "next_auto_debit",
         "last_auto_debit",
+        F.col("issued_on").alias("payoff_good_through"),
+        *blanks("early_payoff_penalty", "last_payment_date", "last_payment_amount", "balloon_amount"),
+        *blanks("next_repayment_change", "repayment_change_reason"),
         F.col("manager").alias("relationship_manager"),
     ).distinct()
 
