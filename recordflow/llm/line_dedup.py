@@ -33,25 +33,31 @@ _ITEM = "array<struct<h: bigint, s: int, e: int, within: int>>"
 
 
 def _parsed(docs: DataFrame) -> DataFrame:
-    """``row``, the document's key ``k``, its ``lines``, and of those with words the number, hash and window hash."""
+    """``row``, the document's key ``k``, its ``lines``, and ``full``: number and words of those that have words."""
     a = docs.select(
         F.struct("*").alias("row"),
         F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")).alias("k"),
         F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"),
     )
-    b = a.select("*", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("w"))
-    c = b.select("*", F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.get("w", i - 1) > 0).alias("full"))
-    d = c.select("*", F.transform("full", lambda i: F.xxhash64(F.get("lines", i - 1))).alias("hashes"))
+    # Words are counted inside the list that keeps them: a column of counts, looked up line by line, would be
+    # put into the look-up by the optimizer and counted again for every line.
+    counted = F.transform("lines", lambda x, i: F.struct((i + 1).alias("i"), F.regexp_count(x, F.lit(WORD)).alias("w")))
+    return a.select("*", F.filter(counted, lambda x: x["w"] > 0).alias("full"))
+
+
+def _hashed(parsed: DataFrame) -> DataFrame:
+    """With the hashes of the lines with words, and of each two neighbours (null after the last)."""
+    a = parsed.select("*", F.transform("full", lambda x: F.xxhash64(F.get("lines", x["i"] - 1))).alias("hashes"))
     nexts = F.slice("hashes", 2, F.greatest(F.size("hashes") - 1, F.lit(0)))
-    return d.select("*", F.zip_with("hashes", nexts, lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y))).alias("roll"))
+    return a.select("*", F.zip_with("hashes", nexts, lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y))).alias("roll"))
 
 
-def _with_items(parsed: DataFrame) -> DataFrame:
+def _with_items(docs: DataFrame) -> DataFrame:
     """Everything to look up, as (h, s, e, within): numbers are those of lines with words, from 0.
 
     Of each chunk: itself, if it has several lines; the windows inside it; the one over its end; its long lines.
     """
-    n = F.size("hashes")
+    parsed, n = _hashed(_parsed(docs)), F.size("hashes")
     none, no_items = F.array().cast("array<int>"), F.array().cast(_ITEM)
     every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
     ends = F.filter(every, lambda i: (i == n - 1) | (F.pmod(F.get("roll", i), F.lit(SPAN)) == 0))
@@ -69,7 +75,7 @@ def _with_items(parsed: DataFrame) -> DataFrame:
         whole = F.xxhash64(F.slice("hashes", s + 1, e - s + 1), F.lit(SPAN))
         inside = F.transform(F.slice(lines, F.lit(1), e - s), lambda i: item(F.get("roll", i), i, i + 1, s))
         long = F.transform(
-            F.filter(lines, lambda i: F.get("w", F.get("full", i) - 1) >= LONG_LINE),
+            F.filter(lines, lambda i: F.get("full", i)["w"] >= LONG_LINE),
             lambda i: item(F.xxhash64(F.get("hashes", i), F.lit(LONG_LINE)), i, i, s),
         )
         return F.concat(
@@ -85,7 +91,7 @@ def _with_items(parsed: DataFrame) -> DataFrame:
 def _text(item: Column) -> Column:
     """The lines with words of an item."""
     return F.array_join(
-        F.transform(F.slice("full", item["s"] + 1, item["e"] - item["s"] + 1), lambda i: F.get("lines", i - 1)), "\n"
+        F.transform(F.slice("full", item["s"] + 1, item["e"] - item["s"] + 1), lambda x: F.get("lines", x["i"] - 1)), "\n"
     )
 
 
@@ -126,7 +132,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     document are not two places. Every line that is removed still stands before, in its document or in one that
     sorts before.
     """
-    parts = _with_items(_parsed(docs))
+    parts = _with_items(docs)
     # Not the inner form of explode: its filter on the size would be pushed below and repeat all of the above.
     each = parts.select("k", F.explode_outer("items").alias("x")).where("x is not null").select("k", "x.*")
     each = staged(each, "places")
@@ -153,7 +159,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     def gone(r: Column) -> Column:
         """The lines of an item, with the blank ones between them."""
-        span = F.sequence(F.get("full", r["s"]), F.get("full", r["e"]))
+        span = F.sequence(F.get("full", r["s"])["i"], F.get("full", r["e"])["i"])
         return F.when(_text(r) == r["text"], span).otherwise(none)
 
     out = joined.withColumn("removed", F.flatten(F.transform("repeats", gone)))
