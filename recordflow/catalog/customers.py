@@ -172,6 +172,40 @@ def _(t):
     return events.read_events(t.spark, out).drop("payload")
 
 
+def _damaged(t: Inputs) -> DataFrame:
+    """Encoded events, every tenth of which is no envelope at all and every tenth cut short."""
+    rows = encoded(t)
+    text = F.concat(F.lit("junk-"), F.col("event_id").cast("string")).cast("binary")
+    ones = F.col("event_id") % 10
+    broken = F.when(ones == 3, text).when(ones == 4, F.substring("value", 1, 9)).otherwise(F.col("value"))
+    return rows.select("event_id", broken.alias("value"))
+
+
+@query(
+    "rejected_events",
+    """SELECT event_id, CASE event_id % 10 WHEN 3 THEN 'junk-' || event_id ELSE '{"header"' END AS raw FROM events WHERE event_id % 10 IN (3, 4)""",
+)
+def _(t):
+    """Envelopes that cannot be read, with their bytes."""
+    return events.rejected(_damaged(t)).select("event_id", F.col("value").cast("string").alias("raw"))
+
+
+@query(
+    "reject_counts",
+    """SELECT count(*) AS sent, count(*) FILTER (WHERE event_id % 10 NOT IN (3, 4)) AS loaded,
+    count(*) FILTER (WHERE event_id % 10 IN (3, 4)) AS rejected, CAST(0 AS BIGINT) AS missing FROM events""",
+)
+def _(t):
+    """A stream with unreadable envelopes: readable ones to the event table, the others to a table of rejects."""
+    raw, out, bad, cp1, cp2 = (scratch_path(t.spark, n) for n in ("raw", "events", "rejects", "cp1", "cp2"))
+    _damaged(t).select("value").write.parquet(raw)
+    ingest.drain(ingest.write_event_stream(ingest.ingest_stream(ingest.read_event_stream(t.spark, raw)), out, cp1))
+    rejects = ingest.reject_stream(ingest.read_event_stream(t.spark, raw))
+    ingest.drain(ingest.write_event_stream(rejects, bad, cp2, parts=()))
+    loaded = events.read_events(t.spark, out)
+    return reconcile.account_for(t.spark.read.parquet(raw), loaded, t.spark.read.schema("value binary").parquet(bad))
+
+
 @query(
     "scan_snapshot",
     with_roles("party_rows")
@@ -295,6 +329,29 @@ def _(t):
     return item_text(snapshot.current_snapshot(base, earlier(1 << 40), tie=("batch",)))
 
 
+_WITH_OTHER = _ITEMS.replace(
+    "FROM event_rows WHERE event_type <> 'OTHER')",
+    "FROM event_rows WHERE event_type <> 'OTHER' UNION ALL SELECT customer_id, 'ADDRESS', 'MAIL', event_timestamp, event_id, "
+    "concat_ws('/', 'MAIL', 'At ' || CAST(CAST(event_timestamp AS BIGINT) AS VARCHAR), 'Newtown', '0', 'XX') FROM event_rows WHERE event_type = 'OTHER')",
+)
+
+
+@query("merge_new_handler", _WITH_OTHER + " SELECT * FROM merged")
+def _(t):
+    """A fourth event type, registered by its handler: it replaces the customer's mailing address."""
+    mail = {
+        "type": F.lit("MAIL"),
+        "street": F.concat(F.lit("At "), F.col("event_timestamp").cast("string")),
+        "city": F.lit("Newtown"),
+        "postal_code": F.lit("0"),
+        "country": F.lit("XX"),
+    }
+    made = F.struct(*[mail[f].alias(f) for f in schemas.ADDRESS.fieldNames()])
+    rows = decoded(t).withColumn("address", F.when(F.col("event_type") == "OTHER", made).otherwise(F.col("address")))
+    handlers = merge.default_handlers() | {"OTHER": merge.Handler("address", "address", F.col("address.type"))}
+    return item_text(merge.merge_customers(base_snapshot(t), rows, RUN_DATE, handlers), "was_modified")
+
+
 _CHAIN = """, chain AS (SELECT *, lag(item) OVER (PARTITION BY customer_id, kind, item_type ORDER BY event_timestamp, event_id) AS old FROM all_items)"""
 
 

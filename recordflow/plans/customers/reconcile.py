@@ -19,6 +19,15 @@ def reconcile(source: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> Data
     return joined.withColumns(have).withColumn("delta", F.col("expected") - F.col("loaded"))
 
 
+def account_for(sent: DataFrame, loaded: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row: how many records were sent, loaded and rejected, and how many are unaccounted for."""
+    counts = {"sent": sent, "loaded": loaded, "rejected": rejects}
+    tagged = [df.select(F.lit(name).alias("what")) for name, df in counts.items()]
+    rows = tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
+    out = rows.agg(*[F.count_if(F.col("what") == name).alias(name) for name in counts])
+    return out.withColumn("missing", F.col("sent") - F.col("loaded") - F.col("rejected"))
+
+
 def topic_offsets(records: DataFrame) -> DataFrame:
     """Next offset and number of records per partition of a topic-shaped table."""
     return records.groupBy("partition").agg(

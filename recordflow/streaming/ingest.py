@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from recordflow.plans.customers.merge import KEYS, event_items, merge_items, newest_items
-from recordflow.sources.events import EVENT_PARTITIONS, decode_payload, flatten_envelope
+from recordflow.sources.events import EVENT_PARTITIONS, decode_payload, readable, rejected
 from recordflow.streaming.store import BUCKET, BucketStore, touched_buckets
 
 RAW = T.StructType([T.StructField("value", T.BinaryType())])
@@ -30,8 +30,13 @@ def read_event_stream(
 
 
 def ingest_stream(raw: DataFrame, value: str = "value", codec: str = "json") -> DataFrame:
-    """Decode and flatten; a map over rows, so it holds no state."""
-    return flatten_envelope(raw, value, codec)
+    """Decode and flatten what can be read; a map over rows, so it holds no state."""
+    return readable(raw, value, codec)
+
+
+def reject_stream(raw: DataFrame, value: str = "value", codec: str = "json") -> DataFrame:
+    """The raw rows that ``ingest_stream`` leaves out, for an output of their own."""
+    return rejected(raw, value, codec)
 
 
 def write_event_stream(

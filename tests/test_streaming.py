@@ -123,6 +123,16 @@ def test_unreadable_values_become_null_rows(spark):
     assert [bytes(r.value) for r in events.rejected(df).collect()] == [b"junk"]
 
 
+def test_readable_and_rejected_are_all_rows(spark, inputs):
+    good = c.encoded(inputs).select("value").limit(5)
+    bad = spark.createDataFrame([(bytearray(b"junk"),), (bytearray(b""),), (None,)], "value binary")
+    both = good.unionAll(bad)
+    assert events.readable(both).count() == 5 and events.rejected(both).count() == 3
+    assert events.readable(bad).count() == 0
+    flat = events.flatten_envelope(good)
+    assert sorted(map(str, events.readable(good).collect())) == sorted(map(str, flat.collect()))
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         ingest.read_event_stream(spark, {"kafka.bootstrap.servers": "none", "subscribe": "t"})
