@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordflow.catalog.registry import query
-from recordflow.catalog.roles import with_roles
+from recordflow.catalog.roles import ROLES, duck_dialect, with_roles
 from recordflow.plans.reports import masters
 from recordflow.session import scratch_path
 from recordflow.sources import tables
@@ -100,7 +100,17 @@ def _driver(t):
     return masters.statement_driver(t.statement_detail, orphans, _accounts(t), RUN_DATE)
 
 
-_BASE = (
+def _base_sql(role: str, cells: dict[tuple[str, str], str], averages: list[str]) -> str:
+    averaged = ", ".join(f"'{c}'" for c in averages)
+    return _BASE_PARTS[0].replace("deposit_balance", role).replace("b.code = 'FATCATaxPaid'", f"b.code IN ({averaged})") + (
+        ", ".join(f"max(v) FILTER (WHERE win = '{w}' AND code = '{c}') AS {n}" for (w, c), n in cells.items())
+        + " FROM one WHERE "
+        + " OR ".join(f"(win = '{w}' AND code = '{c}')" for w, c in cells)
+        + _BASE_PARTS[1]
+    ).replace("deposit_balance", role)
+
+
+_BASE_PARTS = (
     with_roles("statement_detail", "deposit_account", "deposit_balance", "deposit_daily", "relation", "preference", "customer_master")
     + _ORPHANS
     + """, acc AS (SELECT *, CASE WHEN family = 'TimeDeposit' THEN 'P' || branch_id ELSE '' END AS plan_id FROM deposit_account),
@@ -122,11 +132,8 @@ _BASE = (
       WHEN b.period = 'Yearly' AND b.valid_to = w.prior_year_end AND b.batch_date <= w.period_end THEN 'prior_year' END AS win
     FROM bal b JOIN win w ON b.account_id = w.related_id),
   one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id, receiver_id, related_id, code, win ORDER BY batch_date DESC, row_id DESC) AS rn FROM lab WHERE win IS NOT NULL) WHERE rn = 1),
-  wide AS (SELECT account_id, receiver_id, related_id, """
-    + ", ".join(f"max(v) FILTER (WHERE win = '{w}' AND code = '{c}') AS {n}" for (w, c), n in CELLS.items())
-    + """ FROM one WHERE """
-    + " OR ".join(f"(win = '{w}' AND code = '{c}')" for w, c in CELLS)
-    + """ GROUP BY 1, 2, 3),
+  wide AS (SELECT account_id, receiver_id, related_id, """,
+    """ GROUP BY 1, 2, 3),
   rel AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id, relation_code, relation_type, related_id ORDER BY day DESC, action) AS rn FROM relation
     WHERE day <= DATE '1998-12-31' AND account_id IN (SELECT account_id FROM drv)) WHERE rn = 1 AND action <> 'Delete'),
   cust AS (SELECT r.account_id, r.related_id, r.relation_type, r.relation_code,
@@ -140,8 +147,9 @@ _BASE = (
     WHERE (attr_type = 'CalType' AND attr_value IN ('Flat', 'Tier')) OR (attr_type = 'BlendedAPY' AND attr_value = 'True') OR attr_type IN ('Curr', 'APY', 'CheckImageDisposition')) WHERE rn = 1),
   att AS (SELECT account_id, max(attr_value) FILTER (WHERE attr_type = 'CalType') AS cal_type, max(attr_value) FILTER (WHERE attr_type = 'BlendedAPY') AS blended_apy,
     max(attr_value) FILTER (WHERE attr_type = 'Curr') AS curr, max(attr_value) FILTER (WHERE attr_type = 'APY') AS apy, max(attr_value) FILTER (WHERE attr_type = 'CheckImageDisposition') AS check_images FROM att1 GROUP BY 1),
-  dly AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id, day ORDER BY row_id DESC) AS rn FROM deposit_daily) WHERE rn = 1)"""
+  dly AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id, day ORDER BY row_id DESC) AS rn FROM deposit_daily) WHERE rn = 1)""",
 )
+_BASE = _base_sql("deposit_balance", CELLS, AVERAGES)
 
 
 @query("report_statement_driver", _BASE + " SELECT * FROM drv")
@@ -154,6 +162,21 @@ def _(t):
     return masters.balances_by_window(_driver(t), _balances(t), CELLS, AVERAGES)
 
 
+def _with_codes_sql() -> str:
+    """The same over a role that has all balance codes, in the place of ``deposit_balance``."""
+    sql = _base_sql("deposit_balance", masters.STATEMENT_CELLS, masters.AVERAGE_CODES)
+    return sql.replace(duck_dialect(ROLES["deposit_balance"]), duck_dialect(ROLES["master_balance"]))
+
+
+@query("report_balances_default_cells", _with_codes_sql() + " SELECT * FROM wide")
+def _(t):
+    """All default cells of the master record."""
+    period = F.when(F.col("period") == "LifeToDate", "Statement").otherwise(F.col("period"))
+    doubled = (F.col("amount") * 2).cast("decimal(26,4)")
+    balances = t.master_balance.withColumns({"period": period, "average_amount": doubled})
+    return masters.balances_by_window(_driver(t), balances)
+
+
 @query(
     "report_statement_master",
     _BASE

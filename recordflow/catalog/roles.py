@@ -7,6 +7,8 @@ these definitions; the operators under test come after.
 
 from __future__ import annotations
 
+from recordflow.plans.reports.masters import STATEMENT_CELLS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -76,6 +78,8 @@ FROM {ORDERS}"""
 
 P1, P2, P3, P4, P5 = "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"
 
+MASTER_CODES = sorted({code for _, code in STATEMENT_CELLS})
+
 ROLES: dict[str, str] = {
     # --- customer records -----------------------------------------------------------------
     "event_rows": f"""
@@ -207,6 +211,11 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     "deposit_balance": period_balances(
         {P1: "InterestPaidBalance", P2: "EarlyWithdrawalPenaltyCharged", P3: "FATCATaxPaid", P4: "FederalTaxPaid", P5: "DistributionFederalTax"}
     ),
+    # Every code of the master record in turn, by the number of the order.
+    "master_balance": period_balances({}).replace(
+        "CASE o_orderpriority  ELSE NULL END AS code",
+        case(f"CAST(CAST(o_orderkey AS BIGINT) % {len(MASTER_CODES)} AS STRING)", {str(i): c for i, c in enumerate(MASTER_CODES)}) + " AS code",
+    ),
     "incentive_balance": period_balances(
         {
             P1: "CustIncentiveMiscPaymentBal",

@@ -1,5 +1,8 @@
 """Plan rules that must hold for every registered query."""
 
+import re
+from collections import Counter
+
 import pytest
 from conftest import SF_DIR
 
@@ -9,7 +12,7 @@ from recordflow.catalog.statements import RUN
 from recordflow.functions.text import implied_decimal
 from recordflow.operators.joins import lookup
 from recordflow.operators.latest import latest_per_key
-from recordflow.plans.reports import statements
+from recordflow.plans.reports import loans, statements
 from pyspark.sql import functions as F
 
 QUERIES = all_queries()
@@ -60,3 +63,22 @@ def test_ytd_record_scans_balances_once(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(QUERIES["filter_between"](spark, SF_DIR))
     assert "PushedFilters: [IsNotNull" in text and "o_orderpriority" not in text
+
+
+def scans(df):
+    """How often each table is read."""
+    return Counter(re.findall(r"/(\w+)\.parquet", plan(df)))
+
+
+def test_daily_controls_read_each_source_once(spark):
+    df = QUERIES["report_daily_controls"](spark, SF_DIR)
+    read = scans(df)
+    # accounts: customer; balances, postings and entries: orders; postings and entries: lineitem
+    assert read["lineitem"] == 2 and read["orders"] == 3 and sum(read.values()) <= 10
+    assert plan(df).count("Exchange hashpartitioning") <= 4
+
+
+def test_forgiven_debt_reads_balances_once(spark):
+    inputs = Inputs(spark, SF_DIR)
+    df = loans.forgiven_debt(inputs.deposit_account, inputs.period_balance, inputs.customer_master, 1998)
+    assert scans(df)["orders"] == 1
