@@ -1,16 +1,21 @@
-"""I-Match fingerprints over randomised lexicon subsets.
-
-A term is a hashed, lower-cased word. The lexicon keeps the terms whose document frequency lies in a
-band; it is counted over all documents in a sketch of fixed size, so its share of the terms does not
-change with the corpus. The lexicon is dealt at random to 2**level subsets, and a document's distinct
-terms in a subset, sorted, make one hash. A fingerprint holds the hashes of the first 64 subsets at the
-level that suits the document's number of terms, where a subset has about one of them, and at the
-levels next to it, so that documents of different sizes can be compared.
+"""I-Match fingerprints over a lexicon and randomised subsets of it.
+
+A term is a hashed, lower-cased word. The lexicon keeps the terms whose document frequency lies in a band; the
+frequencies are counted over all documents, in a sketch of fixed size. A text keeps its distinct terms of the
+lexicon. Where those are less than half of its terms, which is so for texts of words that are everywhere or
+nowhere else, the rarer half of the others is added. The kept terms, sorted, are hashed
+
+* once as a whole,
+* in eight broad random subsets, each without a quarter of all terms, and
+* in narrow random subsets, where a text has about one term each, at three levels that suit its number of terms.
+
+The first two see every kept term and say that texts are equal or almost so; a few changed terms spare some of the
+broad subsets. The narrow ones, the first of 2**level subsets, tell how much texts have in common when broad
+ones all differ.
 """
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -28,7 +33,13 @@ CELLS = 1 << 20
 _BLOCK = 1 << 14
 #: The lexicon: terms in at least two documents and this share of all, and at most that share.
 BAND = (1e-5, 0.05)
-SUBSETS = 64
+#: A text with a smaller share of its distinct terms in the lexicon adds this share of the others.
+LEAST_SHARE = 0.5
+#: Broad subsets, and the eighths of all terms that each has.
+BROAD = 8
+BROAD_EIGHTHS = 6
+#: Narrow subsets of each level.
+SUBSETS = 48
 LEVELS = (-1, 0, 1)
 MOST_LEVEL = 40
 _CHUNK = 2 << 20
@@ -42,52 +53,94 @@ def distinct_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return pairs // CELLS, pairs % CELLS
 
 
-def fingerprints(data: np.ndarray, offsets: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Level and subset hashes (texts x levels x subsets, 16 bits, 0 for an empty subset) of each text.
+def kept_terms(doc: np.ndarray, cell: np.ndarray, n: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that fingerprints are made of, of terms (doc, cell).
 
-    A text without lexicon terms is described by all its terms, one without words by none.
+    ``rarity`` has 0 for the cells of the lexicon and, for others, their place by document frequency. Terms
+    beyond the lexicon are taken by that place, equal ones by the hash of the cell.
     """
+    order = np.lexsort((mix(cell.astype(np.uint64)), rarity[cell], doc))
+    doc, cell = doc[order], cell[order]
+    size = np.bincount(doc, minlength=n)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    own = np.bincount(doc, rarity[cell] == 0, minlength=n).astype(np.int64)
+    more = np.where(own < LEAST_SHARE * size, np.ceil(LEAST_SHARE * (size - own)).astype(np.int64), 0)
+    keep = place < (own + more)[doc]
+    return doc[keep], cell[keep]
+
+
+class Prints:
+    """Fingerprints of texts: the level, the hash of all terms, those of broad subsets and of narrow ones."""
+
+    def __init__(self, level: np.ndarray, whole: np.ndarray, broad: np.ndarray, narrow: np.ndarray):
+        self.level, self.whole, self.broad, self.narrow = level, whole, broad, narrow
+
+    def packed(self, i: int) -> bytes:
+        return b"".join(
+            [
+                bytes([int(self.level[i])]),
+                self.whole[i : i + 1].astype(">u8").tobytes(),
+                self.broad[i].astype(">u4").tobytes(),
+                self.narrow[i].astype(">u2").tobytes(),
+            ]
+        )
+
+    def likeness(self, i: int, j: int) -> float:
+        """1 for equal kept terms; else the larger of two shares of equal subsets.
+
+        The share of equal broad subsets counts for texts that differ in few terms, that of narrow ones, of those
+        that either text has terms in, at a level that both have, for others. Texts without terms are like each other
+        alone.
+        """
+        if self.whole[i] == self.whole[j]:
+            return 1.0
+        if not self.whole[i] or not self.whole[j]:
+            return 0.0
+        broad = float((self.broad[i] == self.broad[j]).mean())
+        return max(broad, self._narrow_share(i, j))
+
+    def _narrow_share(self, i: int, j: int) -> float:
+        a, b = int(self.level[i]), int(self.level[j])
+        own_a = {a + s: n for n, s in enumerate(LEVELS)}
+        own_b = {b + s: n for n, s in enumerate(LEVELS)}
+        shared = [x for x in own_a if x in own_b and x >= 0]
+        if not shared:
+            return 0.0
+        # The level nearest to both, the finer one of two.
+        best = min(shared, key=lambda x: (abs(x - a) + abs(x - b), -x))
+        x, y = self.narrow[i, own_a[best]], self.narrow[j, own_b[best]]
+        some = (x > 0) | (y > 0)
+        return float((x[some] == y[some]).sum() / some.sum()) if some.any() else 0.0
+
+
+def _sums(doc: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of sets of terms: the mixed sum of the terms' hashes, whatever their order; 0 for none."""
+    out = np.zeros(n, np.uint64)
+    np.add.at(out, doc, value)
+    return np.where(np.bincount(doc, minlength=n) > 0, np.maximum(mix(out), np.uint64(1)), np.uint64(0))
+
+
+def fingerprints(data: np.ndarray, offsets: np.ndarray, rarity: np.ndarray) -> Prints:
+    """Fingerprints of texts; one without words has no terms and zeros throughout."""
     n = len(offsets) - 1
-    doc, cell = distinct_terms(data, offsets)
-    known = lexicon[cell]
-    has = np.bincount(doc[known], minlength=n) > 0
-    use = known | ~has[doc]
-    doc, cell = doc[use], cell[use].astype(np.uint64)
+    doc, cell = kept_terms(*distinct_terms(data, offsets), n, rarity)
+    cell = cell.astype(np.uint64)
     level = np.ceil(np.log2(np.maximum(1, np.bincount(doc, minlength=n)))).astype(np.int64)
     spot, value = mix(cell + np.uint64(0x51ED270B)), mix(cell * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
-    out = np.zeros((n, len(LEVELS), SUBSETS), np.uint16)
+    broad = np.zeros((n, BROAD), np.uint32)
+    for k in range(BROAD):
+        # Three bits of the term's place for each broad subset.
+        has = (spot >> np.uint64(3 * k)) & np.uint64(7) < np.uint64(BROAD_EIGHTHS)
+        broad[:, k] = (_sums(doc[has], value[has], n) >> np.uint64(32)).astype(np.uint32)
+    narrow = np.zeros((n, len(LEVELS), SUBSETS), np.uint16)
     for i, step in enumerate(LEVELS):
         bits = np.clip(level + step, 0, MOST_LEVEL)[doc].astype(np.uint64)
         subset = np.where(bits > 0, spot >> (np.uint64(64) - np.maximum(bits, np.uint64(1))), np.uint64(0))
         first = subset < SUBSETS
-        sums = np.zeros(n * SUBSETS, np.uint64)
-        np.add.at(sums, doc[first] * SUBSETS + subset[first].astype(np.int64), value[first])
-        short = (mix(sums) >> np.uint64(48)).astype(np.uint16)
-        out[:, i, :] = np.where(sums > 0, np.maximum(short, 1), 0).reshape(n, SUBSETS)
-    return level, out
-
-
-def as_text(level: int, hashes: np.ndarray) -> str:
-    return f"{level:02d}:" + base64.b64encode(hashes.astype(">u2").tobytes()).decode()
-
-
-def likeness(level_a: int, a: np.ndarray, level_b: int, b: np.ndarray) -> float:
-    """Equal subset hashes among the subsets that either text has terms in, at a level of both.
-
-    1 for equal fingerprints, 0 for texts whose numbers of terms have no level in common.
-    """
-    if level_a == level_b and (a == b).all():
-        return 1.0
-    own_a = {level_a + s: i for i, s in enumerate(LEVELS)}
-    own_b = {level_b + s: i for i, s in enumerate(LEVELS)}
-    shared = [x for x in own_a if x in own_b and x >= 0]
-    if not shared:
-        return 0.0
-    # The level nearest to both, the finer one of two.
-    best = min(shared, key=lambda x: (abs(x - level_a) + abs(x - level_b), -x))
-    x, y = a[own_a[best]], b[own_b[best]]
-    some = (x > 0) | (y > 0)
-    return float((x[some] == y[some]).sum() / some.sum()) if some.any() else 0.0
+        sums = _sums(doc[first] * SUBSETS + subset[first].astype(np.int64), value[first], n * SUBSETS)
+        short = (sums >> np.uint64(48)).astype(np.uint16)
+        narrow[:, i, :] = np.where(sums > 0, np.maximum(short, 1), 0).reshape(n, SUBSETS)
+    return Prints(level, _sums(doc, value, n), broad, narrow)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,53 +181,60 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
-    """Which of the cells belong to the lexicon, from the frequencies in all documents."""
+    """For each cell 0 if it belongs to the lexicon, else how common it is among the others, from all documents."""
     kinds = "block int, blob binary, docs long"
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     cells, n = np.zeros(CELLS, np.int64), 0
     for row in texts.mapInArrow(_count, kinds).repartition("block").mapInArrow(_add, kinds).toLocalIterator():
         cells[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["blob"], np.int64)
         n += row["docs"]
-    return (cells >= max(2, band[0] * n)) & (cells <= max(2, band[1] * n))
+    known = (cells >= max(2, band[0] * n)) & (cells <= max(2, band[1] * n))
+    # Eighths of a power of two of the frequency: 1 for a single document.
+    common = 1 + np.round(8 * np.log2(np.maximum(cells, 1))).astype(np.int64)
+    return np.where(known, 0, np.minimum(common, 255)).astype(np.uint8)
 
 
 _OUT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
 
-def _compare(ids: list, texts: list[str], following: list[str], lexicon: np.ndarray) -> dict[str, list]:
+def _compare(ids: list, texts: list[str], following: list[str], rarity: np.ndarray) -> dict[str, list]:
     """The result rows of texts with the text that follows each."""
     edited = []
     for text, nxt in zip(texts, following):
         k = len(text) // 3
         edited.append(text[: len(text) - k] + nxt[:k])
     n = len(texts)
-    level, prints = fingerprints(*text_bytes(pa.array(texts + edited + following[-1:], pa.string())), lexicon)
+    prints = fingerprints(*text_bytes(pa.array(texts + edited + following[-1:], pa.string())), rarity)
     # The text that follows is the next one of the list, but for the last.
     after = list(range(1, n)) + [2 * n]
     return {
         "doc_id": ids,
         "n_chars": [len(t) for t in texts],
-        "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in edited],
-        "fingerprint": [as_text(level[i], prints[i]) for i in range(n)],
-        "edited_fingerprint": [as_text(level[n + i], prints[n + i]) for i in range(n)],
-        "near_edited": [likeness(level[i], prints[i], level[n + i], prints[n + i]) for i in range(n)],
-        "near_next": [likeness(level[i], prints[i], level[j], prints[j]) for i, j in enumerate(after)],
+        "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in edited],
+        "fingerprint": [prints.packed(i) for i in range(n)],
+        "edited_fingerprint": [prints.packed(n + i) for i in range(n)],
+        "near_edited": [prints.likeness(i, n + i) for i in range(n)],
+        "near_next": [prints.likeness(i, j) for i, j in enumerate(after)],
     }
 
 
+def _rarity(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint8)
+
+
 def _edit(packed: bytes):
     """Rows of one range; its first text and its last, which lacks a next one, are put aside."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).astype(bool)
+        rarity = _rarity(packed)
         part = TaskContext.get().partitionId()
         columns = [c.split()[0] for c in _OUT.split(", ")]
         schema = pa.schema(
             [
-                *zip(columns, [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]),
+                *zip(columns, [pa.int64(), pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2]),
                 ("part", pa.int64()),
                 ("kind", pa.string()),
                 ("text", pa.string()),
@@ -194,7 +254,7 @@ def _edit(packed: bytes):
                 ids, texts = [last[0], *ids], [last[1], *texts]
             last = ids[-1], texts[-1]
             if len(texts) > 1:
-                found = _compare(ids[:-1], texts[:-1], texts[1:], lexicon)
+                found = _compare(ids[:-1], texts[:-1], texts[1:], rarity)
                 none = [None] * (len(texts) - 1)
                 yield pa.RecordBatch.from_pydict(found | {"part": none, "kind": none, "text": none}, schema=schema)
         if last is not None:
@@ -205,26 +265,26 @@ def _edit(packed: bytes):
 
 def _finish(packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).astype(bool)
+        rarity = _rarity(packed)
         for batch in batches:
             for row in batch.to_pylist():
-                yield pa.RecordBatch.from_pydict(_compare([row["doc_id"]], [row["text"]], [row["next"]], lexicon))
+                yield pa.RecordBatch.from_pydict(_compare([row["doc_id"]], [row["text"]], [row["next"]], rarity))
 
     return run
 
 
-def fingerprint_edits(docs: DataFrame, lexicon: np.ndarray | None = None) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are.
 
     The edited text has its last third replaced by the beginning of the next document, in descending
     order of ``doc_id`` (equal ids by a hash of the text, null last; the first follows the last). A null
     text is empty. Only ``doc_id`` and ``text`` are read; repeated rows are rows of their own, an empty
     table gives none. Texts are dealt by ranges of ids once; a range's last document meets the first
-    one of the next range afterwards.
+    one of the next range afterwards. A text of any length is fingerprinted whole, by one task. Fingerprints are
+    base64 text.
     """
     spark = docs.sparkSession
-    lexicon = fit_lexicon(docs) if lexicon is None else lexicon
-    packed = zlib.compress(np.packbits(lexicon).tobytes())
+    packed = zlib.compress((fit_lexicon(docs) if rarity is None else rarity).tobytes())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -235,4 +295,6 @@ def fingerprint_edits(docs: DataFrame, lexicon: np.ndarray | None = None) -> Dat
     follow = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part long, at long")
     tails = done.where("kind = 'tail'").select("part", "doc_id", "text").join(follow, "part").join(heads, "at")
     ends = tails.select("doc_id", "text", "next").mapInArrow(_finish(packed), _OUT)
-    return done.where(F.col("kind").isNull()).drop("part", "kind", "text").unionByName(ends)
+    both = done.where(F.col("kind").isNull()).drop("part", "kind", "text").unionByName(ends)
+    texts = {c: F.translate(F.base64(c), "\r\n", "") for c in ("fingerprint", "edited_fingerprint")}
+    return both.withColumns(texts | {"edited_sha256": F.lower(F.hex("edited_sha256"))})
