@@ -32,13 +32,16 @@ _CHUNK, _JOINT = -2, -1
 _ITEM = "array<struct<h: bigint, s: int, e: int, within: int>>"
 
 
-def _parsed(docs: DataFrame) -> DataFrame:
-    """``row``, the document's key ``k``, its ``lines``, and ``full``: number and words of those that have words."""
-    a = docs.select(
-        F.struct("*").alias("row"),
-        F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")).alias("k"),
-        F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"),
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``row`` and the document's key ``k``."""
+    return docs.select(
+        F.struct("*").alias("row"), F.struct(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")).alias("k")
     )
+
+
+def _parsed(keyed: DataFrame) -> DataFrame:
+    """With the ``lines`` of a document, and ``full``: number and words of those that have words."""
+    a = keyed.select("*", F.split(F.coalesce("row.text", F.lit("")), "\n", -1).alias("lines"))
     # Words are counted inside the list that keeps them: a column of counts, looked up line by line, would be
     # put into the look-up by the optimizer and counted again for every line.
     counted = F.transform("lines", lambda x, i: F.struct((i + 1).alias("i"), F.regexp_count(x, F.lit(WORD)).alias("w")))
@@ -57,7 +60,7 @@ def _with_items(docs: DataFrame) -> DataFrame:
 
     Of each chunk: itself, if it has several lines; the windows inside it; the one over its end; its long lines.
     """
-    parsed, n = _hashed(_parsed(docs)), F.size("hashes")
+    parsed, n = _hashed(_parsed(_keyed(docs))), F.size("hashes")
     none, no_items = F.array().cast("array<int>"), F.array().cast(_ITEM)
     every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
     ends = F.filter(every, lambda i: (i == n - 1) | (F.pmod(F.get("roll", i), F.lit(SPAN)) == 0))
@@ -154,7 +157,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     again = again.join(texts, "h").select(F.col("k").alias("rk"), F.struct("s", "e", "text").alias("r"))
     # One list per document, no longer than its own chunks and windows.
     by_doc = again.groupBy("rk").agg(F.collect_list("r").alias("repeats"))
-    joined = _parsed(docs).select("row", "k", "lines", "full").join(by_doc, F.col("k") == F.col("rk"), "left")
+    # A text is cut to lines after the join, so that it is shuffled once, as it is.
+    joined = _parsed(_keyed(docs).join(by_doc, F.col("k") == F.col("rk"), "left"))
     none = F.expr("cast(array() as array<int>)")
 
     def gone(r: Column) -> Column:
