@@ -3,8 +3,9 @@
 A text, in lower case, is the vector of its hashed byte n-grams: sublinear counts, weighted by inverse
 document frequency, of length one. Each language has several centroids, found by spherical k-means on
 a bounded sample of its labelled texts; document frequencies count every labelled text. A text gets
-the language of the closest centroid by cosine, or is rejected when it is farther from all of them
-than any text of its length in the sample had been, with some slack.
+the language of the closest centroid by cosine, or is rejected when it is farther from that one than all
+but a few labelled texts of the language and of its length. Those distances are counted over all labelled texts that
+the centroids were not fitted on.
 """
 
 from __future__ import annotations
@@ -27,8 +28,12 @@ SAMPLE_ROWS = 2_000
 SAMPLE_LEAST = 50
 CENTROIDS = 6
 ROUNDS = 12
-#: A text is rejected below this share of the lowest cosine seen in the sample for its length.
-SLACK = 0.4
+#: At least this share of the labelled texts of a language stays outside the sample.
+OUTSIDE = 0.25
+#: A text is rejected below the cosine that this share of the labelled texts like it do not reach.
+QUANTILE = 0.01
+#: Labelled texts that a cut takes.
+CUT_LEAST = 100
 REJECTED = "und"
 _BLOCK = 1 << 20
 _ROWS = 128
@@ -72,7 +77,7 @@ class Model:
     labels: np.ndarray  # of each centroid, in code-point order
     centroids: np.ndarray
     weights: np.ndarray  # inverse document frequencies
-    cuts: np.ndarray  # lowest accepted cosine by the power of two of a text's n-grams
+    cuts: dict[str, np.ndarray]  # of each language, lowest accepted cosine by the power of two of a text's n-grams
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         out = np.log1p(counts) * self.weights
@@ -158,7 +163,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     if not sizes:
         return None
     each = max(SAMPLE_LEAST, sample_rows // len(sizes))
-    rates = {lang: 1.2 * each / n for lang, n in sizes.items()}
+    rates = {lang: min(1 - OUTSIDE, 1.2 * each / n) for lang, n in sizes.items()}
     seen = staged(rows.mapInArrow(_collect(rates), "lang string, chance double, blob binary, docs long"), "grams")
     parts = seen.where(F.col("lang").isNull()).select("blob", "docs")
     sums = parts.repartition(16).mapInArrow(_add, "blob binary, docs long").collect()
@@ -173,23 +178,70 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
         .select("lang", "blob")
         .collect()
     )
-    empty = Model(np.zeros(0, object), np.zeros((0, DIMENSIONS), np.float32), weights, np.zeros(32))
-    counts = np.stack([np.frombuffer(r["blob"], "<f4") for r in sample])
+    empty = Model(np.zeros(0, object), np.zeros((0, DIMENSIONS), np.float32), weights, {})
+    counts = np.stack([np.frombuffer(r["blob"], "<f4") for r in sample]) if sample else np.zeros((0, DIMENSIONS), np.float32)
     x, langs = empty.vectors(counts), np.array([r["lang"] for r in sample], dtype=object)
-    labels, centroids, own = [], [], np.zeros(len(x))
+    labels, centroids = [], []
     for lang in sorted(sizes):
         mine = langs == lang
         if mine.any():
             c = spherical_means(x[mine], CENTROIDS)
             labels += [lang] * len(c)
             centroids.append(c)
-            own[mine] = (x[mine] @ c.T).max(1)
-    cuts = np.full(32, own.min())
-    band = _band(counts)
+    if not labels:
+        return None
+    model = Model(np.array(labels, dtype=object), np.concatenate(centroids).astype(np.float32), weights, {})
+    outside = F.lit(False)
+    for lang, rate in rates.items():
+        outside = outside | ((F.col("lang") == lang) & (F.col("chance") >= rate))
+    measured = rows.where(outside).mapInArrow(_measure(model), "lang string, band int, score double")
+    step = F.floor(F.col("score") * _STEPS).cast("int").alias("step")
+    # A row for each language, power of two and hundredth at most.
+    found = measured.groupBy("lang", "band", step).count().collect()
+    seen = {lang: np.zeros((32, _STEPS + 1), np.int64) for lang in set(labels)}
+    for r in found:
+        if r["lang"] in seen:
+            seen[r["lang"]][r["band"], min(max(r["step"], 0), _STEPS)] += r["count"]
+    every = sum(seen.values())
+    cuts = {lang: _cuts(counts, every) for lang, counts in seen.items()}
+    return Model(model.labels, model.centroids, weights, cuts)
+
+
+#: Steps that cosines are counted in.
+_STEPS = 100
+def _low(counts: np.ndarray) -> float:
+    """The low quantile of cosines counted in steps, rounded down."""
+    return int(np.searchsorted(np.cumsum(counts), QUANTILE * counts.sum())) / _STEPS
+
+
+def _cuts(counts: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """A cut for each length, of a language's ``counts`` by length and step and those of ``every`` language.
+
+    Where the language has few texts of a length, all languages count, and then shorter texts as well, which
+    are farther from the centroids. Nothing is rejected where all that is not enough.
+    """
+    out = np.zeros(32)
     for b in range(32):
-        if (band == b).sum() >= 20:
-            cuts[b] = own[band == b].min()
-    return Model(np.array(labels, dtype=object), np.concatenate(centroids).astype(np.float32), weights, cuts * SLACK)
+        tries = [counts[b], *(every[b - reach : b + 1].sum(0) for reach in range(b + 1))]
+        out[b] = next((_low(x) for x in tries if x.sum() >= CUT_LEAST), 0.0)
+    return out
+
+
+def _measure(model: Model):
+    """How near labelled texts are to their own language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in _small(batches):
+            counts = gram_counts(data, offsets)
+            langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            near = model.vectors(counts) @ model.centroids.T
+            near[langs[:, None] != model.labels[None]] = 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), pa.array(_band(counts).astype(np.int32)), pa.array(near.max(1).astype(np.float64))],
+                ["lang", "band", "score"],
+            )
+
+    return run
 
 
 def has_letter(text: Column) -> Column:
@@ -204,7 +256,8 @@ def _predict(model: Model):
             best = near.argmax(1)
             score = np.clip(near.max(1), 0.0, 1.0).astype(np.float64)
             letters = np.asarray(batch.column("letters"))
-            ok = letters & (score >= model.cuts[_band(counts)])
+            cut = np.array([model.cuts[model.labels[i]][b] for i, b in zip(best, _band(counts))])
+            ok = letters & (score >= cut)
             lang = np.where(ok, model.labels[best], REJECTED)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(lang, pa.string()), pa.array(np.where(letters, score, 0.0))],
