@@ -16,7 +16,6 @@ from recordflow.llm.encode import encoder
 
 def plain(tokenizer):
     t = Tokenizer.from_file(tokenizer)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
