@@ -173,9 +173,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     left = F.exists("keep", lambda i: F.get("lines", i - 1).rlike(WORD))
     out = out.withColumn("keep", F.when(left | F.col("keep").isNull(), F.col("keep")).otherwise(none))
     kept = F.array_join(F.transform("keep", lambda i: F.get("lines", i - 1)), "\n")
-    return out.select(
+    result = F.struct(
         "row",
         F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(kept).alias("kept_text"),
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("lines") - F.size("keep"), F.lit(0)).cast("long").alias("n_removed"),
     )
+    # Through a generator: a caller's filter would be pushed into the look-ups of lines, and cut the text for each.
+    return out.select(F.inline_outer(F.array(result)))
