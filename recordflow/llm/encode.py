@@ -3,8 +3,9 @@
 Byte-level BPE first cuts a text into words by a pattern and then encodes each word alone. A cut
 before a single space between two visible characters, or before ASCII punctuation that follows an
 ASCII letter, always falls between two such words. So the pieces between these cuts can be encoded
-one by one: a chunk's distinct pieces are found by Arrow's dictionary encoding, each is encoded
-once, and the ids are gathered back. Frequent pieces stay in a bounded cache of the worker.
+one by one: a chunk's distinct pieces are found by Arrow's dictionary encoding and looked up by hash, and
+compared, among those that the worker keeps. The others are strung together, where the same cuts fall
+between them, and encoded as a few texts; the tokens' bytes tell where each piece's ids end.
 
 The tokenizer's added tokens are taken out of a text before it is cut into words, so each of them is
 a piece of its own. A text with one that also takes in what stands around it is one piece.
@@ -18,10 +19,16 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces that a worker keeps, and the longest of them; others are encoded anew in each chunk.
-CACHE = 120_000
-CACHED_CHARS = 48
+from recordflow.llm.common import text_bytes
+from recordflow.llm.tally import span_hashes
+
+#: Pieces that a worker keeps, and the bytes of the longest; others are encoded anew in each chunk.
+CACHE = 400_000
+CACHED_BYTES = 48
+#: Pieces that are encoded as one text.
+JOINED = 1_000
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
@@ -32,6 +39,10 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _PUNCTUATION = _VISIBLE & ~_LETTER
 _PUNCTUATION[0x30:0x3A] = False
+# Pieces that can be strung together: each begins with a space, or with punctuation and is given a letter before.
+_SEEN = r"[\x21-\x7E\x{C0}-\x{7FF}]"
+_JOINT = rf"(?s)\A(?: {_SEEN}|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E])(?:.*{_SEEN})?\z"
+_LETTER_BEFORE = " a"
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray, spans: np.ndarray | None = None) -> np.ndarray:
@@ -54,6 +65,13 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, spans: np.ndarray | None
     return np.flatnonzero(cut)
 
 
+def gathered(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all spans, one after the other, and the offsets of the spans in them."""
+    sizes = end - begin
+    after = np.concatenate([[0], np.cumsum(sizes)])
+    return ids[np.repeat(begin - after[:-1], sizes) + np.arange(after[-1])], after
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,45 +87,81 @@ class Encoder:
             len({t.normalized for t in added}) < 2
         )
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(CACHE + 1, np.int64)
-
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _places(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of distinct pieces: an array, and each piece's begin and end in it."""
-        places = [self.known.get(p, -1) for p in pieces]
-        missing = [i for i, k in enumerate(places) if k < 0]
-        # Long pieces come last: they are not kept.
-        missing.sort(key=lambda i: len(pieces[i]) > CACHED_CHARS)
-        encoded = self._encode([pieces[i] for i in missing])
-        short = sum(len(pieces[i]) <= CACHED_CHARS for i in missing)
-        fresh = encoded[: min(short, CACHE - len(self.known))]
-        if fresh:
-            n, used = len(self.known), int(self.ends[len(self.known)])
-            ends = used + np.cumsum([len(x) for x in fresh])
-            while ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[used : ends[-1]] = np.concatenate([np.asarray(x, np.uint32) for x in fresh])
-            self.ends[n + 1 : n + 1 + len(fresh)] = ends
-            for j, i in enumerate(missing[: len(fresh)]):
-                places[i] = self.known[pieces[i]] = n + j
-        total = int(self.ends[len(self.known)])
-        ids = self.ids[:total]
-        rest = encoded[len(fresh) :]
-        k = np.asarray(places, np.int64)
-        kept = k >= 0
-        begin, end = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
-        begin[kept], end[kept] = self.ends[k[kept]], self.ends[k[kept] + 1]
-        if rest:
-            bounds = total + np.concatenate([[0], np.cumsum([len(x) for x in rest])])
-            at = missing[len(fresh) :]
-            begin[at], end[at] = bounds[:-1], bounds[1:]
-            ids = np.concatenate([ids, *[np.asarray(x, np.uint32) for x in rest]])
+        # In a byte-level vocabulary a character stands for a byte.
+        tokens = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(tokens.values(), default=0) + 1, np.int64)
+        self.bytes[list(tokens.values())] = [len(t) for t in tokens]
+        #: The pieces that are kept, by ascending hash, their ids with offsets, and how often each was met.
+        self.hashes, self.known = np.zeros(0, np.uint64), pa.array([], pa.string())
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def _encode(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one after the other, and the offsets of the pieces in them."""
+        joint = np.asarray(pc.match_substring_regex(pieces, _JOINT))
+        found = self._encode_joint(pieces.filter(pa.array(joint)).to_pylist()) if joint.any() else None
+        if found is None:
+            joint, found = np.zeros(len(pieces), bool), (np.zeros(0, np.uint32), *np.zeros((2, 0), np.int64))
+        rest = pieces.filter(pa.array(~joint)).to_pylist()
+        alone = [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        bounds = len(found[0]) + np.cumsum([0, *map(len, alone)])
+        begin, end = np.zeros((2, len(pieces)), np.int64)
+        begin[joint], end[joint] = found[1:]
+        begin[~joint], end[~joint] = bounds[:-1], bounds[1:]
+        return gathered(np.concatenate([found[0], *alone]), begin, end)
+
+    def _encode_joint(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of pieces that are strung together, and each one's begin and end in them.
+
+        None if a token reaches over pieces, or if the tokens are not the bytes of the text.
+        """
+        led = np.array([p[0] != " " for p in pieces])
+        strung = [_LETTER_BEFORE + p if x else p for p, x in zip(pieces, led.tolist())]
+        texts = ["".join(strung[i : i + JOINED]) for i in range(0, len(strung), JOINED)]
+        if self.added is not None and any(self.added.search(t.encode()) for t in texts):
+            return None
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in encoded])
+        ends = np.cumsum(pc.binary_length(pa.array(strung, pa.large_string())).to_numpy())
+        begins = np.concatenate([[0], ends[:-1]]) + led * len(_LETTER_BEFORE)
+        at = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+        begin, end = np.searchsorted(at, begins), np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[begin] != begins).any() or (at[end] != ends).any():
+            return None
         return ids, begin, end
 
+    def _places(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces with their offsets, and the number that each of the given pieces has there."""
+        coded = pieces.dictionary_encode()
+        distinct, number = coded.dictionary, coded.indices.to_numpy()
+        times = np.bincount(number, minlength=len(distinct))
+        data, offsets = text_bytes(distinct)
+        hashes = span_hashes(data, offsets[:-1], offsets[1:])
+        place, n = np.searchsorted(self.hashes, hashes), len(self.hashes)
+        same = place < n
+        same[same] = self.hashes[place[same]] == hashes[same]
+        taken = same.copy()  # of two pieces with one hash, the first is kept
+        same[taken] = np.asarray(pc.equal(self.known.take(pa.array(place[taken])), distinct.filter(pa.array(taken))))
+        self.met[place[same]] += times[same]
+        place[~same] = n + np.arange(n_new := int((~same).sum()))
+        encoded, bounds = self._encode(distinct.filter(pa.array(~same)))
+        ids, ends = np.concatenate([self.ids, encoded]), np.concatenate([self.ends, self.ends[-1] + bounds[1:]])
+        if n_new:
+            pool = pa.concat_arrays([self.known, distinct.filter(pa.array(~same))])
+            short = ~taken[~same] & (offsets[1:] - offsets[:-1] <= CACHED_BYTES)[~same]
+            self._keep(pool, np.concatenate([self.hashes, hashes[~same]]), ids, ends, np.concatenate([self.met, times[~same]]), n + np.flatnonzero(short))
+        return ids, ends, place[number]
+
+    def _keep(self, pool: pa.StringArray, hashes: np.ndarray, ids: np.ndarray, ends: np.ndarray, met: np.ndarray, new: np.ndarray) -> None:
+        """Add the ``new`` ones of the pool to those that are kept; of too many, the half that was met most stays."""
+        stay = np.concatenate([np.arange(len(self.hashes)), new])
+        if len(stay) > CACHE:
+            stay = stay[np.argsort(-met[stay], kind="stable")[: CACHE // 2]]
+            met = met // 2
+        stay = stay[np.unique(hashes[stay], return_index=True)[1]]
+        self.hashes, self.known, self.met = hashes[stay], pool.take(pa.array(stay)), met[stay]
+        self.ids, self.ends = gathered(ids, ends[stay], ends[stay + 1])
+
     def _spans(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Begin and end of the added tokens in the texts, or of the texts that hold some."""
         whole = np.ascontiguousarray(data).data
@@ -131,15 +185,12 @@ class Encoder:
         bounds = np.append(starts, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(
             len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))
-        ).dictionary_encode()
-        ids, begin, end = self._places(pieces.dictionary.to_pylist())
-        sizes = end - begin
-        after = np.concatenate([[0], np.cumsum(sizes)])
-        own = ids[np.repeat(begin - after[:-1], sizes) + np.arange(after[-1])]
+        )
+        ids, ends, place = self._places(pieces)
         # Each piece's ids are one binary value, so that Arrow copies them piece by piece.
         coded = pa.BinaryArray.from_buffers(
-            pa.binary(), len(sizes), [None, pa.py_buffer((after * 4).astype(np.int32)), pa.py_buffer(own)]
-        ).take(pieces.indices)
+            pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids)]
+        ).take(pa.array(place))
         _, ends, flat = coded.buffers()
         ends = np.frombuffer(ends, np.int32)[: len(starts) + 1] // 4
         return np.frombuffer(flat, np.uint32)[: ends[-1]], ends[np.searchsorted(starts, offsets)].astype(np.int64)

@@ -107,3 +107,42 @@ def test_windows_are_filled_as_well_as_can_be():
     used = [x for pattern, times in windows for _ in range(times) for x in pattern]
     assert sorted(used) == sorted(lengths)
     assert sum(times for _, times in windows) * 1024 <= 1.01 * sum(lengths)  # hardly any padding
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_are_encoded_together(tokenizer, monkeypatch):
+    from recordflow.llm import encode
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeé'.,1", k=rng.randrange(1, 9))) for _ in range(6000)]
+    texts = [" ".join(words[i : i + 50]) + rng.choice(["", "\n", "  ", " 日", "<|endoftext|>"]) for i in range(0, 6000, 50)]
+    library = Tokenizer.from_file(tokenizer)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def check(own, given):
+        ids, ends = own.encode(*text_bytes(pa.array(given, pa.string())))
+        return [list(ids[a:b]) for a, b in zip(ends, ends[1:])]
+
+    own = encode.Encoder(tokenizer)
+    own.tokenizer = counted = Counted(own.tokenizer)
+    plain_texts = [t.removesuffix("<|endoftext|>") for t in texts]
+    assert check(own, plain_texts) == [library.encode(t, add_special_tokens=False).ids for t in plain_texts]
+    assert counted.texts < 500
+    assert check(own, texts) == want
+    # A cache that is too small, and pieces that all have one hash, cost work only.
+    monkeypatch.setattr(encode, "CACHE", 40)
+    small = encode.Encoder(tokenizer)
+    assert [check(small, texts[i : i + 10]) for i in range(0, 120, 10)] == [want[i : i + 10] for i in range(0, 120, 10)]
+    assert len(small.known) <= 40
+    monkeypatch.setattr(encode, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    assert check(encode.Encoder(tokenizer), texts) == want
