@@ -291,7 +291,7 @@ def _stars(found: DataFrame) -> DataFrame:
 
 
 def _wanted_texts(bits: bytes):
-    """The texts of documents that some pair needs, by a filter that lets few others pass."""
+    """The texts of documents that some pair needs, compressed, by a filter that lets few others pass."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = np.frombuffer(bits, np.uint8)
@@ -303,7 +303,9 @@ def _wanted_texts(bits: bytes):
             batch = batch.filter(pa.array((member[at >> 3] >> (at & 7) & 1).astype(bool)))
             keys = [hash(x) for x in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
             fresh = [not (k in seen or seen.add(k)) for k in keys]
-            yield batch.filter(pa.array(fresh, pa.bool_()))
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
+            texts = [zlib.compress(x.encode(), 4) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
 
     return pick
 
@@ -321,13 +323,20 @@ def _filter_bits(size: int):
     return run
 
 
-def _verify(table: pa.Table) -> pa.Table:
-    """Links among the pairs of one bucket; the table holds its texts and its pairs."""
+def _sets_of(table: pa.Table) -> tuple[dict[int, np.ndarray], pa.Table]:
+    """The sets of a bucket's compressed texts by their nodes, and the rows without text."""
     has = pa.array(np.asarray(table.column("text").is_valid()))
     sets: dict[int, np.ndarray] = {}
-    for _, hashes, ends, nodes in _sets(table.filter(has).to_batches()):
-        sets.update((n, hashes[a:b]) for n, a, b in zip(nodes.tolist(), ends, ends[1:]))
-    rest = table.filter(pc.invert(has))
+    for batch in table.filter(has).select(["text"]).to_batches(max_chunksize=1_000):
+        texts = [zlib.decompress(x).decode() for x in batch.column("text").to_pylist()]
+        for _, hashes, ends, nodes in _sets(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.large_string())})])):
+            sets.update((n, hashes[a:b]) for n, a, b in zip(nodes.tolist(), ends, ends[1:]))
+    return sets, table.filter(pc.invert(has))
+
+
+def _verify(table: pa.Table) -> pa.Table:
+    """Links among the pairs of one bucket; the table holds its texts and its pairs."""
+    sets, rest = _sets_of(table)
     links = []
     for a, b in zip(rest.column("a").to_pylist(), rest.column("b").to_pylist()):
         x, y = sets[a], sets[b]
@@ -338,14 +347,14 @@ def _verify(table: pa.Table) -> pa.Table:
 
 
 def _texts_for(docs: DataFrame, sent: DataFrame) -> DataFrame:
-    """bucket and text of the documents in ``sent`` (bucket, doc_id); a filter keeps the others' texts away."""
+    """bucket and compressed text of the documents in ``sent`` (bucket, doc_id); a filter keeps the others' texts away."""
     ids = staged(sent.distinct(), "sent")
     wanted = ids.count()
     size = min(FILTER_MOST, max(FILTER_LEAST, 1 << (16 * wanted).bit_length()))
     bits = np.zeros(size // 8, np.uint8)
     for row in ids.select("doc_id").repartition(8).mapInArrow(_filter_bits(size), "bits binary").toLocalIterator():
         bits |= np.frombuffer(row["bits"], np.uint8)
-    found = _texts(docs).mapInArrow(_wanted_texts(bits.tobytes()), "doc_id long, text string")
+    found = _texts(docs).mapInArrow(_wanted_texts(bits.tobytes()), "doc_id long, text binary")
     return found.join(ids, found["doc_id"].eqNullSafe(ids["doc_id"])).select("bucket", "text")
 
 
@@ -379,7 +388,7 @@ def _links(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     sent = sent.join(nodes.select("node", "doc_id"), "node").select("bucket", "doc_id")
     none = F.lit(None).cast("long")
     texts = _texts_for(docs, sent).select("bucket", none.alias("a"), none.alias("b"), "text")
-    rows = texts.unionByName(placed.select("bucket", "a", "b", F.lit(None).cast("string").alias("text")))
+    rows = texts.unionByName(placed.select("bucket", "a", "b", F.lit(None).cast("binary").alias("text")))
     return rows.groupBy("bucket").applyInArrow(_verify, "a long, b long")
 
 
@@ -451,11 +460,8 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def _meet(table: pa.Table) -> pa.Table:
     """Links between components among the sets that meet in the tasks of one bucket; one for two components."""
-    has = pa.array(np.asarray(table.column("text").is_valid()))
-    sets: dict[int, np.ndarray] = {}
-    for _, hashes, ends, nodes in _sets(table.filter(has).to_batches()):
-        sets.update((n, hashes[a:b]) for n, a, b in zip(nodes.tolist(), ends, ends[1:]))
-    rest = table.filter(pc.invert(has)).sort_by("task")
+    sets, rest = _sets_of(table)
+    rest = rest.sort_by("task")
     task, node, label = (rest.column(c).to_numpy() for c in ("task", "node", "label"))
     a_out, b_out = [], []
     at = np.flatnonzero(np.append(True, task[1:] != task[:-1])) if len(task) else []
@@ -497,6 +503,6 @@ def _across(docs: DataFrame, sets: DataFrame, found: DataFrame, label: DataFrame
     texts = _texts_for(docs, dealt.select("bucket", "node").distinct().join(reps, "node").select("bucket", "doc_id"))
     none = F.lit(None).cast("long")
     rows = texts.select("bucket", *[none.alias(c) for c in ("task", "node", "label")], "text").unionByName(
-        dealt.select("bucket", "task", "node", "label", F.lit(None).cast("string").alias("text"))
+        dealt.select("bucket", "task", "node", "label", F.lit(None).cast("binary").alias("text"))
     )
     return rows.groupBy("bucket").applyInArrow(_meet, "a long, b long")

@@ -92,3 +92,16 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_travel_compressed():
+    import pyarrow as pa
+
+    text = " ".join(f"word{i % 40}" for i in range(2000)) + " é 日"
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 1, None], pa.int64()), "text": [text, text, ""]})
+    sent = pa.Table.from_batches(jaccard._wanted_texts(b"\xff" * 1024)(iter([rows])))
+    assert sent.column("doc_id").to_pylist() == [1, None]
+    assert sum(len(x) for x in sent.column("text").to_pylist()) < len(text) / 4
+    found, rest = jaccard._sets_of(sent)
+    (plain,) = jaccard._sets(iter([rows.slice(0, 1)]))
+    assert rest.num_rows == 0 and found[int(plain[3][0])].tolist() == plain[1].tolist()
