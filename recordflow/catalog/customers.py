@@ -300,6 +300,26 @@ def _(t):
     return item_text(merge.split_outputs(merged, "modified")["modified"])
 
 
+#: Rows of one file of a stream's batch.
+FILE_ROWS = 250_000
+
+
+def write_batches(rows: DataFrame, path: str, part: str) -> int:
+    """One folder per value of ``part``, one after the other, with as many files each as is returned.
+
+    A stream takes the oldest files first, so that many at a time are the rows of one value. They are dealt
+    over the files without a sort, so the memory of a task does not grow with the rows.
+    """
+    fixed = tables.stage(rows, "batch-rows")
+    fixed.limit(0).write.partitionBy(part).parquet(path)  # the folder, also of no rows
+    counts = fixed.groupBy(part).count().orderBy(F.asc_nulls_last(part)).collect()
+    files = max([1, *[r["count"] // FILE_ROWS for r in counts]])
+    for n, r in enumerate(counts):
+        own = fixed.where(F.col(part).eqNullSafe(F.lit(r[part]))).drop(part)
+        own.repartition(files).write.parquet(f"{path}/{n}")
+    return files
+
+
 @query("stream_merge", _ITEMS + " SELECT customer_id, name_text, address_text, id_text FROM merged")
 def _(t):
     """The events as a stream of batches, folded onto the base into deltas.
@@ -310,8 +330,8 @@ def _(t):
     table, deltas, items, checkpoint, laid_out = (
         scratch_path(t.spark, n) for n in ("event-stream", "deltas", "items", "checkpoint", "base")
     )
-    flat = flat_events(t).withColumn("_part", F.floor(F.col("event_timestamp") / 60_000) % 3)
-    flat.repartition(3, "_part").write.partitionBy("_part").parquet(table)
+    flat = flat_events(t)
+    files = write_batches(flat.withColumn("_part", F.floor(F.col("event_timestamp") / 60_000) % 3), table, "_part")
     schema = T.StructType([*schemas.SNAPSHOT.fields, T.StructField("batch", T.LongType())])
     base = base_snapshot(t)
     store.write_bucketed_folders(base, laid_out, merge.KEYS, 8)
@@ -319,7 +339,7 @@ def _(t):
     def earlier(batch: int) -> DataFrame:
         return tables.read_if_exists(t.spark, deltas, schema).where(F.col("batch") < batch)
 
-    stream = t.spark.readStream.schema(flat.drop("_part").schema).option("maxFilesPerTrigger", 1).parquet(f"{table}/*")
+    stream = t.spark.readStream.schema(flat.schema).option("maxFilesPerTrigger", files).parquet(f"{table}/*")
     by_bucket = T.StructType([*base.schema.fields, T.StructField(store.BUCKET, T.IntegerType())])
     ingest.drain(
         ingest.merge_stream(

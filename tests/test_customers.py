@@ -227,3 +227,17 @@ def test_merge_plan_has_no_python_and_no_product(base, raw):
     text = merge.merge_customers(base, events.decode_payload(raw), str(DAY))._jdf.queryExecution().executedPlan().toString()
     for bad in ("Python", "CartesianProduct", "NestedLoop"):
         assert bad not in text
+
+
+def test_batches_of_a_stream_are_several_files(spark, monkeypatch):
+    from recordflow.catalog import customers
+
+    monkeypatch.setattr(customers, "FILE_ROWS", 100)
+    path = scratch_path(spark, "batches")
+    rows = spark.range(900).select("id", F.when(F.col("id") >= 3, F.col("id") % 2).alias("part"))
+    assert customers.write_batches(rows, path, "part") == 4
+    files = spark.read.parquet(f"{path}/*").select("id", F.input_file_name().alias("f")).collect()
+    values = [{None if r.id < 3 else r.id % 2 for r in files if f"/{n}/" in r.f} for n in range(3)]
+    assert values == [{0}, {1}, {None}] and sorted(r.id for r in files) == list(range(900))
+    assert [len({r.f for r in files if f"/{n}/" in r.f}) for n in range(2)] == [4, 4]
+    assert customers.write_batches(rows.where("false"), scratch_path(spark, "batches"), "part") == 1
