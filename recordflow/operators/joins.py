@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordflow.operators.periods import blocks_of, cover, day_number, level_of
+from recordflow.operators.periods import blocks_of, day_number, with_runs
 
 
 def _pairs(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -75,27 +75,24 @@ def join_between(
     under the block of each level that its date lies in, so the hash key is (key, block). A pair meets in one
     block only. That keeps the comparison count at the result size and spreads one very large key over many
     tasks; a period of a millennium costs a few rows. Periods are cut to the days the facts cover, and
-    facts are listed on the levels the periods use: both are scalar subqueries over one column.
+    facts are listed on the levels the periods use: both are scalar subqueries over one column. Blocks are
+    listed by arithmetic that compiles, without lambdas, which would cost more than the join.
     """
     names = _pairs(keys)
     span = facts.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("s"))
     first = F.greatest(day_number(F.col(low)), day_number(F.col("_span.lo")))
     last = F.least(day_number(F.col(high)), day_number(F.col("_span.hi")))
-    listed = (
-        periods.withColumn("_span", span.scalar())
-        .where(F.col(low) <= F.col(high))
-        .withColumn("_block_r", F.explode(cover(first, last)))
-        .drop("_span")
-    )
-    levels = listed.agg(F.collect_set(level_of(F.col("_block_r"))).alias("s"))
-    right = listed.select(
+    runs = with_runs(periods.withColumn("_span", span.scalar()).where(F.col(low) <= F.col(high)), first, last)
+    used = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("_level")))
+    right = runs.select(
         *[F.col(r).alias(f"_k{i}") for i, r in enumerate(names.values())],
         *[c for c in periods.columns if c not in names.values()],
-        "_block_r",
+        F.explode(F.sequence("_from", "_to")).alias("_block_r"),
     )
-    blocks = F.filter(blocks_of(F.col("_day")), lambda b: F.array_contains(F.col("_levels"), level_of(b)))
-    left = facts.withColumns({"_day": day_number(F.col(date)), "_levels": levels.scalar()})
-    left = left.withColumn("_block_l", F.explode(blocks)).drop("_day", "_levels")
+    left = facts.select("*", F.posexplode(blocks_of(day_number(F.col(date)))).alias("_level", "_block_l"))
+    # The levels in use are the bits of one number.
+    left = left.withColumn("_used", F.call_function("shiftright", runs.agg(used).scalar(), F.col("_level")))
+    left = left.where(F.col("_used").bitwiseAND(1) == 1).drop("_used", "_level")
     on = [F.col(a) == F.col(f"_k{i}") for i, a in enumerate(names)]
     on += [F.col("_block_l") == F.col("_block_r"), F.col(date).between(F.col(low), F.col(high))]
     dropped = [f"_k{i}" for i in range(len(names))]

@@ -119,6 +119,26 @@ def test_not_in_over_several_columns(spark, rows, width):
         joins.anti(left, left, {f"a{i}": "c0" for i in range(5)}, null_safe=False)
 
 
+def test_runs_of_blocks_make_up_the_cover(spark):
+    """The runs that join_between lists, unfolded, are the cover; a period without days has none."""
+    rng = random.Random(9)
+    ends = [(0, 3_652_058), (8, 7), (5, None), (None, 5), (511, 512), (0, 63), (1, 64)]
+    ends += [(a, a + rng.choice([0, 6, 60, 365, 40_000])) for a in (rng.randrange(0, 800_000) for _ in range(40))]
+    df = spark.createDataFrame(ends, "a long, b long")
+    unfolded = periods.with_runs(df, F.col("a"), F.col("b")).select("a", "b", F.explode(F.sequence("_from", "_to")).alias("n"))
+    listed = df.select("a", "b", F.explode(periods.cover(F.col("a"), F.col("b"))).alias("n"))
+    assert listed.count() == unfolded.count() > len(ends)
+    assert not listed.exceptAll(unfolded).count()
+
+
+def test_join_between_lists_blocks_in_compiled_code(spark):
+    """Blocks are listed without lambdas, which are interpreted for every row of both sides."""
+    days = spark.range(5).select(F.col("id").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    spans = days.select("k", F.col("d").alias("lo"), F.date_add("d", 60).alias("hi"))
+    plan = joins.join_between(days, spans, ["k"], "d", "lo", "hi")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "lambda" not in plan
+
+
 def test_join_between_open_ends(spark, rows):
     """An end in the far future and one in the far past list no more buckets than the facts have."""
     facts = spark.createDataFrame([(1, "2024-01-31"), (1, "2024-03-01"), (2, "2024-02-01")], "k int, d string").withColumn("d", F.col("d").cast("date"))
