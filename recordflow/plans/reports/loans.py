@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,9 +195,7 @@ def trial_detail(
         [F.col("updated_on").desc(), F.col("bill_number").desc(), rank.desc(), F.col("part_id"), F.col("dealer_id")],
     )
     ext = counters.where(F.col("code").isin(TRIAL_EXTENSION_CODES) & (F.col("period") == LIFE))
-    ext = latest_by_max(ext, ["account_id"], "day").groupBy("account_id", "ledger_id", "code").agg(
-        F.sum(F.coalesce("counter", F.lit(0))).cast("bigint").alias("extensions")
-    )
+    ext = _newest_sums(ext, "day", F.sum(F.coalesce("counter", F.lit(0))).cast("bigint").alias("extensions"))
     rate = latest_per_key(
         rates,
         ["account_id"],
@@ -248,6 +246,18 @@ def trial_detail(
     ).distinct()
 
 
+def _newest_sums(counters: DataFrame, day: str, total: Column) -> DataFrame:
+    """(account_id, ledger_id, code, the total of its rows) on each account's newest day; accounts without a day have none.
+
+    Counters are read once. A day's rows of a code are one row before the days are ranked, and the planner keeps
+    a task's newest day of an account below the shuffle, so that an account with very many rows does not travel.
+    """
+    known = counters.where(F.col("account_id").isNotNull() & F.col(day).isNotNull())
+    days = known.groupBy("account_id", "ledger_id", "code", day).agg(total)
+    rank = F.rank().over(Window.partitionBy("account_id").orderBy(F.col(day).desc()))
+    return days.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", day)
+
+
 def trial_balances(balances: DataFrame, date: str) -> DataFrame:
     """Balances by code and period, valid on the date at their latest batch day, ties kept."""
     wanted = F.lit(False)
@@ -274,6 +284,8 @@ def trial_balance(detail: DataFrame, balances: DataFrame, date: str, params: Map
 
 
 def trial_pages(rows: DataFrame, size: int = 100) -> DataFrame:
+    """The rows are staged first: the range sort reads its input twice, and would run the report's joins twice."""
+    rows = stage(rows, "trial")
     return paginate(rows, [F.col("loan_number"), F.col("extensions"), *[F.col(c) for c in rows.columns]], size)
 
 

@@ -82,3 +82,26 @@ def test_forgiven_debt_reads_balances_once(spark):
     inputs = Inputs(spark, SF_DIR)
     df = loans.forgiven_debt(inputs.deposit_account, inputs.period_balance, inputs.customer_master, 1998)
     assert scans(df)["orders"] == 1
+
+
+def test_trial_detail_reads_counters_once_for_the_newest_extensions(spark):
+    """By hand: the newest day's counters of the account, by ledger and code; a null day or account has none."""
+    counters = spark.createDataFrame(
+        [("a", "1", "x", 5, "2024-01-02"), ("a", "1", "x", None, "2024-01-02"), ("a", "2", "y", 7, "2024-01-02"), ("a", "1", "x", 90, "2024-01-01")]
+        + [("a", "1", "y", 80, None), ("b", "1", "x", 3, None), (None, "1", "x", 4, "2024-01-02"), ("c", None, "x", None, "2024-01-05")],
+        "account_id string, ledger_id string, code string, counter bigint, day string",
+    )
+    got = loans._newest_sums(counters, "day", F.sum(F.coalesce("counter", F.lit(0))).alias("n"))
+    assert sorted(map(tuple, got.collect()), key=repr) == [("a", "1", "x", 5), ("a", "2", "y", 7), ("c", None, "x", 0)]
+    t = Inputs(spark, SF_DIR)
+    detail = loans.trial_detail(t.loan_account, t.customer_master, t.org_unit, t.loan_bill, t.loan_counter, t.loan_balance, t.loan_rate, "1999-07-28")
+    assert "LeftSemi" not in plan(detail)  # a second read of the counters, for their newest day
+
+
+def test_trial_pages_run_the_report_once(spark, monkeypatch):
+    """The range sort, which reads its input twice, gets rows that were written."""
+    seen = []
+    monkeypatch.setattr(loans, "paginate", lambda rows, *rest: seen.append(rows) or rows)
+    rows = spark.range(3).select(F.col("id").cast("string").alias("loan_number"), F.col("id").alias("extensions")).join(spark.range(3), F.lit(True))
+    assert loans.trial_pages(rows).count() == 9
+    assert "Join" not in plan(seen[0])
