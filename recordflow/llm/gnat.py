@@ -10,6 +10,11 @@ distance of *all* rows there. A subtree is left out where, for some split point,
 what the anchor's annulus allows. The tree has two such levels; a leaf is dealt to blocks of about
 ``BLOCK`` rows, each of which is a third node with leaves that are compared exactly. The sample decides
 the work, never the result.
+
+The blocks lie in files of the shared folder, in the order of the leaves. A task searches for a block of
+anchors: it starts with their own leaves, then goes through the others' files, a block at a time, and keeps
+the best rows of each window, which narrow it. So neither rows nor anchors are sent to each other, and a
+task holds its anchors and one file, whatever the number of leaves.
 """
 
 from __future__ import annotations
@@ -20,13 +25,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordflow.llm.common import staged
+from recordflow.llm.common import read_array, staged, write_file
+from recordflow.session import scratch_path
 
-#: Rows of a block of a leaf, and anchors of a block of anchors, on average.
+#: Rows of a block of a leaf, on average.
 BLOCK = 512
+#: Vectors of a file of blocks, at most, and the files and blocks of anchors that there are at least, if there are as many rows.
+FILE_BYTES = 16 << 20
+LEAST_FILES = 64
+LEAST_ANCHOR_BLOCKS = 16
+#: Anchors that are compared with a block at once, at most.
+MOST_ANCHORS = 4096
+#: Scores that are sorted into the windows of a block of anchors at once.
+MOST_ADDED = 1 << 17
+#: Pairs of anchors and rows a label from which each label's anchors and rows are compared on their own.
+PAIRS_A_LABEL = 1 << 14
 #: Rows that split points are picked from.
 SAMPLE = 16_384
 MOST_FAN = 64
@@ -37,20 +53,28 @@ MOST_COMPONENT = float(1 << 18)
 #: Rounding of squared distances, as a share of the largest one.
 _SLACK = 1e-12
 _NO_BOUND = -(1 << 62)
-_WINDOW = "array<struct<no int, wid int, low long, high long>>"
 
 
-def scaled(vector: Column) -> Column:
-    """``floor(256 * x)`` of each component, as integers."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * 256).cast("int"))
+def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``floor(256 * x)`` of each component, as integers; rows with a component that takes no part go."""
+    for batch in batches:
+        vec = batch.column("vec")
+        values = vec.flatten().to_numpy(zero_copy_only=False)  # null: not a number
+        ends = np.concatenate([[0], np.cumsum(vec.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int32)
+        fits = np.abs(values) < MOST_COMPONENT
+        good = np.diff(np.concatenate([[0], np.cumsum(~fits)])[ends]) == 0
+        whole = np.floor(np.where(fits, values, 0) * 256).astype(np.int32)
+        vec = pa.ListArray.from_arrays(pa.array(ends), pa.array(whole))
+        out = pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), vec], ["vec_id", "label", "vec"])
+        yield out.filter(pa.array(good))
 
 
 def usable(vectors: DataFrame, vector: str, label: Column) -> DataFrame:
     """(vec_id, label, vec) of the rows that take part."""
-    small = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < MOST_COMPONENT))
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & small)
-    rows = rows.select(F.col("vec_id").cast("long"), label.cast("int").alias("label"), scaled(F.col(vector)).alias("vec"))
-    return rows.where(F.col("label").isNotNull())
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull())
+    vec = F.col(vector).cast("array<double>").alias("vec")
+    rows = rows.select(F.col("vec_id").cast("long"), label.cast("int").alias("label"), vec)
+    return rows.where(F.col("label").isNotNull()).mapInArrow(scaled, "vec_id long, label int, vec array<int>")
 
 
 # -- geometry ---------------------------------------------------------------------------------------
@@ -91,36 +115,42 @@ def spans(d2: np.ndarray, child: np.ndarray, k: int, slack: float) -> tuple[np.n
 def alive(d: np.ndarray, inner: np.ndarray, outer: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Which children (columns) may hold a point of each annulus. ``d``: distances to the split points."""
     out = np.repeat((low <= high).all(0)[None], len(d), 0)
+    least, most = np.maximum(d - outer[:, None], inner[:, None] - d), d + outer[:, None]
     for i in range(len(low)):
-        near, far = d[:, i, None], high[i][None]
-        out &= (low[i][None] <= near + outer[:, None]) & (far >= near - outer[:, None])
-        out &= near + far >= inner[:, None]
+        out &= (low[i][None] <= most[:, i, None]) & (high[i][None] >= least[:, i, None])
     return out
 
 
 class Annuli:
-    """Windows of scores around anchors, as distances."""
+    """Windows of scores around anchors, as distances. ``low`` and ``high`` may be narrowed later."""
 
     def __init__(self, anchors: np.ndarray, low: np.ndarray, high: np.ndarray, longest: float):
         x = anchors.astype(np.float64)
-        self.top = (x * x).sum(1) + longest
+        self.norm = (x * x).sum(1)
+        self.top = self.norm + longest
         self.slack = _SLACK * float(self.top.max(initial=1.0))
         self.points = np.concatenate([x, np.zeros((len(x), 1))], 1)
-        self.inner = np.sqrt(np.maximum(0, self.top - 2.0 * high - self.slack))
-        self.outer = np.where(low <= _NO_BOUND, np.inf, np.sqrt(np.maximum(0, self.top - 2.0 * low) + self.slack))
+        self.low, self.high = low, high
 
     def alive(self, splits: np.ndarray, low: np.ndarray, high: np.ndarray, rows=slice(None)) -> np.ndarray:
-        d2 = squared(self.points[rows], splits)
+        d2 = self.norm[rows][:, None] + (splits * splits).sum(1)[None] - 2 * (self.points[rows] @ splits.T)
+        inner = np.sqrt(np.maximum(0, self.top[rows] - 2.0 * self.high[rows] - self.slack))
+        outer = np.sqrt(np.maximum(0, self.top[rows] - 2.0 * self.low[rows]) + self.slack)
+        outer = np.where(self.low[rows] <= _NO_BOUND, np.inf, outer)
         give = math.sqrt(self.slack)  # d is off by no more than this, however small it is
-        return alive(np.sqrt(d2), self.inner[rows] - 2 * give, self.outer[rows] + 2 * give, low, high)
+        return alive(np.sqrt(np.maximum(0, d2)), inner - 2 * give, outer + 2 * give, low, high)
+
+
+def exact_kind(longest: float) -> type:
+    """The numbers that hold every sum of an inner product exactly: floats as long as none can pass their digits."""
+    return np.float32 if longest < 2.0**24 else np.float64 if longest < 2.0**52 else np.int64
 
 
 def scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products, exact: in floats as long as no sum can pass 2**53."""
-    a, b = anchors.astype(np.float64), rows.astype(np.float64)
-    if math.sqrt((a * a).sum(1).max(initial=0)) * math.sqrt((b * b).sum(1).max(initial=0)) < 2.0**52:
-        return (a @ b.T).astype(np.int64)
-    return anchors.astype(np.int64) @ rows.astype(np.int64).T
+    """Inner products, exact."""
+    squares = [(x.astype(np.float64) ** 2).sum(1).max(initial=0) for x in (anchors, rows)]
+    kind = exact_kind(math.sqrt(squares[0]) * math.sqrt(squares[1]))
+    return (anchors.astype(kind) @ rows.astype(kind).T).astype(np.int64)
 
 
 # -- the tree ---------------------------------------------------------------------------------------
@@ -160,18 +190,24 @@ class Tree:
             low, high = spans(squared(points[own], splits), child, len(splits), slack)
             yield int(node), low, high
 
+    def _cut(self, node: int) -> list[np.ndarray]:
+        k = len(self.points_of(node))
+        return [x[:k, :k] for x in self.ranges[node]]
+
+    def below(self, rings: Annuli, c: int, rows: np.ndarray) -> dict[int, np.ndarray]:
+        """Which of some windows may have a row in each leaf below a child of the root."""
+        low, high = self._cut(-1)
+        rows = rows[rings.alive(self.root, low[:, [c]], high[:, [c]], rows)[:, 0]]
+        if not len(rows):
+            return {}
+        below = rings.alive(self.inner[c], *self._cut(c), rows)
+        return {c * self.fan + int(j): rows[below[:, j]] for j in np.flatnonzero(below.any(0))}
+
     def visits(self, rings: Annuli) -> dict[int, np.ndarray]:
         """The windows that may have a row in each leaf."""
         out: dict[int, np.ndarray] = {}
-        cut = lambda node: [x[: len(self.points_of(node)), : len(self.points_of(node))] for x in self.ranges[node]]
-        top = rings.alive(self.root, *cut(-1))
         for c in range(len(self.root)):
-            rows = np.flatnonzero(top[:, c])
-            if len(rows):
-                below = rings.alive(self.inner[c], *cut(c), rows)
-                for j in range(below.shape[1]):
-                    if below[:, j].any():
-                        out[c * self.fan + j] = rows[below[:, j]]
+            out |= self.below(rings, c, np.arange(len(rings.top)))
         return out
 
 
@@ -188,11 +224,27 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def _unpack(blobs: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs.to_pylist()), np.int32).reshape(len(blobs), dim)
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, components and the largest square of a length, for each batch."""
+    for batch in batches:
+        if batch.num_rows:
+            dim = int(np.asarray(batch.column("vec").value_lengths()).max())
+            longest = (_matrix(batch.column("vec"), dim).astype(np.float64) ** 2).sum(1).max()
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "dim": pa.array([dim], pa.int32()), "longest": [float(longest)]})
+
+
+def stored_kind(longest: float) -> type:
+    """The narrowest integers that hold every component."""
+    return np.int16 if longest < 2.0**30 else np.int32
+
+
+def _unpack(blobs: pa.Array, dim: int, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs.to_pylist()), kind).reshape(len(blobs), dim)
 
 
 def _assign(tree: Tree, dim: int):
+    kind = stored_kind(tree.longest)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, part = 0, TaskContext.get().partitionId()
         for batch in batches:
@@ -203,7 +255,7 @@ def _assign(tree: Tree, dim: int):
                 [
                     batch.column("vec_id"),
                     batch.column("label"),
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                    pa.array([r.tobytes() for r in rows.astype(kind)], pa.binary()),
                     pa.array(tree.leaves(rows), pa.int32()),
                     pa.array(deal.astype(np.int32)),
                 ],
@@ -219,7 +271,7 @@ def _measure(tree: Tree, dim: int):
         for batch in batches:
             if batch.num_rows:
                 leaf = np.asarray(batch.column("leaf"))
-                for node, low, high in tree.measure(_unpack(batch.column("vec"), dim), leaf):
+                for node, low, high in tree.measure(_unpack(batch.column("vec"), dim, stored_kind(tree.longest)), leaf):
                     a, b = seen.get(node, (low, high))
                     seen[node] = np.minimum(a, low), np.maximum(b, high)
         for node, (low, high) in seen.items():
@@ -233,99 +285,284 @@ def _measure(tree: Tree, dim: int):
     return run
 
 
-def _pack(dim: int, longest: float, split: bool):
-    """One row with all rows of a block, in the order of its children."""
+class Block:
+    """Some rows of a leaf in the order of the children of a node of their own, as bytes of a file."""
+
+    def __init__(self, ids, splits, low, high, labels, ends, rows):
+        self.ids, self.splits, self.low, self.high = ids, splits, low, high
+        self.labels, self.ends, self.rows = labels, ends, rows
+
+    @classmethod
+    def of(cls, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, longest: float) -> Block:
+        points = lifted(rows, longest)
+        splits = far_points(points, LOCAL)
+        d2 = squared(points, splits)
+        child = d2.argmin(1)
+        low, high = spans(d2, child, len(splits), _SLACK * 4 * max(1.0, longest))
+        order = np.argsort(child, kind="stable")
+        ends = np.searchsorted(child[order], np.arange(len(splits) + 1))
+        return cls(ids[order], splits, low, high, labels[order], ends, rows[order])
+
+    @staticmethod
+    def _parts(n: int, k: int, dim: int, kind: type) -> list[tuple]:
+        shapes = (n,), (k, dim + 1), (k, k), (k, k), (n,), (k + 1,), (n, dim)
+        return list(zip((np.int64, np.float64, np.float64, np.float64, np.int32, np.int32, kind), shapes))
+
+    def to_bytes(self, kind: type) -> bytes:
+        parts = [self.ids, self.splits, self.low, self.high, self.labels, self.ends, self.rows]
+        kinds = self._parts(*self.rows.shape[:1], len(self.splits), self.rows.shape[1], kind)
+        out = np.array([len(self.ids), len(self.splits)], np.int64).tobytes()
+        out += b"".join(np.ascontiguousarray(x, k).tobytes() for x, (k, _) in zip(parts, kinds))
+        return out + bytes(-len(out) % 8)
+
+    @classmethod
+    def read(cls, data: np.ndarray, dim: int, kind: type) -> Block:
+        n, k = (int(x) for x in data[:16].view(np.int64))
+        at, out = 16, []
+        for part, shape in cls._parts(n, k, dim, kind):
+            size = math.prod(shape) * np.dtype(part).itemsize
+            out.append(np.frombuffer(data, part, math.prod(shape), at).reshape(shape))
+            at += size
+        return cls(*out)
+
+
+def _write_blocks(folder: str, per_file: int, dim: int, longest: float):
+    """A file with the blocks of a group: where each begins, then the blocks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kind = stored_kind(longest)
+        ids, deal = np.asarray(table["vec_id"]).astype(np.int64), np.asarray(table["deal"])
+        labels, block = np.asarray(table["label"]).astype(np.int32), np.asarray(table["block"])
+        rows = _unpack(table["vec"].combine_chunks(), dim, kind)
+        order = np.lexsort((deal, ids, block))
+        file = int(block[0]) // per_file
+        cuts = np.searchsorted(block[order], file * per_file + np.arange(per_file + 1))
+        parts, starts = [], [8 * (per_file + 1)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            some = order[a:b]
+            parts.append(Block.of(ids[some], labels[some], rows[some], longest).to_bytes(kind) if a < b else b"")
+            starts.append(starts[-1] + len(parts[-1]))
+        write_file(f"{folder}/{file:08d}", [np.array(starts, np.int64).tobytes(), *parts])
+        return pa.table({"file": pa.array([file], pa.int32())})
+
+    return run
+
+
+def _pack_anchors(dim: int, longest: float):
+    """One row with all anchors of a block."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("vec_id", "ascending"), ("deal", "ascending")])
         ids, labels = np.asarray(table["vec_id"]).astype(np.int64), np.asarray(table["label"]).astype(np.int32)
-        leaf = np.asarray(table["leaf"]).astype(np.int32)
-        rows = _unpack(table["vec"].combine_chunks(), dim)
-        extra: dict[str, np.ndarray] = {}
-        if split:
-            points = lifted(rows, longest)
-            splits = far_points(points, LOCAL)
-            d2 = squared(points, splits)
-            child = d2.argmin(1)
-            low, high = spans(d2, child, len(splits), _SLACK * 4 * max(1.0, longest))
-            order = np.argsort(child, kind="stable")
-            ids, labels, rows = ids[order], labels[order], rows[order]
-            ends = np.searchsorted(child[order], np.arange(len(splits) + 1)).astype(np.int32)
-            extra = {"splits": splits, "low": low, "high": high, "ends": ends}
-        cells = {"leaf": pa.array(leaf[:1], pa.int32()), "block": pa.array([table["block"][0].as_py()], pa.int32())}
-        for name, x in ({"ids": ids, "labels": labels, "rows": rows, "homes": leaf} | extra).items():
-            cells[name] = pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())
+        homes, rows = np.asarray(table["leaf"]).astype(np.int32), table["vec"].to_pylist()
+        cells = {"block": pa.array([table["block"][0].as_py()], pa.int32())}
+        for name, x in {"ids": ids.tobytes(), "labels": labels.tobytes(), "homes": homes.tobytes(), "rows": b"".join(rows)}.items():
+            cells[name] = pa.array([x], pa.binary())
         return pa.table(cells)
 
     return run
 
 
-def _visit(tree: Tree, dim: int, home: bool):
-    """The leaves that the windows of a block of anchors go to, with what a leaf has to know of them."""
+class Leaves:
+    """The blocks of each leaf, in the files of the shared folder. Sent to tasks; each holds the file that it reads."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                rows = np.frombuffer(r["rows"], np.int32).reshape(-1, dim)
-                ids, labels = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["labels"], np.int32)
-                w = sorted((x["no"], x["wid"], x["low"], x["high"]) for x in r["windows"])
-                no, wid, low, high = (np.array(x, np.int64) for x in zip(*w))
-                if home:
-                    homes = np.frombuffer(r["homes"], np.int32)[no]
-                    found = {int(x): np.flatnonzero(homes == x) for x in np.unique(homes)}
-                else:
-                    found = tree.visits(Annuli(rows[no], low, high, tree.longest))
-                out = []
-                for leaf, use in found.items():
-                    head = np.stack([no[use], wid[use], low[use], high[use], ids[no[use]], labels[no[use]]], 1)
-                    mine, local = np.unique(no[use], return_inverse=True)
-                    head = np.concatenate([head, local[:, None]], 1).astype(np.int64)
-                    out.append((leaf, r["block"], head.tobytes(), np.ascontiguousarray(rows[mine]).tobytes()))
-                if out:
-                    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*out), kinds)], ["leaf", "ablock", "head", "anchors"]
-                    )
+    def __init__(self, folder: str, per_file: int, blocks: dict[int, tuple[int, int]], files: set[int], dim: int, kind: type):
+        self.folder, self.per_file, self.places, self.files = folder, per_file, blocks, files
+        self.dim, self.kind = dim, kind
+        self.at, self.data = -1, None
+
+    def blocks(self, leaf: int) -> Iterator[Block]:
+        first, n = self.places.get(leaf, (0, 0))
+        for block in range(first, first + n):
+            file, slot = divmod(block, self.per_file)
+            if file not in self.files:
+                continue
+            if file != self.at:
+                self.at, self.data = file, np.asarray(read_array(f"{self.folder}/{file:08d}", np.uint8))
+            a, b = self.data[8 * slot : 8 * slot + 16].view(np.int64)
+            if a < b:
+                yield Block.read(self.data[a:b], self.dim, self.kind)
 
-    return run
 
+class Best:
+    """The best rows so far of some windows of each anchor (rows: anchors): by score, then by smaller id.
+
+    ``low`` rises to the last of them once there are enough. A window without scores has ``low > high``.
+    What is added counts from ``settle`` on, which follows by itself when as much waits as there are anchors.
+    """
 
-def _scan(dim: int, longest: float, same: bool, most: int):
-    """The best ``most`` rows of a block for each window that visits it."""
-
-    def best(r: dict) -> np.ndarray:
-        head = np.frombuffer(r["head"], np.int64).reshape(-1, 7)
-        anchors = np.frombuffer(r["anchors"], np.int32).reshape(-1, dim)
-        ids, labels = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["labels"], np.int32)
-        rows = np.frombuffer(r["rows"], np.int32).reshape(-1, dim)
-        ends, splits = np.frombuffer(r["ends"], np.int32), np.frombuffer(r["splits"]).reshape(-1, dim + 1)
-        low, high = (np.frombuffer(r[x]).reshape(len(splits), -1) for x in ("low", "high"))
-        use = Annuli(anchors[head[:, 6]], head[:, 2], head[:, 3], longest).alive(splits, low, high)
-        parts = []
-        for c in range(len(splits)):
-            a, b = ends[c], ends[c + 1]
-            mine = np.flatnonzero(use[:, c])
-            for at in range(0, len(mine), 1024) if a < b else ():
-                some = mine[at : at + 1024]
-                asked, place = np.unique(head[some, 6], return_inverse=True)
-                s = scores(anchors[asked], rows[a:b])[place]
-                fits = (s >= head[some, 2, None]) & (s <= head[some, 3, None]) & (ids[a:b] != head[some, 4, None])
-                fits &= (labels[a:b] == head[some, 5, None]) == same
-                x, y = np.nonzero(fits)
-                parts.append(np.stack([some[x], s[x, y], ids[a:b][y]], 1))
-        found = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
-        found = found[np.lexsort((found[:, 2], -found[:, 1], found[:, 0]))]
-        first = np.searchsorted(found[:, 0], found[:, 0])
-        found = found[np.arange(len(found)) - first < most]
-        return np.concatenate([np.full((len(found), 1), r["ablock"]), head[found[:, 0], :2], found[:, 1:]], 1)
+    def __init__(self, low: np.ndarray, high: np.ndarray, most: int):
+        self.low, self.high, self.most = np.where(low <= high, low, -_NO_BOUND), high, most
+        self.score = np.full((*low.shape, most), _NO_BOUND)
+        self.ids = np.zeros((*low.shape, most), np.int64)
+        self.found = np.zeros(low.shape, np.int64)
+        self.top = np.where(low <= high, high, _NO_BOUND).max(1, initial=_NO_BOUND)
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+
+    def bounds(self, use, first_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The scores with which rows with ids from ``first_id`` on get into some window of some anchors."""
+        tied = (self.found[use] == self.most) & (self.ids[use][..., -1] <= first_id)
+        return (self.low[use] + tied).min(1, initial=-_NO_BOUND), self.top[use]
+
+    def add(self, anchor: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        self.waiting.append((anchor, score, ids))
+        if sum(len(x) for x, _, _ in self.waiting) >= len(self.low):
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        anchor, score, ids = (np.concatenate(x) for x in zip(*self.waiting))
+        self.waiting.clear()
+        wide = self.low.shape[1]
+        at, got = [], []
+        for w in range(wide):
+            low, full = self.low[anchor, w], self.found[anchor, w] == self.most
+            fits = (score >= low) & (score <= self.high[anchor, w])
+            fits &= (score > low) | ~full | (ids < self.ids[anchor, w, -1])
+            fits = np.flatnonzero(fits)
+            at.append(anchor[fits] * wide + w)
+            got.append(fits)
+        at, got = np.concatenate(at), np.concatenate(got)
+        if not len(at):
+            return
+        windows = np.unique(at)
+        a, w = np.divmod(windows, wide)
+        old = np.arange(self.most)[None] < self.found[a, w][:, None]
+        at = np.concatenate([np.repeat(windows, self.found[a, w]), at])
+        score = np.concatenate([self.score[a, w][old], score[got]])
+        ids = np.concatenate([self.ids[a, w][old], ids[got]])
+        order = np.lexsort((ids, -score, at))
+        at = at[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        order, at, rank = (x[rank < self.most] for x in (order, at, rank))
+        self.score[at // wide, at % wide, rank] = score[order]
+        self.ids[at // wide, at % wide, rank] = ids[order]
+        self.found[a, w] = np.bincount(np.searchsorted(windows, at), minlength=len(windows))
+        full = self.found[a, w] == self.most
+        self.low[a[full], w[full]] = self.score[a[full], w[full], -1]
+
+
+class Search:
+    """Some anchors, in the order of their labels, and the rows that their windows are looked for in."""
+
+    def __init__(self, tree: Tree, leaves: Leaves, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, homes: np.ndarray):
+        self.tree, self.leaves, self.ids, self.labels, self.homes = tree, leaves, ids, labels, homes
+        self.kind = exact_kind(tree.longest)
+        self.points = rows.astype(self.kind)
+        self.turn, self.pays = 0, True
+        low, high = np.zeros((2, len(rows)), np.int64)
+        self.rings = Annuli(rows, low, high, tree.longest)
+
+    def best(self, low: np.ndarray, high: np.ndarray, same: bool, most: int) -> Best:
+        """The best rows of each window (rows: anchors). ``same``: of the anchor's label, else of other labels."""
+        best = Best(low, high, most)
+        if not best.low.size or not most:
+            return best
+        for leaf in np.unique(self.homes):
+            self._scan(int(leaf), np.flatnonzero(self.homes == leaf), best, same)
+        for c in range(len(self.tree.root)):
+            use = self._narrowed(best, np.arange(len(self.ids)), np.iinfo(np.int64).min)
+            for leaf, rows in self.tree.below(self.rings, c, use).items():
+                self._scan(leaf, rows[self.homes[rows] != leaf], best, same)
+        best.settle()
+        return best
+
+    def _narrowed(self, best: Best, use: np.ndarray, first_id: int) -> np.ndarray:
+        """The anchors that still look for scores of rows with such ids; their annuli are narrowed to these."""
+        low, high = best.bounds(use, first_id)
+        self.rings.low[use], self.rings.high[use] = low, high
+        return use if (low <= high).all() else use[low <= high]
+
+    def _scan(self, leaf: int, rows: np.ndarray, best: Best, same: bool) -> None:
+        for block in self.leaves.blocks(leaf) if len(rows) else ():
+            use = self._narrowed(best, rows, int(block.ids.min()))
+            if not len(use):
+                continue
+            use, mine = self._below(block, use)
+            if not len(use):
+                continue
+            labels = block.labels[mine]
+            if not same:
+                self._compare(block, use, mine, best, same)
+                continue
+            own = np.unique(labels)
+            if len(use) * len(mine) < PAIRS_A_LABEL * len(own):
+                use, mine = use[np.isin(self.labels[use], own)], mine[np.isin(labels, self.labels[use])]
+                self._compare(block, use, mine, best, same)
+                continue
+            ends = [np.searchsorted(self.labels[use], own, side) for side in ("left", "right")]
+            for label, a, b in zip(own, *ends):
+                if a < b:
+                    self._compare(block, use[a:b], mine[labels == label], best, same)
+
+    def _below(self, block: Block, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors with an annulus that meets a child of the block, and the rows of the children that any meets.
+
+        Asked as long as that leaves out a quarter of the pairs, and now and then.
+        """
+        self.turn += 1
+        mine = np.arange(len(block.ids))
+        if not self.pays and self.turn % 8:
+            return use, mine
+        pairs = len(use) * len(mine)
+        meet = self.rings.alive(block.splits, block.low, block.high, slice(None) if len(use) == len(self.ids) else use)
+        use, mine = use[meet.any(1)], mine[np.repeat(meet.any(0), np.diff(block.ends))]
+        self.pays = len(use) * len(mine) <= 0.75 * pairs
+        return use, mine
+
+    def _compare(self, block: Block, use: np.ndarray, mine: np.ndarray, best: Best, same: bool) -> None:
+        if not len(use) or not len(mine):
+            return
+        whole = len(use) == len(self.ids), len(mine) == len(block.ids)
+        low, high = (x[use].astype(self.kind) for x in (self.rings.low, self.rings.high))
+        s = (self.points if whole[0] else self.points[use]) @ (block.rows if whole[1] else block.rows[mine]).astype(self.kind).T
+        # few anchors have such a score in a block, once their windows are narrow
+        if not len(some := np.flatnonzero(s.max(1) >= low)):
+            return
+        s, use = s[some], use[some]
+        fits = (s >= low[some, None]) & (s <= high[some, None])
+        fits &= (self.labels[use][:, None] == block.labels[mine][None]) == same
+        fits &= self.ids[use][:, None] != block.ids[mine][None]
+        x, y = np.nonzero(fits)
+        for at in range(0, len(x), MOST_ADDED):
+            a, b = x[at : at + MOST_ADDED], y[at : at + MOST_ADDED]
+            best.add(use[a], s[a, b].astype(np.int64), block.ids[mine[b]])
+
+
+def _share(score: int, percent: int, up: bool) -> int:
+    """That many percent of a score, rounded, as far as scores go."""
+    return max(_NO_BOUND, min(-_NO_BOUND, -(-score * percent // 100) if up else score * percent // 100))
+
+
+def _mine(tree: Tree, leaves: Leaves, positives: int, negatives: int, window: tuple[int, int]):
+    """The hard negatives of blocks of anchors."""
+
+    def found(search: Search) -> tuple[np.ndarray, ...]:
+        n = len(search.ids)
+        near = search.best(np.full((n, 1), _NO_BOUND), np.full((n, 1), -_NO_BOUND), True, positives)
+        score, ids = near.score[:, 0], near.ids[:, 0]
+        low, high = (
+            np.array([_share(x, p, up) for x in score.ravel().tolist()], np.int64).reshape(score.shape)
+            for p, up in zip(window, (True, False))
+        )
+        asked = (np.arange(positives)[None] < near.found) & (score >= 0)
+        far = search.best(np.where(asked, low, 1), np.where(asked, high, 0), False, negatives)
+        a, w, rank = np.nonzero(np.arange(negatives)[None, None] < far.found[..., None])
+        return search.ids[a], ids[a, w], (rank + 1).astype(np.int32), far.ids[a, w, rank], score[a, w], far.score[a, w, rank]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["ablock", "no", "wid", "score", "vec_id"], [pa.int32()] * 3 + [pa.int64()] * 2
+        names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
         for batch in batches:
             for at in range(batch.num_rows):
-                got = best(batch.slice(at, 1).to_pylist()[0])
-                if len(got):
-                    yield pa.RecordBatch.from_arrays([pa.array(got[:, i]).cast(t) for i, t in enumerate(kinds)], names)
+                cell = lambda name, kind: np.frombuffer(batch.column(name)[at].as_py(), kind)  # noqa: B023, E731
+                ids, labels, homes = cell("ids", np.int64), cell("labels", np.int32), cell("homes", np.int32)
+                rows = cell("rows", leaves.kind).reshape(len(ids), leaves.dim)
+                order = np.argsort(labels, kind="stable")
+                for some in np.array_split(order, -(-len(order) // MOST_ANCHORS)):
+                    got = found(Search(tree, leaves, rows[some], ids[some], labels[some], homes[some]))
+                    if len(got[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], names)
 
     return run
 
@@ -337,14 +574,14 @@ class Index:
     """All usable rows in blocks of the tree's leaves, and the anchors among them in blocks of their own."""
 
     def __init__(self, rows: DataFrame, anchor: Column):
-        size = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-        n, dim, longest = rows.agg(F.count(F.lit(1)), F.max(F.size("vec")), F.max(size)).first()
+        rows = staged(rows, "usable")
+        sizes = rows.select("vec").mapInArrow(_sizes, "n long, dim int, longest double")
+        n, dim, longest = sizes.agg(F.sum("n"), F.max("dim"), F.max("longest")).first()
         self.empty = not n
         if self.empty:
             return
         self.dim, self.longest = max(1, dim), float(longest)
-        few = rows.orderBy(F.xxhash64("vec_id", "label", "vec")).limit(SAMPLE).select("vec").toArrow()
-        sample = np.unique(_matrix(few["vec"].combine_chunks(), self.dim), axis=0)
+        sample = np.unique(_matrix(_few(rows, n)["vec"].combine_chunks(), self.dim), axis=0)
         fan = min(max(2, math.ceil(math.sqrt(n / BLOCK))), MOST_FAN)
         self.tree = tree = Tree(sample, fan, self.longest)
         kinds = "vec_id long, label int, vec binary, leaf int, deal int"
@@ -357,58 +594,54 @@ class Index:
             low[r["i"], r["j"]], high[r["i"], r["j"]] = r["low"], r["high"]
         # A row for each leaf, 64 * 64 at most.
         counts = placed.groupBy("leaf").agg(F.count(F.lit(1)), F.count(F.when(anchor, 1))).orderBy("leaf").collect()
-        self.blocks = staged(self._blocks(placed, [(leaf, max(1, -(-c // BLOCK)), 0, 0) for leaf, c, _ in counts], True), "blocks")
+        self.leaves = self._write(placed, [(leaf, c) for leaf, c, _ in counts])
+        total = sum(c for _, _, c in counts)
+        # blocks and their size grow alike: all rows are read once for each block
+        size = max(1, min(-(-total // LEAST_ANCHOR_BLOCKS), MOST_ANCHORS, 4 * math.isqrt(total)))
         deals, at, held = [], 0, 0
         for leaf, _, c in counts:
             # leaves with few anchors share a block, one with many has several
-            if held and held + c > BLOCK:
+            if held and held + c > size:
                 at, held = at + 1, 0
-            parts = max(1, -(-c // BLOCK))
-            deals.append((leaf, parts, at, 1))
+            parts = max(1, -(-c // size))
+            deals.append((leaf, parts, at))
             at, held = (at, held + c) if parts == 1 else (at + parts, 0)
-        self.anchors = staged(self._blocks(placed.where(anchor), deals, False), "anchors")
-
-    def _blocks(self, placed: DataFrame, deals: list, shared: bool) -> DataFrame:
-        spark = placed.sparkSession
-        deal = spark.createDataFrame(deals, "leaf int, parts int, first int, other int")
-        block = (F.col("deal") % F.col("parts") + F.col("first")).cast("int").alias("block")
-        rows = placed.join(F.broadcast(deal), "leaf").select("vec_id", "label", "vec", "leaf", "deal", block)
-        keys = ["leaf", "block"] if shared else ["block"]
-        blobs = ["ids", "labels", "rows", "homes"] + (["splits", "low", "high", "ends"] if shared else [])
-        kinds = "leaf int, block int, " + ", ".join(f"{b} binary" for b in blobs)
-        return rows.groupBy(*keys).applyInArrow(_pack(self.dim, self.longest, shared), kinds)
-
-    def search(self, windows: DataFrame, same: bool, most: int, home: bool = False) -> DataFrame:
-        """The best rows of each window (block, no, wid, low, high): with ``rank``, ties by smaller id.
-
-        ``same``: rows of the anchor's label, else rows of other labels. ``home``: only in the anchor's own leaf.
-        """
-        by_block = windows.groupBy("block").agg(F.collect_list(F.struct("no", "wid", "low", "high")).alias("windows"))
-        asked = self.anchors.drop("leaf").join(by_block.select("block", F.col("windows").cast(_WINDOW)), "block")
-        visits = asked.mapInArrow(
-            _visit(self.tree, self.dim, home), "leaf int, ablock int, head binary, anchors binary"
-        )
-        met = visits.join(self.blocks.drop("homes"), "leaf")
-        kinds = "ablock int, no int, wid int, score long, vec_id long"
-        found = met.mapInArrow(_scan(self.dim, self.longest, same, most), kinds).withColumnRenamed("ablock", "block")
-        order = Window.partitionBy("block", "no", "wid").orderBy(F.desc("score"), "vec_id")
-        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-
-    def tightened(self, windows: DataFrame, same: bool, most: int) -> DataFrame:
-        """Windows cut at the last of the best rows that the anchor's own leaf has, where it has enough."""
-        keys = ["block", "no", "wid"]
-        seen = self.search(windows, same, most, home=True).where(F.col("rank") == most)
-        out = windows.join(seen.select(*keys, F.col("score").alias("enough")), keys, "left")
-        return out.withColumn("low", F.greatest("low", "enough")).drop("enough")
-
-
-def _list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            ids = np.frombuffer(r["ids"], np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {"block": pa.array([r["block"]] * len(ids), pa.int32()), "no": pa.array(range(len(ids)), pa.int32()), "anchor_id": ids}
-            )
+        kinds = "block int, ids binary, labels binary, homes binary, rows binary"
+        packed = self._dealt(placed.where(anchor), deals).groupBy("block").applyInArrow(_pack_anchors(self.dim, self.longest), kinds)
+        self.anchors = staged(packed, "anchors").repartitionByRange(at + 1, "block")
+
+    def _dealt(self, placed: DataFrame, deals: list) -> DataFrame:
+        """The rows with the block that they are dealt to, whatever ids they have."""
+        deal = placed.sparkSession.createDataFrame(deals, "leaf int, parts int, first int")
+        block = F.pmod(F.xxhash64("vec_id", "deal"), F.col("parts")) + F.col("first")
+        return placed.join(F.broadcast(deal), "leaf").select("vec_id", "label", "vec", "leaf", "deal", block.cast("int").alias("block"))
+
+    def _write(self, placed: DataFrame, counts: list[tuple[int, int]]) -> Leaves:
+        kind = stored_kind(self.longest)
+        folder = scratch_path(placed.sparkSession, "leaves")
+        places, at = {}, 0
+        for leaf, c in counts:
+            places[leaf] = at, max(1, -(-c // BLOCK))
+            at += places[leaf][1]
+        most = FILE_BYTES // (BLOCK * self.dim * np.dtype(kind).itemsize)
+        per_file = max(1, min(most, at // LEAST_FILES))
+        rows = self._dealt(placed, [(leaf, n, first) for leaf, (first, n) in places.items()])
+        file = (F.col("block") / per_file).cast("int").alias("file")
+        rows = rows.select("vec_id", "label", "vec", "deal", "block", file)
+        written = rows.groupBy("file").applyInArrow(_write_blocks(folder, per_file, self.dim, self.longest), "file int")
+        return Leaves(folder, per_file, places, {r["file"] for r in written.collect()}, self.dim, kind)
+
+
+def _few(rows: DataFrame, n: int) -> pa.Table:
+    """The rows with the smallest hashes, which split points are picked from."""
+    order = F.xxhash64("vec_id", "label", "vec")
+    if n > 4 * SAMPLE:
+        # all of them lie below twice their share of the hashes, unless rows repeat
+        below = rows.where(order < -(1 << 63) + (1 << 64) * 2 * SAMPLE // n)
+        few = below.orderBy(order).limit(SAMPLE).select("vec").toArrow()
+        if len(few) == SAMPLE:
+            return few
+    return rows.orderBy(order).limit(SAMPLE).select("vec").toArrow()
 
 
 def mine(
@@ -437,23 +670,4 @@ def mine(
     kinds = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     if index.empty:
         return vectors.sparkSession.createDataFrame([], kinds)
-    anchors = index.anchors.select("block", "ids").mapInArrow(_list_anchors, "block int, no int, anchor_id long")
-    whole = anchors.select("block", "no", F.lit(0).alias("wid"), F.lit(_NO_BOUND).alias("low"), F.lit(-_NO_BOUND).alias("high"))
-    near = index.search(index.tightened(whole, True, positives), True, positives)
-    near = near.select("block", "no", F.col("rank").alias("wid"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
-    near = staged(near, "positives")
-    exact = "cast(cast(positive_score as decimal(30, 0))"
-    low = F.expr(f"{exact} * {window[0]} + 99 as decimal(38, 0)) div 100")
-    high = F.expr(f"{exact} * {window[1]} as decimal(38, 0)) div 100")
-    asked = near.where("positive_score >= 0").select("block", "no", "wid", low.alias("low"), high.alias("high"))
-    asked = staged(index.tightened(asked.where("low <= high"), False, negatives), "windows")
-    got = index.search(asked, False, negatives)
-    out = got.join(near, ["block", "no", "wid"]).join(anchors, ["block", "no"])
-    return out.select(
-        "anchor_id",
-        "positive_id",
-        F.col("rank").cast("int").alias("rank"),
-        F.col("vec_id").alias("negative_id"),
-        "positive_score",
-        F.col("score").alias("negative_score"),
-    )
+    return index.anchors.mapInArrow(_mine(index.tree, index.leaves, positives, negatives, window), kinds)

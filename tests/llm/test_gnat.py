@@ -105,3 +105,68 @@ def test_subtrees_are_left_out():
     hit = np.isin(leaf, list(found))
     assert set(np.flatnonzero(gnat.scores(x[:1], x)[0] >= top)) <= set(np.flatnonzero(hit))
     assert hit.mean() < 0.5
+
+
+def test_neither_rows_nor_anchors_are_sent_to_leaves(spark, monkeypatch):
+    monkeypatch.setattr(gnat, "BLOCK", 16)
+    found = gnat.mine(frame(spark, clustered(900, 8, 6)), F.col("vec_id") % 100 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "Aggregate" not in plan
+
+
+def test_anchors_are_dealt_evenly_whatever_their_ids(spark, monkeypatch):
+    monkeypatch.setattr(gnat, "BLOCK", 16)
+    one = [(5 * i, [0.5, 0.25], i % 3) for i in range(3200)]
+    rows = gnat.usable(frame(spark, one).coalesce(1), "embedding", F.col("label"))
+    index = gnat.Index(rows, F.col("vec_id") % 100 == 0)
+    sizes = [r[0] // 8 for r in index.anchors.select(F.length("ids")).collect()]
+    assert sum(sizes) == 160 and max(sizes) <= 25
+
+
+@pytest.mark.parametrize("files, blocks, pairs", [(1, 1, 1), (7, 40, 1 << 30)])
+def test_files_and_blocks_of_any_size(spark, monkeypatch, files, blocks, pairs):
+    monkeypatch.setattr(gnat, "BLOCK", 8)
+    monkeypatch.setattr(gnat, "LEAST_FILES", files)
+    monkeypatch.setattr(gnat, "LEAST_ANCHOR_BLOCKS", blocks)
+    monkeypatch.setattr(gnat, "PAIRS_A_LABEL", pairs)
+    monkeypatch.setattr(gnat, "MOST_ADDED", 50)
+    rows = clustered(500, 5, 7)
+    rows += [(20_000 + i, rows[i % 9][1], i % 5) for i in range(100)] + rows[:60]
+    assert mined(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_the_sample_is_the_smallest_hashes(spark, monkeypatch, copies):
+    monkeypatch.setattr(gnat, "SAMPLE", 30)
+    rows = gnat.usable(frame(spark, clustered(400, 3, 8)[:: copies] * copies), "embedding", F.col("label"))
+    every = rows.orderBy(F.xxhash64("vec_id", "label", "vec")).limit(30).select("vec").collect()
+    assert gnat._few(rows, rows.count()).column("vec").to_pylist() == [r["vec"] for r in every]
+
+
+def test_best_rows_of_windows():
+    rng = np.random.default_rng(9)
+    low, high = np.array([[-50, 0], [10, 1], [-5, -50]]), np.array([[50, 9], [9, 30], [5, 50]])
+    best = gnat.Best(low, high, 4)
+    seen = []
+    for first in rng.permutation(40) * 10:
+        a, s, ids = rng.integers(0, 3, 12), rng.integers(-12, 12, 12), rng.integers(first, first + 10, 12)
+        least, most = best.bounds(np.arange(3), int(first))
+        use = (s >= least[a]) & (s <= most[a])
+        best.add(a[use], s[use], ids[use])
+        seen += zip(a, s, ids)
+    best.settle()
+    for a in range(3):
+        for w in range(2):
+            fits = sorted((-s, i) for x, s, i in seen if x == a and low[a, w] <= s <= high[a, w])[:4]
+            n = best.found[a, w]
+            assert list(zip(-best.score[a, w, :n], best.ids[a, w, :n])) == fits
+
+
+def test_blocks_come_back_from_their_bytes():
+    rng = np.random.default_rng(10)
+    for n, dim, kind in ((1, 1, np.int16), (37, 5, np.int16), (70, 3, np.int32)):
+        rows = rng.integers(-999, 999, (n, dim)).astype(np.int32)
+        one = gnat.Block.of(np.arange(n), rng.integers(0, 3, n), rows, float((rows.astype(float) ** 2).sum(1).max()))
+        data = np.frombuffer(one.to_bytes(kind), np.uint8)
+        two = gnat.Block.read(data, dim, kind)
+        assert len(data) % 8 == 0 and all(np.array_equal(x, vars(two)[name]) for name, x in vars(one).items())
