@@ -41,8 +41,13 @@ LEAST_ANCHOR_BLOCKS = 16
 MOST_ANCHORS = 4096
 #: Scores that are sorted into the windows of a block of anchors at once.
 MOST_ADDED = 1 << 17
-#: Pairs of anchors and rows a label from which each label's anchors and rows are compared on their own.
+#: Pairs of anchors and rows that blocks are put together for: of all labels, of the anchors' own, and of one label alone.
+PAIRS = 1 << 20
+PAIRS_OF_SAME = 1 << 22
 PAIRS_A_LABEL = 1 << 14
+#: Bytes of vectors that are put together, at most, and scores that are made at once.
+QUEUE_BYTES = 1 << 20
+SCORES = 1 << 18
 #: Rows that split points are picked from.
 SAMPLE = 16_384
 MOST_FAN = 64
@@ -320,9 +325,8 @@ class Block:
         n, k = (int(x) for x in data[:16].view(np.int64))
         at, out = 16, []
         for part, shape in cls._parts(n, k, dim, kind):
-            size = math.prod(shape) * np.dtype(part).itemsize
-            out.append(np.frombuffer(data, part, math.prod(shape), at).reshape(shape))
-            at += size
+            out.append(np.ndarray(shape, part, data, at))
+            at += out[-1].nbytes
         return cls(*out)
 
 
@@ -398,6 +402,7 @@ class Best:
         self.found = np.zeros(low.shape, np.int64)
         self.top = np.where(low <= high, high, _NO_BOUND).max(1, initial=_NO_BOUND)
         self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.due = 0
 
     def bounds(self, use, first_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The scores with which rows with ids from ``first_id`` on get into some window of some anchors."""
@@ -406,14 +411,15 @@ class Best:
 
     def add(self, anchor: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         self.waiting.append((anchor, score, ids))
-        if sum(len(x) for x, _, _ in self.waiting) >= len(self.low):
+        self.due += len(anchor)
+        if self.due >= len(self.low):
             self.settle()
 
     def settle(self) -> None:
         if not self.waiting:
             return
         anchor, score, ids = (np.concatenate(x) for x in zip(*self.waiting))
-        self.waiting.clear()
+        self.waiting, self.due = [], 0
         wide = self.low.shape[1]
         at, got = [], []
         for w in range(wide):
@@ -451,6 +457,9 @@ class Search:
         self.kind = exact_kind(tree.longest)
         self.points = rows.astype(self.kind)
         self.turn, self.pays = 0, True
+        self.queue: list[tuple[np.ndarray, ...]] = []
+        self.queued = np.zeros(0, np.int64)
+        self.room = np.zeros(0, self.kind)
         low, high = np.zeros((2, len(rows)), np.int64)
         self.rings = Annuli(rows, low, high, tree.longest)
 
@@ -460,11 +469,14 @@ class Search:
         if not best.low.size or not most:
             return best
         for leaf in np.unique(self.homes):
-            self._scan(int(leaf), np.flatnonzero(self.homes == leaf), best, same)
+            self._scan(int(leaf), np.flatnonzero(self.homes == leaf), best, same, 0)
         for c in range(len(self.tree.root)):
             use = self._narrowed(best, np.arange(len(self.ids)), np.iinfo(np.int64).min)
             for leaf, rows in self.tree.below(self.rings, c, use).items():
-                self._scan(leaf, rows[self.homes[rows] != leaf], best, same)
+                if len(rows) > 0.9 * len(use):
+                    rows = use  # so that leaves can be put together
+                self._scan(leaf, rows[self.homes[rows] != leaf], best, same, PAIRS_OF_SAME if same else PAIRS)
+        self._compare_queued(best, same)
         best.settle()
         return best
 
@@ -474,60 +486,82 @@ class Search:
         self.rings.low[use], self.rings.high[use] = low, high
         return use if (low <= high).all() else use[low <= high]
 
-    def _scan(self, leaf: int, rows: np.ndarray, best: Best, same: bool) -> None:
+    def _scan(self, leaf: int, rows: np.ndarray, best: Best, same: bool, pairs: int) -> None:
+        """Compare some anchors with the rows of a leaf, now or together with the next ones if these are few."""
         for block in self.leaves.blocks(leaf) if len(rows) else ():
-            use = self._narrowed(best, rows, int(block.ids.min()))
+            use, mine = self._below(block, rows, best)
             if not len(use):
                 continue
-            use, mine = self._below(block, use)
-            if not len(use):
-                continue
-            labels = block.labels[mine]
-            if not same:
-                self._compare(block, use, mine, best, same)
-                continue
-            own = np.unique(labels)
-            if len(use) * len(mine) < PAIRS_A_LABEL * len(own):
-                use, mine = use[np.isin(self.labels[use], own)], mine[np.isin(labels, self.labels[use])]
-                self._compare(block, use, mine, best, same)
-                continue
-            ends = [np.searchsorted(self.labels[use], own, side) for side in ("left", "right")]
-            for label, a, b in zip(own, *ends):
-                if a < b:
-                    self._compare(block, use[a:b], mine[labels == label], best, same)
+            if self.queue and not np.array_equal(use, self.queued):
+                self._compare_queued(best, same)
+            self.queued = use
+            parts = block.ids, block.labels, block.rows
+            self.queue.append(parts if mine is None else tuple(x[mine] for x in parts))
+            held = sum(len(x) for x, _, _ in self.queue)
+            if held * len(use) >= pairs or held * block.rows[0].nbytes >= QUEUE_BYTES:
+                self._compare_queued(best, same)
+
+    def _compare_queued(self, best: Best, same: bool) -> None:
+        if not self.queue:
+            return
+        ids, labels, rows = self.queue[0] if len(self.queue) == 1 else (np.concatenate(x) for x in zip(*self.queue))
+        self.queue = []
+        use = self._narrowed(best, self.queued, int(ids.min()))
+        if not same:
+            self._compare(use, ids, labels, rows, best, same)
+            return
+        own = np.unique(labels)
+        if len(use) * len(ids) < PAIRS_A_LABEL * len(own):
+            some = np.isin(labels, self.labels[use])
+            self._compare(use[np.isin(self.labels[use], own)], ids[some], labels[some], rows[some], best, same)
+            return
+        order = np.argsort(labels, kind="stable")
+        ids, labels, rows = ids[order], labels[order], rows[order].astype(self.kind)
+        ends = [np.searchsorted(x, own, side) for x in (self.labels[use], labels) for side in ("left", "right")]
+        for a, b, first, last in zip(*ends):
+            if a < b:
+                self._compare(use[a:b], ids[first:last], labels[first:last], rows[first:last], best, same)
 
-    def _below(self, block: Block, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _below(self, block: Block, use: np.ndarray, best: Best) -> tuple[np.ndarray, np.ndarray | None]:
         """The anchors with an annulus that meets a child of the block, and the rows of the children that any meets.
 
-        Asked as long as that leaves out a quarter of the pairs, and now and then.
+        Asked as long as that leaves out a quarter of the pairs, and now and then. No rows: all.
         """
         self.turn += 1
-        mine = np.arange(len(block.ids))
-        if not self.pays and self.turn % 8:
-            return use, mine
-        pairs = len(use) * len(mine)
+        if not self.pays and self.turn % 32:
+            return use, None
+        pairs = len(use) * len(block.ids)
+        use = self._narrowed(best, use, int(block.ids.min()))
         meet = self.rings.alive(block.splits, block.low, block.high, slice(None) if len(use) == len(self.ids) else use)
-        use, mine = use[meet.any(1)], mine[np.repeat(meet.any(0), np.diff(block.ends))]
+        use, mine = use[meet.any(1)], np.flatnonzero(np.repeat(meet.any(0), np.diff(block.ends)))
         self.pays = len(use) * len(mine) <= 0.75 * pairs
-        return use, mine
+        return use, None if len(mine) == len(block.ids) else mine
 
-    def _compare(self, block: Block, use: np.ndarray, mine: np.ndarray, best: Best, same: bool) -> None:
-        if not len(use) or not len(mine):
+    def _compare(self, use: np.ndarray, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, best: Best, same: bool) -> None:
+        if not len(use) or not len(ids):
             return
-        whole = len(use) == len(self.ids), len(mine) == len(block.ids)
         low, high = (x[use].astype(self.kind) for x in (self.rings.low, self.rings.high))
-        s = (self.points if whole[0] else self.points[use]) @ (block.rows if whole[1] else block.rows[mine]).astype(self.kind).T
-        # few anchors have such a score in a block, once their windows are narrow
-        if not len(some := np.flatnonzero(s.max(1) >= low)):
-            return
-        s, use = s[some], use[some]
-        fits = (s >= low[some, None]) & (s <= high[some, None])
-        fits &= (self.labels[use][:, None] == block.labels[mine][None]) == same
-        fits &= self.ids[use][:, None] != block.ids[mine][None]
-        x, y = np.nonzero(fits)
-        for at in range(0, len(x), MOST_ADDED):
-            a, b = x[at : at + MOST_ADDED], y[at : at + MOST_ADDED]
-            best.add(use[a], s[a, b].astype(np.int64), block.ids[mine[b]])
+        points = self.points if len(use) == len(self.ids) else self.points[use]
+        others = rows.astype(self.kind, copy=False).T
+        step = max(1, SCORES // len(ids))
+        if len(self.room) < step * len(ids):
+            self.room = np.empty(step * len(ids), self.kind)
+        for first in range(0, len(use), step):
+            part = points[first : first + step]
+            s = np.matmul(part, others, out=self.room[: len(part) * len(ids)].reshape(len(part), len(ids)))
+            # few anchors have such a score in a block, once their windows are narrow
+            some = np.flatnonzero(s.max(1) >= low[first : first + step])
+            if not len(some):
+                continue
+            s, some = s[some], some + first
+            fits = (s >= low[some, None]) & (s <= high[some, None])
+            some = use[some]
+            fits &= (self.labels[some][:, None] == labels[None]) == same
+            fits &= self.ids[some][:, None] != ids[None]
+            x, y = np.nonzero(fits)
+            for at in range(0, len(x), MOST_ADDED):
+                a, b = x[at : at + MOST_ADDED], y[at : at + MOST_ADDED]
+                best.add(some[a], s[a, b].astype(np.int64), ids[b])
 
 
 def _share(score: int, percent: int, up: bool) -> int:

@@ -128,7 +128,8 @@ def test_files_and_blocks_of_any_size(spark, monkeypatch, files, blocks, pairs):
     monkeypatch.setattr(gnat, "BLOCK", 8)
     monkeypatch.setattr(gnat, "LEAST_FILES", files)
     monkeypatch.setattr(gnat, "LEAST_ANCHOR_BLOCKS", blocks)
-    monkeypatch.setattr(gnat, "PAIRS_A_LABEL", pairs)
+    for name in ("PAIRS", "PAIRS_OF_SAME", "PAIRS_A_LABEL"):
+        monkeypatch.setattr(gnat, name, pairs)
     monkeypatch.setattr(gnat, "MOST_ADDED", 50)
     rows = clustered(500, 5, 7)
     rows += [(20_000 + i, rows[i % 9][1], i % 5) for i in range(100)] + rows[:60]
